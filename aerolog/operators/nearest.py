@@ -3,7 +3,8 @@
 Reference stations are sorted into nested latitude-longitude cells.  Every station descends the
 cells from coarse to fine: from the cells it still holds it keeps those whose nearest possible
 point is not farther than the farthest possible point of the best one, and moves to their
-children.  How many survive depends on geometry, not on the size of either list.
+children.  How many survive depends on geometry, not on the size of either list.  References of
+equal coordinates count as one, and a finest cell (about a kilometre) holds few distinct places.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ..functions.place import great_circle_km
 
 #: Cell sizes in degrees, each a multiple of the next (fixed values).
-LEVELS = (30.0, 6.0, 1.0, 0.1)
+LEVELS = (30.0, 6.0, 1.0, 0.1, 0.01)
 #: Slack in km for rounding errors of the bounds.
 SLACK = 1e-6
 

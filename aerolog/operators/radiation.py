@@ -56,17 +56,17 @@ def daily_clearness(with_sun_rows: DataFrame, keys: Sequence[str] = KEYS) -> Dat
 def split(series: DataFrame, keys: Sequence[str] = KEYS, ts: str = "ts",
           offset: Column | None = None, clock: str = "as_stored") -> DataFrame:
     """Add ``g0``, ``kt``, ``kt_d``, ``dif`` and ``dni``; first and last hour of a series get no split."""
+    in_order = Window.partitionBy(*keys).orderBy("_date", hour_index(F.col(ts)))
     of_day = Window.partitionBy(*keys, "_date")
-    in_order = Window.partitionBy(*keys).orderBy(hour_index(F.col(ts)))
-    rows = with_sun(series, offset, ts, clock).repartition(*keys)
-    rows = rows.withColumn("kt_d", F.try_divide(
-        F.coalesce(F.sum("ghi").over(of_day), F.lit(0.0)), F.sum("g0").over(of_day)))
-    rows = rows.withColumns({
+    # Neighbours first: their order (day, hour) then serves the daily sums without another sort.
+    rows = with_sun(series, offset, ts, clock).withColumns({
         "_before": F.lag("kt").over(in_order),
         "_after": F.lead("kt").over(in_order),
         "_first": F.lag(F.lit(1)).over(in_order).isNull(),
         "_last": F.lead(F.lit(1)).over(in_order).isNull(),
     })
+    rows = rows.withColumn("kt_d", F.try_divide(
+        F.coalesce(F.sum("ghi").over(of_day), F.lit(0.0)), F.sum("g0").over(of_day)))
     both = S.split_radiation(
         F.col("ghi"), F.col("kt"), F.col("kt_d"),
         S.persistence(F.col("_before"), F.col("kt"), F.col("_after")), F.col("sun"))

@@ -47,15 +47,18 @@ def finkelstein_schafer(daily: DataFrame, variables: Sequence[str] = RANKED,
             rows.withColumn("_days", F.count(F.lit(1)).over(one_year))
             .where(F.col("_days") == F.dayofmonth(F.last_day(day))).drop("_days")
         )
-    rows = rows.withColumns({
-        "_n_all": F.count(F.lit(1)).over(all_years) + extra,
-        "_n_year": F.count(F.lit(1)).over(one_year) + extra,
-    })
+
+    def distribution(group, order) -> Column:
+        # rank and count share the window, so counting costs no further sort
+        ordered = group.orderBy(*order)
+        size = F.count(F.lit(1)).over(
+            ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+        return F.row_number().over(ordered) / (size + extra)
+
     for v in variables:
         order = (F.round(v, 9), day)
         rows = rows.withColumn(f"_d_{v}", F.abs(
-            F.row_number().over(one_year.orderBy(*order)) / F.col("_n_year")
-            - F.row_number().over(all_years.orderBy(*order)) / F.col("_n_all")))
+            distribution(one_year, order) - distribution(all_years, order)))
     return rows.groupBy(*keys, "month", "year").agg(
         *[F.sum(f"_d_{v}").alias(f"fs_{v}") for v in variables],
         *([F.avg(wind).alias("_wind")] if wind else []),

@@ -12,14 +12,18 @@ from ..operators.points import in_range, years_window
 from ..operators.resample import hourly_wide
 from ..operators.typical_year import iso_typical_year, mean_typical_year
 from ..schemas import FIELDS, KEYS
+from ..session import materialized
 
 
 def filled_hours(points: DataFrame, first_year: int, last_year: int,
                  fields: Sequence[str] = FIELDS, keys: Sequence[str] = KEYS,
                  stations: DataFrame | None = None) -> DataFrame:
-    """Dense, gap-filled hourly series of whole calendar years."""
+    """Dense, gap-filled hourly series of whole calendar years.
+
+    The raw points are read once: the hourly table is written and everything else reads that.
+    """
     start, stop = years_window(first_year, last_year)
-    hourly = hourly_wide(in_range(points, start, stop), fields, keys)
+    hourly = materialized(hourly_wide(in_range(points, start, stop), fields, keys))
     return fill_same_hour(
         hourly, fields, F.lit(f"{first_year}-01-01 00:00:00").cast("timestamp_ntz"),
         F.lit(f"{last_year}-12-31 23:00:00").cast("timestamp_ntz"), keys, stations=stations)
@@ -33,8 +37,12 @@ def with_pressure(series: DataFrame) -> DataFrame:
 
 def iso_years(points: DataFrame, first_year: int, last_year: int, columns: Sequence[str],
               keys: Sequence[str] = KEYS, **options) -> DataFrame:
-    """Typical years by the ranked selection; options of ``iso_typical_year``."""
-    hourly = filled_hours(points, first_year, last_year, columns, keys)
+    """Typical years by the ranked selection; options of ``iso_typical_year``.
+
+    The filled table is written because it is read twice: the ranking reads four columns of it,
+    the gathering one year in ``last_year - first_year + 1``.
+    """
+    hourly = materialized(filled_hours(points, first_year, last_year, columns, keys))
     return iso_typical_year(hourly, columns, keys, **options)
 
 

@@ -17,6 +17,9 @@ from ..operators.radiation import split, with_infrared
 from ..operators.resample import daily_mean
 from ..operators.weeks import season_weeks, weeks_line
 from ..schemas import KEYS
+from ..session import materialized
+from ..sources.epw_files import write_epw
+from .typical_year import filled_hours, with_pressure
 
 #: Columns that are interpolated once radiation has been filled.
 CONTINUOUS = ("v_air", "wind_dir", "t_db", "t_dp", "rh", "p_atm", "rain", "rain_type", "ghi")
@@ -54,10 +57,13 @@ def data_lines(derived: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
 
 def with_reference(stations: DataFrame, references: DataFrame, station_key: str = "station_id",
                    ref_key: str = "wmo") -> DataFrame:
-    """Station dimension with the attributes of its nearest reference station."""
+    """Station dimension with the attributes of its nearest reference station.
+
+    Attributes a station already has (its city, say) are kept.
+    """
     nearest = nearest_reference(stations, references, station_key, ref_key)
     return stations.join(nearest, station_key, "left").join(
-        references.drop("lat", "lon"), ref_key, "left")
+        references.drop(*[c for c in stations.columns if c != ref_key]), ref_key, "left")
 
 
 def header_lines(stations: DataFrame, series: DataFrame, soil: DataFrame,
@@ -73,3 +79,25 @@ def header_lines(stations: DataFrame, series: DataFrame, soil: DataFrame,
 
     weeks = of_first_year(weeks_line(season_weeks(daily_mean(series, ["t_db"], keys, ts), keys=keys), keys))
     return epw_header(stations, weeks, of_first_year(ground_line(soil, keys, ts)), spans, keys, **options)
+
+
+def write_weather_files(series: DataFrame, stations: DataFrame, references: DataFrame,
+                        soil: DataFrame, path: str, keys: Sequence[str] = KEYS,
+                        station_key: str = "station_id", ref_key: str = "wmo", **options) -> None:
+    """EPW files of all stations from one dense hourly year each.
+
+    ``stations`` carries ``lat, lon, tz`` and the header attributes, ``soil`` the four layers.
+    Rows, weeks and spans all read ``series``: hand in a written table (``session.materialized``).
+    """
+    derived = derive(clean(series), stations.select(*keys, "lat", "lon", "tz"), keys)
+    header = header_lines(with_reference(stations, references, station_key, ref_key),
+                          series, soil, keys, **options)
+    write_epw(header, data_lines(derived, keys), path, keys)
+
+
+def write_station_year(points: DataFrame, stations: DataFrame, references: DataFrame,
+                       soil: DataFrame, year: int, path: str, fields: Sequence[str],
+                       keys: Sequence[str] = KEYS, **options) -> None:
+    """Stored points of one calendar year to EPW files."""
+    hours = materialized(with_pressure(filled_hours(points, year, year, fields, keys)))
+    write_weather_files(hours, stations, references, soil, path, keys, **options)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 #: Settings the jobs rely on; all can be overridden by the cluster.
 SETTINGS = {
@@ -23,6 +23,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     builder = (
         SparkSession.builder.master(f"local[{cores}]").appName(app)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", "12g")
     )
@@ -44,3 +45,13 @@ def scratch_folder(spark: SparkSession) -> str:
     if spark.sparkContext.master.startswith("local"):
         return tempfile.mkdtemp(prefix="aerolog-")
     raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
+
+
+def materialized(df: DataFrame) -> DataFrame:
+    """Write an intermediate table that several results read, and read it back.
+
+    It lies in the shared folder, so it cuts the lineage and survives the loss of executors.
+    """
+    folder = f"{scratch_folder(df.sparkSession)}/table"
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)

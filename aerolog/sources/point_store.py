@@ -38,25 +38,38 @@ def write_points(points: DataFrame, path: str, ingested: Column | None = None) -
 
     Only the (source, year) partitions the new points touch are read back and rewritten, in one
     dynamic partition overwrite; its output is staged and moved at the commit, so a lost executor
-    or a failed job leaves the stored points as they were.
+    or a failed job leaves the stored points as they were.  The rebalance splits a partition by
+    its measured size, so a station with a third of all points is not one task's work.
     """
     spark = points.sparkSession
     stamp = ingested if ingested is not None else (
         F.col("ingest_ts") if "ingest_ts" in points.columns else F.lit(None))
-    new = points.select(*[F.col(f.name) for f in POINTS.fields],
-                        stamp.cast("timestamp_ntz").alias("ingest_ts"), F.year("ts").alias("year"))
+    rows = points.select(*[F.col(f.name) for f in POINTS.fields],
+                         stamp.cast("timestamp_ntz").alias("ingest_ts"), F.year("ts").alias("year"))
     if store_exists(spark, path):
-        touched = new.select("source", "year").distinct()
-        old = spark.read.schema(STORED).parquet(path).join(touched, ["source", "year"], "left_semi")
-        new = old.unionByName(new)
-    final = (
-        new.groupBy(*POINT_KEYS, "year").agg(F.max_by(
-            F.struct("value", "ingest_ts"),
-            F.struct(F.col("ingest_ts").isNotNull(), "ingest_ts", "value")).alias("_last"))
-        .select(*POINT_KEYS, "_last.value", "_last.ingest_ts", "year")
-    )
+        rows = _touched(spark, path, rows).unionByName(rows)
+    order = F.struct(F.col("ingest_ts").isNotNull(), "ingest_ts", "value")
     (
-        final.repartition("source", "year", "station_id").sortWithinPartitions("source", "year", "station_id", "field", "ts")
+        rows.groupBy(*POINT_KEYS, "year")
+        .agg(F.max_by(F.struct("value", "ingest_ts"), order).alias("_last"))
+        .select(*POINT_KEYS, "_last.value", "_last.ingest_ts", "year")
+        .hint("rebalance", "source", "year")
+        .sortWithinPartitions("source", "year", "station_id", "field", "ts")
         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .partitionBy("source", "year").parquet(path)
     )
+
+
+def _touched(spark: SparkSession, path: str, rows: DataFrame) -> DataFrame:
+    """Stored points of the partitions that ``rows`` falls into.
+
+    The partitions are listed first (one name per folder of the store), so that the scan is
+    pruned to them whatever the statistics say.
+    """
+    years: dict[str, list[int]] = {}
+    for row in rows.select("source", "year").distinct().collect():
+        years.setdefault(row.source, []).append(row.year)
+    condition = F.lit(False)
+    for source, touched in years.items():
+        condition = condition | ((F.col("source") == source) & F.col("year").isin(touched))
+    return spark.read.schema(STORED).parquet(path).where(condition)

@@ -4,8 +4,8 @@ from __future__ import annotations
 
 
 def r(expression: str, name: str | None = None) -> str:
-    """Six decimals, no negative zero."""
-    return f"round({expression}, 6) + 0.0 AS {name or expression}"
+    """Six decimals (summation noise off first), no negative zero."""
+    return f"round(round({expression}, 10), 6) + 0.0 AS {name or expression}"
 
 
 def i(expression: str, name: str | None = None) -> str:
@@ -67,7 +67,7 @@ SUP_PLACES = """sup_places AS (
   SELECT s_suppkey AS station_id, 35 + s_suppkey%23 + s_acctbal/10000 AS lat,
          -10 + s_suppkey%31 + s_acctbal/30000 AS lon FROM supplier)"""
 FLAG_PLACES = """flag_places AS (
-  SELECT station_id, 20 + ascii(station_id)/3 AS lat, ascii(station_id)/6 - 4 AS lon, 'Europe/Rome' AS tz
+  SELECT station_id, round(20 + ascii(station_id)/3, 2) AS lat, round(ascii(station_id)/6 - 4, 2) AS lon, 'Europe/Rome' AS tz
   FROM (SELECT DISTINCT l_returnflag AS station_id FROM lineitem))"""
 HOUR_FIELDS = ["t_db", "rh", "v_air", "wind_dir", "rain", "prec_rate", "ghi", "p_atm_min", "p_atm_max"]
 LINE_HOURS = f"""obs AS (
@@ -443,8 +443,8 @@ SELECT station_id, ts, {r('hs', 'altitude')}, {r('g0')}, {r('kt')},
 SELECT station_id, CAST(ts AS DATE) AS day, {r('coalesce(sum(ghi), 0)/nullif(sum(g0), 0)', 'kt_d')} FROM lit GROUP BY 1, 2""")
     sql["q_brl_split"] = q([*january, brl("lit", "divided")],
                            f"SELECT station_id, ts, {r('kt_d')}, {r('dif')}, {r('dni')} FROM divided")
-    sql["q_tz_offset"] = q([POINTS, PLACES], f"""
-SELECT station_id, {r(ZONE_OFFSET, 'offset_h')}, count(*) AS n FROM pts JOIN places USING (station_id) GROUP BY 1, 2""")
+    sql["q_tz_offset"] = q([POINTS, PLACES, wide("w", five)], f"""
+SELECT station_id, {r(ZONE_OFFSET, 'offset_h')}, count(*) AS n FROM w JOIN places USING (station_id) GROUP BY 1, 2""")
 
     sql["q_soil_params"] = q([SUP, "supy AS (SELECT *, year(day) AS year FROM sup)", soil_params("supy", "par", "station_id, year")], f"""
 SELECT station_id, {i('year')}, {r('amplitude')}, {r('mean_t')}, {i('phase_day')} FROM par""")
@@ -483,7 +483,7 @@ SELECT station_id, CAST(ts AS DATE) AS day, round(round(avg(value), 9), 1) + 0.0
     tdd = dew("t_db", "rh")
     sql["q_epw_rows"] = q(DERIVED, f"""
 SELECT station_id, {dates}, {r('t_db', 'dry_bulb_temperature')}, {r(tdd, 'dew_point_temperature')},
-  {i('trunc(rh)', 'relative_humidity')}, {i('trunc(p_atm*100)', 'atmospheric_station_pressure')},
+  {i('trunc(round(rh, 6))', 'relative_humidity')}, {i('trunc(round(p_atm*100, 6))', 'atmospheric_station_pressure')},
   {r(hiri(es(tdd), 't_db', 'kt_d'), 'horizontal_infrared_radiation_intensity')}, {r('dni', 'direct_normal_radiation')},
   {r('dif', 'diffuse_horizontal_radiation')}, {i('floor((wind_dir + 22.5)/45)*45', 'wind_direction')}, {r('v_air', 'wind_speed')},
   {i('CASE WHEN kind = 40 OR rain = 0 THEN 9 ELSE 0 END', 'present_weather_observation')}, {r('rain', 'liquid_precipitation_depth')}
@@ -494,8 +494,8 @@ SELECT station_id, ts, {r('t_db', 'dry_bulb_temperature')}, {r('v_air', 'wind_sp
                "CAST(NULL AS BIGINT) AS atmospheric_station_pressure, CAST(NULL AS DOUBLE) AS wind_speed, "
                "CAST(NULL AS BIGINT) AS present_weather_observation")
     sql["q_epw_pad"] = q([POINTS, wide("w", five, "date_trunc('hour', ts)")], f"""
-SELECT station_id, {dates}, {r('t_db', 'dry_bulb_temperature')}, {i('trunc(rh)', 'relative_humidity')},
-  {i('trunc(p_atm*100)', 'atmospheric_station_pressure')}, {r('v_air', 'wind_speed')}, {i('9', 'present_weather_observation')} FROM w
+SELECT station_id, {dates}, {r('t_db', 'dry_bulb_temperature')}, {i('trunc(round(rh, 6))', 'relative_humidity')},
+  {i('trunc(round(p_atm*100, 6))', 'atmospheric_station_pressure')}, {r('v_air', 'wind_speed')}, {i('9', 'present_weather_observation')} FROM w
 UNION ALL
 SELECT station_id, {dates}, {nothing} FROM (
   SELECT station_id, unnest(generate_series(date_trunc('day', min(ts)), min(ts) - INTERVAL 1 HOUR, INTERVAL 1 HOUR)) AS ts FROM w GROUP BY 1)""")

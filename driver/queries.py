@@ -13,7 +13,7 @@ from aerolog.operators import (compare, degree, epw, gapfill, ground, nearest, p
                                resample, typical_year, urban, weeks)
 from aerolog.plans import typical_year as year_plan, weather_file
 from aerolog.schemas import EPW_COLUMNS
-from aerolog.session import scratch_folder
+from aerolog.session import materialized, scratch_folder
 from aerolog.sources import epw_files, gridded_csv, lists, station_json, typical_csv
 
 from . import views as V
@@ -27,10 +27,13 @@ CENTER, RADIUS = (50.0, 10.0), 900.0
 
 
 def tidy(df: DataFrame) -> DataFrame:
-    """Doubles with six decimals, integers as BIGINT: the form the SQL twins return."""
+    """Doubles with six decimals, integers as BIGINT: the form the SQL twins return.
+
+    The inner rounding takes off the noise of summation order before half-way cases are decided.
+    """
     def one(f: T.StructField):
         if isinstance(f.dataType, T.DoubleType):
-            return (F.round(f.name, 6) + F.lit(0.0)).alias(f.name)
+            return (F.round(F.round(f.name, 10), 6) + F.lit(0.0)).alias(f.name)
         if isinstance(f.dataType, T.IntegralType):
             return F.col(f.name).cast("bigint").alias(f.name)
         return F.col(f.name)
@@ -141,7 +144,7 @@ def q_mode(spark, sf):
 # gaps -----------------------------------------------------------------------------------------
 
 def _january(spark, sf, columns):
-    hourly = resample.hourly_wide(V.event_points(spark, sf), columns, KEY)
+    hourly = materialized(resample.hourly_wide(V.event_points(spark, sf), columns, KEY))
     return gapfill.fill_same_hour(hourly, columns, ntz(JANUARY[0]), ntz(JANUARY[1]), KEY)
 
 
@@ -321,7 +324,8 @@ def q_brl_split(spark, sf):
 
 
 def q_tz_offset(spark, sf):
-    rows = V.event_points(spark, sf).join(V.event_places(spark, sf), KEY)
+    hourly = resample.hourly_wide(V.event_points(spark, sf), FIVE, KEY)
+    rows = hourly.join(V.event_places(spark, sf), KEY)
     return rows.groupBy("station_id", utc_offset_hours(F.col("ts"), F.col("tz")).alias("offset_h")).agg(
         F.count(F.lit(1)).alias("n"))
 
@@ -411,30 +415,31 @@ def q_epw_pad(spark, sf):
         "atmospheric_station_pressure", "wind_speed", "present_weather_observation")
 
 
-def _header(spark, sf):
-    series = _mean_year(spark, sf).select(*KEY, "ts", "t_db")
-    stations = weather_file.with_reference(
-        V.flag_places(spark, sf).drop("tz"), V.nation_references(spark, sf)).select(
-        "station_id", "city", F.lit("").alias("state"), F.lit("ITA").alias("country"),
-        F.lit("network").alias("origin"), "wmo", F.round("lat", 2).alias("lat"),
-        F.round("lon", 2).alias("lon"), "tz_hours", F.lit(240).alias("elevation"), "design_conditions")
-    return weather_file.header_lines(stations, series, _layers(series, "ts"), KEY, comment1="averaged year")
+def _header_stations(spark, sf):
+    return V.flag_places(spark, sf).select(
+        "station_id", "lat", "lon", "tz", F.lit("").alias("state"), F.lit("ITA").alias("country"),
+        F.lit("network").alias("origin"), F.lit(240).alias("elevation"))
 
 
 def q_epw_header(spark, sf):
-    return _header(spark, sf)
+    series = materialized(_mean_year(spark, sf).select(*KEY, "ts", "t_db"))
+    stations = weather_file.with_reference(_header_stations(spark, sf), V.nation_references(spark, sf))
+    return weather_file.header_lines(stations, series, _layers(series, "ts"), KEY, comment1="averaged year")
 
 
 def q_epw_roundtrip(spark, sf):
+    """Points to EPW files of all stations, read back."""
     folder = f"{scratch_folder(spark)}/epw"
-    epw_files.write_epw(_header(spark, sf), weather_file.data_lines(_derived(spark, sf), KEY), folder, KEY)
+    series = materialized(_mean_year(spark, sf))
+    weather_file.write_weather_files(
+        series, _header_stations(spark, sf), V.nation_references(spark, sf), _layers(series, "ts"), folder, KEY)
     return epw_files.read_epw(spark, folder, ("dry_bulb_temperature", "wind_speed"), "station_id STRING")
 
 
 def q_gridded_csv(spark, sf):
     folder = f"{scratch_folder(spark)}/gridded"
     rows = V.by_flag(spark, sf).join(V.flag_places(spark, sf), KEY)
-    place = [F.round("lat", 2).alias("lat"), F.round("lon", 2).alias("lon")]
+    place = ["lat", "lon"]
     data = rows.select(*place, F.concat_ws(
         ",", F.col("day").cast("string"), F.round("t_db", 6).cast("string")).alias("value"))
     preamble = V.flag_places(spark, sf).select(*place, F.explode(F.array(

@@ -107,7 +107,7 @@ def flag_places(spark: SparkSession, sf: str) -> DataFrame:
     """Place of the three return-flag stations."""
     n = F.ascii("station_id")
     return table(spark, sf, "lineitem").select(F.col("l_returnflag").alias("station_id")).distinct().select(
-        "station_id", (20 + n / 3).alias("lat"), (n / 6 - 4).alias("lon"),
+        "station_id", F.round(20 + n / 3, 2).alias("lat"), F.round(n / 6 - 4, 2).alias("lon"),
         F.lit("Europe/Rome").alias("tz"))
 
 
