@@ -3,8 +3,9 @@
 Reference stations are sorted into nested latitude-longitude cells.  Every station descends the
 cells from coarse to fine: from the cells it still holds it keeps those whose nearest possible
 point is not farther than the farthest possible point of the best one, and moves to their
-children.  How many survive depends on geometry, not on the size of either list.  References of
-equal coordinates count as one, and a finest cell (about a kilometre) holds few distinct places.
+children.  The top level is the fixed two dozen cells of the globe.  How many cells survive
+depends on geometry, not on the size of either list; references of equal coordinates count as one,
+and a finest cell (about two kilometres) holds few distinct places.
 """
 
 from __future__ import annotations
@@ -16,13 +17,21 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ..functions.place import great_circle_km
 
 #: Cell sizes in degrees, each a multiple of the next (fixed values).
-LEVELS = (30.0, 6.0, 1.0, 0.1, 0.01)
+LEVELS = (60.0, 12.0, 2.0, 0.2, 0.02)
 #: Slack in km for rounding errors of the bounds.
 SLACK = 1e-6
 
+_ROW = 1_000_000
+
 
 def _cell(i: Column, j: Column) -> Column:
-    return i * 1_000_000 + j
+    return i * _ROW + j
+
+
+def _globe(size: float) -> Column:
+    """All cells of a level, with one more row for the pole itself."""
+    rows, columns = int(180 // size) + 1, int(-(-360 // size))
+    return F.array(*[F.lit(i * _ROW + j).cast("bigint") for i in range(rows) for j in range(columns)])
 
 
 def _with_cells(refs: DataFrame, levels: Sequence[float]) -> DataFrame:
@@ -40,8 +49,8 @@ def _with_cells(refs: DataFrame, levels: Sequence[float]) -> DataFrame:
 
 
 def _cells_of_level(refs: DataFrame, n: int, size: float) -> DataFrame:
-    """Occupied cells of a level: id, parent, centre and the distance from centre to the far corner."""
-    parent = F.col(f"_c{n - 1}") if n else F.lit(0).cast("bigint")
+    """Occupied cells of a level: id, parent (itself at the top), centre and distance to the far corner."""
+    parent = F.col(f"_c{max(n - 1, 0)}")
     south = F.col(f"_i{n}") * size - 90
     west = F.col(f"_j{n}") * size - 180
     clat, clon = south + size / 2, west + size / 2
@@ -58,9 +67,8 @@ def nearest_reference(stations: DataFrame, refs: DataFrame, station_key: str = "
                       ref_key: str = "wmo", levels: Sequence[float] = LEVELS) -> DataFrame:
     """``(station_key, ref_key, km)``: the nearest reference, on ties the lowest key.
 
-    Both inputs carry ``lat`` and ``lon`` in degrees.  Joins are plain equi-joins on cells: past the
-    coarsest level (a fixed handful of cells) Spark broadcasts a level when its measured size
-    allows it and shuffles it otherwise.
+    Both inputs carry ``lat`` and ``lon`` in degrees.  Joins are plain equi-joins on cells: Spark
+    broadcasts a level when its measured size allows it and shuffles it otherwise.
     """
     located = stations.where("lat is not null and lon is not null")
     held = located.select(F.col(station_key), F.col("lat").alias("_slat"),
@@ -69,14 +77,11 @@ def nearest_reference(stations: DataFrame, refs: DataFrame, station_key: str = "
         refs.where("lat is not null and lon is not null")
         .groupBy(F.col("lat").alias("_rlat"), F.col("lon").alias("_rlon"))
         .agg(F.min(ref_key).alias(ref_key)), levels)
-    held = held.withColumn("_cell", F.lit(0).cast("bigint"))
+    held = held.withColumn("_cell", F.explode(_globe(levels[0])))
     per_station = Window.partitionBy(station_key)
     for n, size in enumerate(levels):
-        cells = _cells_of_level(placed, n, size)
-        if n == 0 and size >= LEVELS[0]:
-            cells = F.broadcast(cells)  # at most 7 x 12 cells cover the globe
         held = (
-            held.join(cells, "_cell")
+            held.join(_cells_of_level(placed, n, size), "_cell")
             .withColumn("_d", great_circle_km(F.col("_slat"), F.col("_slon"),
                                               F.col("_clat"), F.col("_clon")))
             .withColumn("_best", F.min(F.col("_d") + F.col("_reach")).over(per_station))
