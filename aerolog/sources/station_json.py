@@ -16,8 +16,7 @@ _CORRUPT = "_corrupt_record"
 
 def utc_instant(text: Column) -> Column:
     """ISO-8601 UTC text to a zone-less UTC timestamp, NULL if it is none."""
-    plain = F.regexp_replace(text, r"(Z|\+00:?00)$", "")
-    return plain.try_cast("timestamp_ntz")
+    return text.try_cast("timestamp_ntz")
 
 
 def read_documents(spark: SparkSession, paths: str | list[str], one_per_file: bool = True) -> DataFrame:
@@ -45,8 +44,12 @@ def count_rejected(documents: DataFrame) -> DataFrame:
 
 
 def observations(documents: DataFrame, source: str = "network") -> DataFrame:
-    """One wide row per observation in library units; documents that do not parse give none."""
-    rows = documents.select(F.inline("observations"))
+    """One wide row per observation in library units; documents that do not parse give none.
+
+    The outer form keeps Spark from parsing a text document once more to test its array for
+    emptiness; the empty row falls to the time filter.
+    """
+    rows = documents.select(F.inline_outer("observations"))
     return rows.select(
         F.lit(source).alias("source"),
         F.upper(F.trim("stationID")).alias("station_id"),
