@@ -16,39 +16,59 @@ DECLINATION = (0.0064979, ((0.405906, -0.0132296), (0.0020054, 0.0063809), (-0.0
 BRL = (-5.38, 6.63, 0.006, -0.007, 1.75, 1.31)
 
 
-def solar_position(clock: Column, lat: Column, lon: Column, utc_offset: Column) -> Column:
-    """Struct ``(solar_time, declination, altitude, g0)`` at the middle of the hour of ``clock``.
-
-    ``lat`` and ``lon`` in degrees, ``utc_offset`` in hours for the zone ``clock`` is read in,
-    angles in radians, ``g0`` (extraterrestrial horizontal radiation) in W/m², zero at night.
-    """
-    day = F.dayofyear(clock)
+def orbit_angle(clock: Column, lon: Column) -> Column:
+    """Angle of the Earth on its orbit."""
     years = F.year(clock) - 1957
-    lat_r = F.radians(lat)
-    lon_r = F.radians(lon)
+    shift = (-0.5 - F.radians(lon) / (2 * math.pi)
+             - (78.8946 + 0.2422 * years - (years / 4).cast("int")))
+    return (2 * math.pi / 365.2422) * (F.dayofyear(clock) + shift)
 
-    shift = -0.5 - lon_r / (2 * math.pi) - (78.8946 + 0.2422 * years - (years / 4).cast("int"))
-    angle = (2 * math.pi / 365.2422) * (day + shift)
+
+def declination(angle: Column) -> Column:
     constant, harmonics = DECLINATION
-    declination = F.lit(constant)
+    series = F.lit(constant)
     for n, (sine, cosine) in enumerate(harmonics, start=1):
-        declination = declination + sine * F.sin(n * angle) + cosine * F.cos(n * angle)
+        series = series + sine * F.sin(n * angle) + cosine * F.cos(n * angle)
+    return series
+
+
+def season_angle(clock: Column) -> Column:
+    """The argument of the equation of time."""
+    return F.radians(360 * (F.dayofyear(clock) - 81) / 365)
 
-    b = F.radians(360 * (day - 81) / 365)
+
+def solar_time(clock: Column, b: Column, lon: Column, utc_offset: Column) -> Column:
+    """Solar time in hours at the middle of the hour; ``b`` is the :func:`season_angle`."""
     equation_of_time = 9.87 * F.sin(2 * b) - 7.53 * F.cos(b) - 1.5 * F.sin(b)
-    minutes = equation_of_time + 4 * (lon - utc_offset * 15)
-    solar_time = F.hour(clock) + minutes / 60 + 0.5
-
-    sin_altitude = (F.sin(lat_r) * F.sin(declination)
-                    + F.cos(lat_r) * F.cos(declination) * F.cos(F.radians((solar_time - 12) * 15)))
-    altitude = F.asin(sin_altitude)
-    distance = 1 + 0.0334 * F.cos(day * (2 * math.pi / 365.25) - 0.048869)
-    g0 = F.when(altitude >= 0, SOLAR_CONSTANT * distance * F.sin(altitude)).otherwise(F.lit(0.0))
+    return F.hour(clock) + (equation_of_time + 4 * (lon - utc_offset * 15)) / 60 + 0.5
+
+
+def sine_of_altitude(lat: Column, decl: Column, time: Column) -> Column:
+    lat_r = F.radians(lat)
+    return (F.sin(lat_r) * F.sin(decl)
+            + F.cos(lat_r) * F.cos(decl) * F.cos(F.radians((time - 12) * 15)))
+
+
+def extraterrestrial(clock: Column, altitude: Column) -> Column:
+    """Horizontal radiation outside the atmosphere in W/m², zero at night."""
+    distance = 1 + 0.0334 * F.cos(F.dayofyear(clock) * (2 * math.pi / 365.25) - 0.048869)
+    return F.when(altitude >= 0, SOLAR_CONSTANT * distance * F.sin(altitude)).otherwise(F.lit(0.0))
+
+
+def solar_position(clock: Column, lat: Column, lon: Column, utc_offset: Column) -> Column:
+    """Struct ``(solar_time, declination, altitude, g0)`` at the middle of the hour of ``clock``.
+
+    ``lat`` and ``lon`` in degrees, ``utc_offset`` in hours for the zone ``clock`` is read in,
+    angles in radians, ``g0`` (extraterrestrial horizontal radiation) in W/m².
+    """
+    decl = declination(orbit_angle(clock, lon))
+    time = solar_time(clock, season_angle(clock), lon, utc_offset)
+    altitude = F.asin(sine_of_altitude(lat, decl, time))
     return F.struct(
-        solar_time.alias("solar_time"),
-        declination.alias("declination"),
+        time.alias("solar_time"),
+        decl.alias("declination"),
         altitude.alias("altitude"),
-        g0.alias("g0"),
+        extraterrestrial(clock, altitude).alias("g0"),
     )
 
 

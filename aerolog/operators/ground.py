@@ -92,7 +92,7 @@ def soil_daily(daily: DataFrame, parameters: DataFrame, keys: Sequence[str] = KE
                day: str = "day", t: str = "t_db", depths: Sequence[int] = DAILY_DEPTHS,
                diffusivity: float = soil_fn.DIFFUSIVITY["wet_clay"]) -> DataFrame:
     """Soil temperature at each depth next to the air temperature, per day."""
-    rows = daily.select(*keys, day, F.col(t).alias("t_air")).join(parameters, list(keys))
+    rows = daily.select(*keys, day, F.col(t).alias("t_air")).join(parameters, list(keys), "left")
     rows = rows.withColumn("depth", F.explode(F.array(*[F.lit(d) for d in depths])))
     return rows.select(*keys, day, "depth", "t_air", soil_fn.soil_temperature(
         F.col("mean_t"), F.col("amplitude"), F.col("phase_day"), day_of_year0(F.col(day)),
@@ -106,7 +106,7 @@ def residual_exchanger(hourly: DataFrame, parameters: DataFrame, keys: Sequence[
                        thresholds: Sequence[int] = RESIDUAL_HOURS) -> DataFrame:
     """Cooling degree hours before and after an earth-to-air heat exchanger."""
     hours = hour_index(F.col(ts)) - hour_index(F.trunc(F.col(ts).cast("date"), "year").cast("timestamp_ntz"))
-    rows = hourly.select(*keys, ts, t).join(parameters, list(keys))
+    rows = hourly.select(*keys, ts, t).join(parameters, list(keys), "left")
     soil = soil_fn.soil_temperature(
         F.col("mean_t"), F.col("amplitude"), F.col("phase_day") * 24, hours,
         F.lit(depth), F.lit(diffusivity * 3600), 8760.0)

@@ -38,13 +38,25 @@ def with_sun(series: DataFrame, offset: Column | None = None, ts: str = "ts",
     offset = utc_offset_hours(F.col(ts), F.col("tz")) if offset is None else offset
     rows = series.withColumn("_offset", offset.cast("double"))
     rows = rows.withColumn("_clock", clock_of(F.col(ts), F.col("_offset"), clock))
+    # One step per quantity that is used more than once, so that each is computed once per row.
+    rows = rows.withColumns({
+        "_angle": S.orbit_angle(F.col("_clock"), F.col("lon")),
+        "_b": S.season_angle(F.col("_clock")),
+    })
+    rows = rows.withColumns({
+        "_decl": S.declination(F.col("_angle")),
+        "_time": S.solar_time(F.col("_clock"), F.col("_b"), F.col("lon"), F.col("_offset")),
+    })
     rows = rows.withColumn(
-        "sun", S.solar_position(F.col("_clock"), F.col("lat"), F.col("lon"), F.col("_offset")))
+        "_altitude", F.asin(S.sine_of_altitude(F.col("lat"), F.col("_decl"), F.col("_time"))))
+    rows = rows.withColumn("g0", S.extraterrestrial(F.col("_clock"), F.col("_altitude")))
+    rows = rows.withColumn("sun", F.struct(
+        F.col("_time").alias("solar_time"), F.col("_decl").alias("declination"),
+        F.col("_altitude").alias("altitude"), "g0"))
     return rows.withColumns({
-        "g0": F.col("sun.g0"),
         "kt": S.clearness(F.col("ghi"), F.col("sun")),
         "_date": F.col("_clock").cast("date"),
-    }).drop("_clock", "_offset")
+    }).drop("_offset", "_clock", "_angle", "_b", "_decl", "_time", "_altitude")
 
 
 def daily_clearness(with_sun_rows: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:

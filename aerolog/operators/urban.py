@@ -35,6 +35,6 @@ def zone_gap(hourly: DataFrame, station_zones: DataFrame, part: Column, name: st
         here = F.col("zone") == zone
         return F.try_divide(F.sum(F.when(here, F.col("_sum"))), F.sum(F.when(here, F.col("_n"))))
 
-    return folded.join(station_zones, list(keys)).groupBy(name).agg(
+    return folded.join(station_zones, list(keys), "left").groupBy(name).agg(
         mean("urban").alias("urban"), mean("suburban").alias("suburban"),
         (mean("urban") - mean("suburban")).alias("gap"))

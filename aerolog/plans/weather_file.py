@@ -39,12 +39,13 @@ def derive(series: DataFrame, places: DataFrame, keys: Sequence[str] = KEYS, ts:
     """Everything an EPW row needs, from a dense hourly series and ``(keys, lat, lon, tz)``.
 
     Radiation gaps take the mean of the neighbouring days, all other gaps are interpolated, then
-    follow wind sector, radiation split, infrared and weather codes.
+    follow wind sector, radiation split, infrared and weather codes.  The left join lets only the
+    places, never the series, be the side that Spark may broadcast.
     """
     rows = interpolate(fill_window_mean(series, "ghi", keys, ts),
                        [c for c in CONTINUOUS if c in series.columns], hour_index(F.col(ts)), keys)
     rows = rows.withColumn("wind_dir", wind_sector(F.col("wind_dir")))
-    rows = with_infrared(split(rows.join(places, list(keys)), keys, ts, offset, clock))
+    rows = with_infrared(split(rows.join(places, list(keys), "left"), keys, ts, offset, clock))
     rows = rows.withColumn(
         "present_weather_observation", present_weather(F.col("rain"), F.col("rain_type")))
     return rows.withColumn("present_weather_codes", present_weather_code(

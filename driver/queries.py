@@ -302,7 +302,7 @@ def q_hiri(spark, sf):
 
 def _ghi_hours(spark, sf):
     hourly = resample.hourly_wide(V.event_points(spark, sf), FIVE, KEY).select(*KEY, "ts", "ghi")
-    return hourly.join(V.event_places(spark, sf), KEY)
+    return hourly.join(V.event_places(spark, sf), KEY, "left")
 
 
 def q_solar(spark, sf):
@@ -312,7 +312,7 @@ def q_solar(spark, sf):
 
 
 def _ghi_january(spark, sf):
-    return _january(spark, sf, ["ghi"]).join(V.event_places(spark, sf), KEY)
+    return _january(spark, sf, ["ghi"]).join(V.event_places(spark, sf), KEY, "left")
 
 
 def q_clearness_daily(spark, sf):
@@ -325,7 +325,7 @@ def q_brl_split(spark, sf):
 
 def q_tz_offset(spark, sf):
     hourly = resample.hourly_wide(V.event_points(spark, sf), FIVE, KEY)
-    rows = hourly.join(V.event_places(spark, sf), KEY)
+    rows = hourly.join(V.event_places(spark, sf), KEY, "left")
     return rows.groupBy("station_id", utc_offset_hours(F.col("ts"), F.col("tz")).alias("offset_h")).agg(
         F.count(F.lit(1)).alias("n"))
 
