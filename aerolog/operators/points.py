@@ -30,7 +30,12 @@ def to_wide(points: DataFrame, fields: Sequence[str], ids: Sequence[str]) -> Dat
 
 
 def in_range(points: DataFrame, start: Column, stop: Column, ts: str = "ts") -> DataFrame:
-    """Half-open time range ``[start, stop)``."""
+    """Half-open time range ``[start, stop)``.
+
+    If the table still carries its partition column ``year``, whole years are pruned too.
+    """
+    if "year" in points.columns:
+        points = points.where(F.col("year").between(F.year(start), F.year(stop)))
     return points.where((F.col(ts) >= start) & (F.col(ts) < stop))
 
 

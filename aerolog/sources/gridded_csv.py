@@ -13,6 +13,19 @@ from ..schemas import GRIDDED_HOURLY
 HOURLY_FIELDS = tuple(name for name, _ in GRIDDED_HOURLY)
 
 
+def fields_of(header: str, known: Sequence[tuple[str, str]] = GRIDDED_HOURLY) -> tuple[str, ...]:
+    """Field names, in file order, of an extract with another set of columns.
+
+    ``header`` is the file's own header line; columns that are not known are named ``_<position>``
+    and do not become points.
+    """
+    names = {text: name for name, text in known}
+    columns = [c.strip() for c in header.strip().split(",")]
+    if columns[0] != "time":
+        raise ValueError("the header of a gridded extract starts with 'time'")
+    return tuple(names.get(c, f"_{n}") for n, c in enumerate(columns[1:], start=1))
+
+
 def parse_lines(lines: DataFrame, fields: Sequence[str], time: str = "timestamp_ntz",
                 column: str = "value") -> DataFrame:
     """Keep the data lines (they start with a date) and split them; preambles and headers go."""

@@ -15,6 +15,11 @@ STORED = T.StructType([
 ])
 
 
+def _instant(moment: dt.datetime) -> Column:
+    # as text: a datetime literal would pass through the session time zone
+    return F.lit(moment.isoformat(sep=" ")).cast("timestamp_ntz")
+
+
 def read_points(spark: SparkSession, path: str, start: dt.datetime | None = None,
                 stop: dt.datetime | None = None, source: str | None = None) -> DataFrame:
     """Points of the half-open range ``[start, stop)``; untouched years and sources are not read."""
@@ -22,9 +27,9 @@ def read_points(spark: SparkSession, path: str, start: dt.datetime | None = None
     if source is not None:
         points = points.where(F.col("source") == source)
     if start is not None:
-        points = points.where((F.col("year") >= start.year) & (F.col("ts") >= F.lit(start).cast("timestamp_ntz")))
+        points = points.where((F.col("year") >= start.year) & (F.col("ts") >= _instant(start)))
     if stop is not None:
-        points = points.where((F.col("year") <= stop.year) & (F.col("ts") < F.lit(stop).cast("timestamp_ntz")))
+        points = points.where((F.col("year") <= stop.year) & (F.col("ts") < _instant(stop)))
     return points
 
 

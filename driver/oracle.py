@@ -323,6 +323,11 @@ SELECT id, count(*) AS n FROM (SELECT upper(trim(c_name)) AS id FROM customer UN
     sql["q_upsert_latest"] = q([POINTS], f"""
 SELECT station_id, field, date_trunc('hour', ts) AS hour_ts, {r('arg_max(value, event_id)', 'value')} FROM pts GROUP BY 1, 2, 3""")
 
+    sql["q_point_store"] = q([POINTS, PLACES], f"""
+SELECT station_id, field, count(*) AS n, {r('sum(value)', 'total')}, {r('max(lat)', 'lat')}
+FROM (SELECT 'u' || station_id AS station_id, field, ts, max(value) + CASE field WHEN 't_db' THEN 0.5 ELSE 0 END AS value, lat
+      FROM pts JOIN places USING (station_id)
+      WHERE ts >= TIMESTAMP '2024-01-03' AND ts < TIMESTAMP '2024-01-29' GROUP BY station_id, field, ts, lat) GROUP BY 1, 2""")
     sql["q_hourly_mean"] = q([POINTS], f"""
 SELECT station_id, field, {END} AS hour_end, {r('avg(value)', 'mean')} FROM pts GROUP BY 1, 2, 3""")
     five = ["t_db", "rh", "v_air", "p_atm", "ghi"]
@@ -389,6 +394,8 @@ FROM (SELECT *, last_value(CASE WHEN {column} IS NOT NULL THEN pos END IGNORE NU
     sql["q_tmy_iso_fs"] = q([FLAG, fs("flag", "stat", True)], f"""
 SELECT station_id, {i('y', 'year')}, {i('m', 'month')}, {r('fs_t_db')}, {r('fs_ghi')}, {r('fs_rh')}, {r('fs_v_air')} FROM stat""")
     sql["q_tmy_iso"] = q(ISO[:3], f"""
+SELECT station_id, {i('m', 'month')}, {i('y', 'chosen_year')}, {r('fs_tot')} FROM best""")
+    sql["q_tmy_iso_network"] = q([SUP, fs("sup", "stat", False), chosen("stat", "best")], f"""
 SELECT station_id, {i('m', 'month')}, {i('y', 'chosen_year')}, {r('fs_tot')} FROM best""")
     four = ", ".join(r(c) for c in ("t_db", "ghi", "rh", "v_air"))
     sql["q_tmy_iso_rows"] = q(ISO, f"SELECT station_id, tmy_ts, {four} FROM iso_rows")

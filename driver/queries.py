@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -14,7 +15,7 @@ from aerolog.operators import (compare, degree, epw, gapfill, ground, nearest, p
 from aerolog.plans import typical_year as year_plan, weather_file
 from aerolog.schemas import EPW_COLUMNS
 from aerolog.session import materialized, scratch_folder
-from aerolog.sources import epw_files, gridded_csv, lists, station_json, typical_csv
+from aerolog.sources import epw_files, gridded_csv, lists, point_store, station_json, typical_csv
 
 from . import views as V
 
@@ -102,6 +103,20 @@ def q_upsert_latest(spark, sf):
     return points.latest_points(rows, F.col("event_id"), ("station_id", "field", "hour_ts"))
 
 
+def q_point_store(spark, sf):
+    """Write all points, write corrected temperatures again, read a range back."""
+    store = f"{scratch_folder(spark)}/points"
+    rows = V.event_points(spark, sf).join(V.event_places(spark, sf).drop("tz"), KEY, "left").select(
+        F.lit("network").alias("source"), F.concat(F.lit("u"), F.col("station_id").cast("string")).alias("station_id"),
+        "lat", "lon", "ts", "field", "value")
+    point_store.write_points(rows, store, ntz("2024-02-01 00:00:00"))
+    corrected = rows.where("field = 't_db'").withColumn("value", F.col("value") + 0.5)
+    point_store.write_points(corrected, store, ntz("2024-02-02 00:00:00"))
+    kept = point_store.read_points(spark, store, dt.datetime(2024, 1, 3), dt.datetime(2024, 1, 29), "network")
+    return kept.groupBy("station_id", "field").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("value").alias("total"), F.max("lat").alias("lat"))
+
+
 # resampling -----------------------------------------------------------------------------------
 
 def q_hourly_mean(spark, sf):
@@ -209,6 +224,12 @@ def q_tmy_iso(spark, sf):
     return typical_year.typical_months(_statistics(spark, sf), KEY)
 
 
+def q_tmy_iso_network(spark, sf):
+    """The same choice for every supplier: many stations with a few days per month."""
+    return typical_year.typical_months(
+        typical_year.finkelstein_schafer(V.by_supplier(spark, sf), keys=KEY), KEY)
+
+
 def q_tmy_iso_rows(spark, sf):
     return typical_year.typical_rows(
         V.by_flag(spark, sf), q_tmy_iso(spark, sf), DAILY, KEY, "day")

@@ -89,6 +89,13 @@ def test_gridded_hourly(spark, tmp_path):
     assert {r.station_id for r in points.collect()} == {"45.07_7.69"}
 
 
+def test_gridded_header():
+    header = "time,temperature_2m (°C),cloudcover (%),diffuse_radiation (W/m²)\n"
+    assert gridded_csv.fields_of(header) == ("t_db", "_2", "dif")
+    with pytest.raises(ValueError):
+        gridded_csv.fields_of("latitude,longitude")
+
+
 def test_gridded_daily(spark, tmp_path):
     (tmp_path / "x.csv").write_text("latitude,longitude\n45,7\n\ntime,temperature_2m_mean (°C)\n1950-01-01,1.5\n1950-01-02,2.5\n")
     rows = gridded_csv.read_daily(spark, str(tmp_path)).orderBy("day").collect()
