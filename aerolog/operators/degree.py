@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.calendar import not_leap_day
 from ..schemas import KEYS
+from .resample import with_all_years
 
 #: Base and limit temperatures of degree days in °C (fixed values).
 HEATING_BASE, HEATING_LIMIT = 18, 15
@@ -31,18 +32,16 @@ def degree_days(daily: DataFrame, degrees: Column, keys: Sequence[str] = KEYS, d
                 years: tuple[int, int] | None = None) -> DataFrame:
     """Yearly sum of ``degrees`` (:func:`heating_degrees` or :func:`cooling_degrees`).
 
-    February 29 does not count.  With ``years``, every station has a row for each of them.
+    February 29 does not count.  With ``years``, only these, and every station with data in them
+    has a row for each.
     """
     rows = daily.where(not_leap_day(F.col(day))).select(
         *keys, F.year(day).alias("year"), degrees.alias("_degrees"))
     if years is not None:
-        first, last = years
-        spine = daily.select(*keys).distinct().select(
-            *keys, F.explode(F.sequence(F.lit(first), F.lit(last))).alias("year"),
-            F.lit(0.0).alias("_degrees"))
-        rows = rows.where(F.col("year").between(first, last)).unionByName(spine)
-    return rows.groupBy(*keys, "year").agg(
+        rows = rows.where(F.col("year").between(*years))
+    totals = rows.groupBy(*keys, "year").agg(
         F.coalesce(F.sum("_degrees"), F.lit(0.0)).alias("degree_days"))
+    return totals if years is None else with_all_years(totals, ["degree_days"], *years, keys, 0.0)
 
 
 def degree_hours(hourly: DataFrame, sums: dict[str, Column], thresholds: Sequence[int],

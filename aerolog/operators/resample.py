@@ -91,17 +91,29 @@ def monthly_mean(series: DataFrame, columns: Sequence[str], keys: Sequence[str]
         *[F.avg(c).alias(c) for c in columns])
 
 
+def with_all_years(totals: DataFrame, columns: Sequence[str], first: int, last: int,
+                   keys: Sequence[str] = KEYS, missing: float | None = None) -> DataFrame:
+    """A row for every year from ``first`` to ``last``, from one row per key and existing year.
+
+    Works on the totals (a few rows per key), so the series behind them is not read again to
+    find the keys.
+    """
+    packed = totals.groupBy(*keys).agg(F.map_from_entries(F.collect_list(
+        F.struct("year", F.struct(*columns)))).alias("_of"))
+    rows = packed.select(*keys, "_of", F.explode(F.sequence(F.lit(first), F.lit(last))).alias("year"))
+    found = F.try_element_at("_of", F.col("year"))
+    return rows.select(*keys, "year", *[
+        F.coalesce(found[c], F.lit(missing).cast("double")).alias(c) for c in columns])
+
+
 def yearly_mean(series: DataFrame, columns: Sequence[str], keys: Sequence[str] = KEYS,
                 ts: str = "ts", years: tuple[int, int] | None = None) -> DataFrame:
-    """Means per year; with ``years``, a missing year is a row of NULLs."""
+    """Means per year; with ``years``, only these, and a missing one is a row of NULLs."""
     rows = series.select(*keys, F.year(ts).alias("year"), *columns)
     if years is not None:
-        first, last = years
-        rows = rows.where(F.col("year").between(first, last))
-        spine = series.select(*keys).distinct().withColumn(
-            "year", F.explode(F.sequence(F.lit(first), F.lit(last))))
-        rows = rows.unionByName(spine, allowMissingColumns=True)
-    return rows.groupBy(*keys, "year").agg(*[F.avg(c).alias(c) for c in columns])
+        rows = rows.where(F.col("year").between(*years))
+    means = rows.groupBy(*keys, "year").agg(*[F.avg(c).alias(c) for c in columns])
+    return means if years is None else with_all_years(means, columns, *years, keys)
 
 
 def mode_by_group(df: DataFrame, column: str, keys: Sequence[str]) -> DataFrame:

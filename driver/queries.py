@@ -202,7 +202,7 @@ def q_cdh(spark, sf):
 
 
 def q_cdh_eahx(spark, sf):
-    rows = V.by_supplier(spark, sf)
+    rows = materialized(V.by_supplier(spark, sf))
     return ground.residual_exchanger(rows, ground.soil_parameters(rows, KEY, "day"), KEY, "day")
 
 
@@ -212,16 +212,26 @@ def q_cdh_pdec(spark, sf):
 
 # typical years --------------------------------------------------------------------------------
 
-def _statistics(spark, sf):
-    return typical_year.finkelstein_schafer(V.by_flag(spark, sf), keys=KEY, whole_months=True)
+def _statistics(daily: DataFrame):
+    return typical_year.finkelstein_schafer(daily, keys=KEY, whole_months=True)
+
+
+def _iso_rows(daily: DataFrame):
+    return typical_year.typical_rows(
+        daily, typical_year.typical_months(_statistics(daily), KEY), DAILY, KEY, "day")
+
+
+def _mean_rows(daily: DataFrame):
+    rows = daily.withColumn("wind_dir", codes.wind_sector(F.col("ghi") % 360))
+    return typical_year.mean_typical_year(rows, DAILY, ("wind_dir",), KEY, "day")
 
 
 def q_tmy_iso_fs(spark, sf):
-    return _statistics(spark, sf).select("station_id", "year", "month", "fs_t_db", "fs_ghi", "fs_rh", "fs_v_air")
+    return _statistics(V.by_flag(spark, sf)).select("station_id", "year", "month", "fs_t_db", "fs_ghi", "fs_rh", "fs_v_air")
 
 
 def q_tmy_iso(spark, sf):
-    return typical_year.typical_months(_statistics(spark, sf), KEY)
+    return typical_year.typical_months(_statistics(V.by_flag(spark, sf)), KEY)
 
 
 def q_tmy_iso_network(spark, sf):
@@ -231,13 +241,11 @@ def q_tmy_iso_network(spark, sf):
 
 
 def q_tmy_iso_rows(spark, sf):
-    return typical_year.typical_rows(
-        V.by_flag(spark, sf), q_tmy_iso(spark, sf), DAILY, KEY, "day")
+    return _iso_rows(materialized(V.by_flag(spark, sf)))
 
 
 def q_tmy_mean(spark, sf):
-    rows = V.by_flag(spark, sf).withColumn("wind_dir", codes.wind_sector(F.col("ghi") % 360))
-    return typical_year.mean_typical_year(rows, DAILY, ("wind_dir",), KEY, "day")
+    return _mean_rows(V.by_flag(spark, sf))
 
 
 def _line_points(spark, sf):
@@ -368,7 +376,7 @@ def q_soil_hadvig(spark, sf):
 
 
 def q_soil_daily(spark, sf):
-    rows = V.by_flag(spark, sf)
+    rows = materialized(V.by_flag(spark, sf))
     return ground.soil_daily(rows, ground.soil_parameters(rows, KEY, "day"), KEY)
 
 
@@ -491,8 +499,9 @@ def q_compare_sources(spark, sf):
 def q_compare_methods(spark, sf):
     """Ranked and averaged typical years side by side, by day."""
     keys = ["station_id", "tmy_ts"]
-    both = q_tmy_iso_rows(spark, sf).select(*keys, "t_db").withColumn("method", F.lit("iso")).unionByName(
-        q_tmy_mean(spark, sf).select(*keys, "t_db").withColumn("method", F.lit("mean")))
+    daily = materialized(V.by_flag(spark, sf))
+    both = _iso_rows(daily).select(*keys, "t_db").withColumn("method", F.lit("iso")).unionByName(
+        _mean_rows(daily).select(*keys, "t_db").withColumn("method", F.lit("mean")))
     return compare.side_by_side(both, keys, F.col("method"), ["iso", "mean"], F.col("t_db"))
 
 
