@@ -1,4 +1,7 @@
-"""Humid-air expressions and unit changes."""
+"""Humid-air expressions and unit changes.
+
+The coefficients in the expressions are fixed values of the published formulas.
+"""
 
 from __future__ import annotations
 

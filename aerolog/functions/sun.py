@@ -6,9 +6,13 @@ import math
 
 from pyspark.sql import Column, functions as F
 
+#: Solar constant in W/m² and cap of the clearness index (fixed values).
 SOLAR_CONSTANT = 1366.0
 MAX_CLEARNESS = 0.8
 
+# The numbers below, and those in the expressions for orbit, equation of time and distance, are
+# fixed values of the published models.
+
 #: Declination series: constant, then (sine, cosine) weights of the first three harmonics.
 DECLINATION = (0.0064979, ((0.405906, -0.0132296), (0.0020054, 0.0063809), (-0.002988, 0.0003508)))
 

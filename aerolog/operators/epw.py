@@ -1,4 +1,7 @@
-"""EPW rows and header lines for all stations at once."""
+"""EPW rows and header lines for all stations at once.
+
+The words and the field order of the header lines are fixed values of the file format.
+"""
 
 from __future__ import annotations
 

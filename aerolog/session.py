@@ -26,6 +26,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", "12g")
+        # call sites in error messages cost a round trip to the JVM per column
+        .config("spark.sql.dataFrameQueryContext.enabled", "false")
         # small tables: rows are dear (solar geometry, filled gaps) though their bytes are few
         .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
     )

@@ -27,6 +27,7 @@ def read_epw(spark: SparkSession, path: str, columns: Sequence[str] = ("dry_bulb
     """Event time and the wanted columns of the data lines.
 
     Data lines start with a four-digit year; header lines and truncated lines are dropped.
+    Impossible dates and numbers that do not parse are NULL.
     ``partitions`` declares the partition columns of the folder, for example ``"station_id STRING"``.
     """
     schema = "value STRING" + (f", {partitions}" if partitions else "")
@@ -42,5 +43,5 @@ def read_epw(spark: SparkSession, path: str, columns: Sequence[str] = ("dry_bulb
     year, month, day, hour = (field(n).try_cast("int") for n in ("year", "month", "day", "hour"))
     return rows.select(
         *kept,
-        F.make_timestamp_ntz(year, month, day, hour - 1, F.lit(0), F.lit(0)).alias("ts"),
+        F.try_make_timestamp_ntz(year, month, day, hour - 1, F.lit(0), F.lit(0)).alias("ts"),
         *[F.when(field(c) != "", field(c)).try_cast("double").alias(c) for c in columns])

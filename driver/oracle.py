@@ -523,9 +523,9 @@ SELECT station_id, {dates}, {nothing} FROM (
 SELECT {r('round(lat, 2)', 'lat')}, {r('round(lon, 2)', 'lon')}, day, {r('t_db')} FROM flag JOIN flag_places USING (station_id)""")
 
     sql["q_pearson_bias"] = q(
-        [SUP, """ext AS (SELECT CAST(o_orderdate AS DATE) AS day, avg(o_totalprice)/19000 AS p FROM orders GROUP BY 1)""",
-         """pairs AS (SELECT station_id, CASE WHEN dayofyear(s.day) % 7 <> 0 THEN t_db END AS x,
-  CASE WHEN dayofyear(e.day) % 5 <> 0 THEN p END AS y FROM sup s LEFT JOIN ext e ON s.day = e.day)""",
+        [SUP, """ext AS (SELECT CAST(o_orderdate AS DATE) AS day, avg(o_totalprice) AS p FROM orders GROUP BY 1)""",
+         """pairs AS (SELECT station_id, CASE WHEN rh < 90 THEN t_db END AS x,
+  CASE WHEN p < 270000 THEN p/19000 END AS y FROM sup s LEFT JOIN ext e ON s.day = e.day)""",
          "centred AS (SELECT *, x - avg(x) OVER (PARTITION BY station_id) AS dx, y - avg(y) OVER (PARTITION BY station_id) AS dy FROM pairs)"], f"""
 SELECT station_id, {r('avg(x - y)', 'bias')}, {r('sum(dx*dy)/(sqrt(sum(dx*dx))*sqrt(sum(dy*dy)))', 'r')} FROM centred GROUP BY 1""")
     sql["q_compare_sources"] = "SELECT l_suppkey AS station_id, CAST(year(l_shipdate) AS BIGINT) AS year, " + ", ".join(

@@ -483,10 +483,10 @@ def q_gridded_csv(spark, sf):
 
 def q_pearson_bias(spark, sf):
     left = V.by_supplier(spark, sf).select(
-        "station_id", "day", F.when(F.dayofyear("day") % 7 != 0, F.col("t_db")).alias("x"))
+        "station_id", "day", F.when(F.col("rh") < 90, F.col("t_db")).alias("x"))
     right = V.table(spark, sf, "orders").groupBy(F.col("o_orderdate").cast("date").alias("day")).agg(
         F.avg("o_totalprice").alias("p")).select(
-        "day", F.when(F.dayofyear("day") % 5 != 0, F.col("p") / 19000).alias("y"))
+        "day", F.when(F.col("p") < 270000, F.col("p") / 19000).alias("y"))
     return compare.pearson_and_bias(compare.aligned(left, right, ["day"]), "x", "y", KEY)
 
 
