@@ -4,8 +4,8 @@ from __future__ import annotations
 
 
 def r(expression: str, name: str | None = None) -> str:
-    """Six decimals (summation noise off first), no negative zero."""
-    return f"round(round({expression}, 10), 6) + 0.0 AS {name or expression}"
+    """Four decimals (summation noise off first), no negative zero."""
+    return f"round(round({expression}, 10), 4) + 0.0 AS {name or expression}"
 
 
 def i(expression: str, name: str | None = None) -> str:
@@ -22,7 +22,7 @@ def season_t(day: str) -> str:
 
 def daily(name: str, station: str) -> str:
     return f"""{name} AS (
-  SELECT station_id, day, {season_t('day')} + (qty-25.5)/2 AS t_db, p/199 AS ghi, 40+c*590 AS rh, x*97 AS v_air
+  SELECT station_id, day, {season_t('day')} + (qty-25.5)/2 AS t_db, p/(63*pi()) AS ghi, 40+c*(188*pi()) AS rh, x*(31*pi()) AS v_air
   FROM (SELECT {station} AS station_id, CAST(l_shipdate AS DATE) AS day, avg(l_quantity) AS qty,
                avg(l_extendedprice) AS p, avg(l_discount) AS c, avg(l_tax) AS x
         FROM lineitem GROUP BY 1, 2))"""
@@ -32,7 +32,7 @@ SUP = daily("sup", "l_suppkey")
 FLAG = daily("flag", "l_returnflag")
 FIELD = """CASE event_type WHEN 'click' THEN 't_db' WHEN 'view' THEN 'rh' WHEN 'error' THEN 'v_air'
   WHEN 'purchase' THEN 'p_atm' WHEN 'signup' THEN 'ghi' END"""
-POINTS = f"pts AS (SELECT user_id AS station_id, event_id, ts, {FIELD} AS field, value FROM events)"
+POINTS = f"pts AS (SELECT user_id AS station_id, event_id, ts, {FIELD} AS field, value*(pi()/10) AS value FROM events)"
 END = "date_trunc('hour', ts) + INTERVAL 1 HOUR"
 
 
@@ -75,9 +75,9 @@ LINE_HOURS = f"""obs AS (
          l_shipdate + to_hours(CAST((l_orderkey + 5*l_linenumber) % 24 AS INTEGER)) + to_minutes(l_partkey % 60) AS ts,
          {season_t('CAST(l_shipdate AS DATE)')} + 4*sin(2*pi()*((l_orderkey + 5*l_linenumber) % 24 - 9)/24)
            + (l_quantity-25.5)/5 AS t_db,
-         40 + l_discount*590 AS rh, l_tax*97 AS v_air, l_extendedprice % 360 AS wind_dir,
-         CASE WHEN l_quantity > 40 THEN l_tax*50 ELSE 0 END AS rain, l_discount*30 AS prec_rate,
-         greatest(0, sin(pi()*((l_orderkey + 5*l_linenumber) % 24 - 6)/12))*(300 + l_extendedprice/199) AS ghi,
+         40 + l_discount*(188*pi()) AS rh, l_tax*(31*pi()) AS v_air, l_extendedprice*pi() % 360 AS wind_dir,
+         CASE WHEN l_quantity > 40 THEN l_tax*(16*pi()) ELSE 0 END AS rain, l_discount*(9*pi()) AS prec_rate,
+         greatest(0, sin(pi()*((l_orderkey + 5*l_linenumber) % 24 - 6)/12))*(300 + l_extendedprice/(63*pi())) AS ghi,
          990 + l_quantity/3 AS p_atm_min, 1010 + l_quantity/3 AS p_atm_max
   FROM lineitem),
 hours AS (SELECT station_id, {END} AS ts, {', '.join(f'avg({f}) AS {f}' for f in HOUR_FIELDS)} FROM obs GROUP BY 1, 2)"""
@@ -338,7 +338,7 @@ SELECT station_id, field, {END} AS hour_end, {r('avg(value)', 'mean')} FROM pts
   floor((l_extendedprice % 360 + 22.5)/45)*45 AS sector, floor(l_discount*30) AS kind FROM lineitem)""",
          mode_of("lines", "station_id, hour_ts", "sector", "m1"),
          mode_of("lines", "station_id, hour_ts", "kind", "m2", "kind <> 0")], f"""
-SELECT a.station_id, a.hour_ts, {r('avg(l_quantity)', 't_db')}, {r('sum(l_tax*100)', 'rain')},
+SELECT a.station_id, a.hour_ts, {r('avg(l_quantity*pi())', 't_db')}, {r('sum(l_tax*100)', 'rain')},
   {r('min(m1.top)', 'wind_dir')}, {r('coalesce(min(m2.top), 0)', 'rain_type')}
 FROM lines a LEFT JOIN m1 USING (station_id, hour_ts) LEFT JOIN m2 USING (station_id, hour_ts) GROUP BY 1, 2""")
     sql["q_daily_mean"] = q([POINTS, wide("w", ["t_db", "rh"], "date_trunc('hour', ts)")], f"""
@@ -529,7 +529,7 @@ SELECT {r('round(lat, 2)', 'lat')}, {r('round(lon, 2)', 'lon')}, day, {r('t_db')
          "centred AS (SELECT *, x - avg(x) OVER (PARTITION BY station_id) AS dx, y - avg(y) OVER (PARTITION BY station_id) AS dy FROM pairs)"], f"""
 SELECT station_id, {r('avg(x - y)', 'bias')}, {r('sum(dx*dy)/(sqrt(sum(dx*dx))*sqrt(sum(dy*dy)))', 'r')} FROM centred GROUP BY 1""")
     sql["q_compare_sources"] = "SELECT l_suppkey AS station_id, CAST(year(l_shipdate) AS BIGINT) AS year, " + ", ".join(
-        r(f"avg(l_quantity) FILTER (l_returnflag = '{f}')", f'"{f}"') for f in "ANR") + " FROM lineitem GROUP BY l_suppkey, year(l_shipdate)"
+        r(f"avg(l_quantity*pi()) FILTER (l_returnflag = '{f}')", f'"{f}"') for f in "ANR") + " FROM lineitem GROUP BY l_suppkey, year(l_shipdate)"
     sql["q_compare_methods"] = q([*ISO, *mean_days[1:2]], f"""
 SELECT station_id, tmy_ts, {r("avg(t_db) FILTER (method = 'iso')", 'iso')}, {r("avg(t_db) FILTER (method = 'mean')", 'mean')} FROM (
   SELECT station_id, tmy_ts, t_db, 'iso' AS method FROM iso_rows

@@ -28,13 +28,13 @@ CENTER, RADIUS = (50.0, 10.0), 900.0
 
 
 def tidy(df: DataFrame) -> DataFrame:
-    """Doubles with six decimals, integers as BIGINT: the form the SQL twins return.
+    """Doubles with four decimals, integers as BIGINT: the form the SQL twins return.
 
     The inner rounding takes off the noise of summation order before half-way cases are decided.
     """
     def one(f: T.StructField):
         if isinstance(f.dataType, T.DoubleType):
-            return (F.round(F.round(f.name, 10), 6) + F.lit(0.0)).alias(f.name)
+            return (F.round(F.round(f.name, 10), 4) + F.lit(0.0)).alias(f.name)
         if isinstance(f.dataType, T.IntegralType):
             return F.col(f.name).cast("bigint").alias(f.name)
         return F.col(f.name)
@@ -130,7 +130,7 @@ def q_hourly_pivot(spark, sf):
 def q_hourly_multi_agg(spark, sf):
     rows = V.table(spark, sf, "lineitem").select(
         F.col("l_returnflag").alias("station_id"), F.col("l_shipdate").alias("ts"),
-        F.col("l_quantity").alias("t_db"), (F.col("l_tax") * 100).alias("rain"),
+        (F.col("l_quantity") * F.pi()).alias("t_db"), (F.col("l_tax") * 100).alias("rain"),
         codes.wind_sector(F.col("l_extendedprice") % 360).cast("double").alias("wind_dir"),
         F.floor(F.col("l_discount") * 30).cast("double").alias("rain_type"))
     long = points.to_points(rows, ("t_db", "rain", "wind_dir", "rain_type"), ("station_id", "ts"))
@@ -470,7 +470,7 @@ def q_gridded_csv(spark, sf):
     rows = V.by_flag(spark, sf).join(V.flag_places(spark, sf), KEY)
     place = ["lat", "lon"]
     data = rows.select(*place, F.concat_ws(
-        ",", F.col("day").cast("string"), F.round("t_db", 6).cast("string")).alias("value"))
+        ",", F.col("day").cast("string"), F.col("t_db").cast("string")).alias("value"))
     preamble = V.flag_places(spark, sf).select(*place, F.explode(F.array(
         F.lit("latitude,longitude,elevation"), F.lit("45.0,7.0,240.0"),
         F.lit("time,temperature_2m_mean (°C)"))).alias("value"))
@@ -493,7 +493,7 @@ def q_pearson_bias(spark, sf):
 def q_compare_sources(spark, sf):
     rows = V.table(spark, sf, "lineitem").select(
         F.col("l_suppkey").alias("station_id"), F.year("l_shipdate").alias("year"), "l_returnflag", "l_quantity")
-    return compare.side_by_side(rows, ["station_id", "year"], F.col("l_returnflag"), ["A", "N", "R"], F.col("l_quantity"))
+    return compare.side_by_side(rows, ["station_id", "year"], F.col("l_returnflag"), ["A", "N", "R"], F.col("l_quantity") * F.pi())
 
 
 def q_compare_methods(spark, sf):

@@ -1,7 +1,8 @@
 """Weather-like views over the driver's tables.
 
-The tables hold no weather, so each view maps columns of a whole table to observations.  The SQL
-twins are in :mod:`driver.oracle`.
+The tables hold no weather, so each view maps columns of a whole table to observations.  Values are
+scaled by multiples of pi: no result then lies half-way between two decimals, where engines round
+differently.  The SQL twins are in :mod:`driver.oracle`.
 """
 
 from __future__ import annotations
@@ -33,8 +34,8 @@ def daily(spark: SparkSession, sf: str, station: str) -> DataFrame:
         .agg(F.avg("l_quantity").alias("q"), F.avg("l_extendedprice").alias("p"),
              F.avg("l_discount").alias("c"), F.avg("l_tax").alias("x"))
         .select("station_id", "day", (_season(F.col("day")) + (F.col("q") - 25.5) / 2).alias("t_db"),
-                (F.col("p") / 199).alias("ghi"), (40 + F.col("c") * 590).alias("rh"),
-                (F.col("x") * 97).alias("v_air"))
+                (F.col("p") / (63 * F.pi())).alias("ghi"), (40 + F.col("c") * (188 * F.pi())).alias("rh"),
+                (F.col("x") * (31 * F.pi())).alias("v_air"))
     )
 
 
@@ -55,13 +56,13 @@ def line_observations(spark: SparkSession, sf: str) -> DataFrame:
             hours=hour.cast("int"), mins=(F.col("l_partkey") % 60).cast("int"))).alias("ts"),
         (_season(F.col("l_shipdate").cast("date")) + 4 * F.sin(2 * math.pi * (hour - 9) / 24)
          + (F.col("l_quantity") - 25.5) / 5).alias("t_db"),
-        (40 + F.col("l_discount") * 590).alias("rh"),
-        (F.col("l_tax") * 97).alias("v_air"),
-        (F.col("l_extendedprice") % 360).alias("wind_dir"),
-        F.when(F.col("l_quantity") > 40, F.col("l_tax") * 50).otherwise(F.lit(0.0)).alias("rain"),
-        (F.col("l_discount") * 30).alias("prec_rate"),
+        (40 + F.col("l_discount") * (188 * F.pi())).alias("rh"),
+        (F.col("l_tax") * (31 * F.pi())).alias("v_air"),
+        (F.col("l_extendedprice") * F.pi() % 360).alias("wind_dir"),
+        F.when(F.col("l_quantity") > 40, F.col("l_tax") * (16 * F.pi())).otherwise(F.lit(0.0)).alias("rain"),
+        (F.col("l_discount") * (9 * F.pi())).alias("prec_rate"),
         (F.greatest(F.lit(0.0), F.sin(math.pi * (hour - 6) / 12))
-         * (300 + F.col("l_extendedprice") / 199)).alias("ghi"),
+         * (300 + F.col("l_extendedprice") / (63 * F.pi()))).alias("ghi"),
         (990 + F.col("l_quantity") / 3).alias("p_atm_min"),
         (1010 + F.col("l_quantity") / 3).alias("p_atm_max"),
     )
@@ -72,7 +73,8 @@ def event_points(spark: SparkSession, sf: str) -> DataFrame:
     kind = F.col("event_type")
     field = F.coalesce(*[F.when(kind == k, F.lit(f)) for k, f in EVENT_FIELDS.items()])
     return table(spark, sf, "events").select(
-        F.col("user_id").alias("station_id"), "event_id", "ts", field.alias("field"), "value")
+        F.col("user_id").alias("station_id"), "event_id", "ts", field.alias("field"),
+        (F.col("value") * (F.pi() / 10)).alias("value"))
 
 
 def event_places(spark: SparkSession, sf: str) -> DataFrame:
