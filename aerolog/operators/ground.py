@@ -30,38 +30,40 @@ def phase_day(coldest: Column) -> Column:
 
 
 def soil_parameters(series: DataFrame, keys: Sequence[str] = KEYS, ts: str = "ts",
-                    phase: str = "daily_min") -> DataFrame:
-    """``amplitude``, ``mean_t``, ``phase_day`` and ``warmest`` of a one-year series per key.
+                    phase: str = "daily_min", warmest: bool = False) -> DataFrame:
+    """``amplitude``, ``mean_t`` and ``phase_day`` of a one-year series per key.
 
     ``phase="daily_min"`` looks for the day with the least mean radiation, ``"hourly_min"`` for
-    the first hour with the least.  ``warmest`` is the zero-based hour of the year with the
-    highest temperature.  Group by the year too if the series has several.
+    the first hour with the least.  Group by the year too if the series has several.  With
+    ``warmest``, also the zero-based hour of the year with the highest temperature (the phase of
+    the alternative soil model).
     """
     if phase not in ("daily_min", "hourly_min"):
         raise ValueError(f"unknown phase {phase!r}")
-    d = F.col(ts).cast("date")
-    hour = day_of_year0(d) * 24 + (F.hour(ts) if series.schema[ts].dataType.typeName() != "date"
-                                   else F.lit(0))
-    slot = d if phase == "daily_min" else F.col(ts)
+    slot = F.col(ts).cast("date") if phase == "daily_min" else F.col(ts)
     # sums per slot first, so that the monthly and yearly means stay those of the rows
     slots = series.groupBy(*keys, slot.alias("_slot")).agg(
-        F.avg("ghi").alias("_ghi"), F.sum("t_db").alias("_sum"), F.count("t_db").alias("_n"),
-        F.max_by(F.struct(hour.alias("h"), F.col("t_db").alias("t")),
-                 F.when(F.col("t_db").isNotNull(), F.struct(F.col("t_db"), -hour))).alias("_top"))
+        F.avg("ghi").alias("_ghi"), F.sum("t_db").alias("_sum"), F.count("t_db").alias("_n"))
     month = F.month("_slot")
 
     def month_mean(m: int) -> Column:
         return F.try_divide(F.sum(F.when(month == m, F.col("_sum"))),
                             F.sum(F.when(month == m, F.col("_n"))))
 
-    return slots.groupBy(*keys).agg(
+    parameters = slots.groupBy(*keys).agg(
         (0.5 * (month_mean(7) - month_mean(1)) + 1.1).alias("amplitude"),
         (F.try_divide(F.sum("_sum"), F.sum("_n")) + 1.7).alias("mean_t"),
         phase_day(F.min_by(day_of_year0(F.col("_slot")), F.when(
             F.col("_ghi").isNotNull(), F.struct(F.round("_ghi", 9), F.col("_slot"))))).alias("phase_day"),
-        F.max_by("_top.h", F.when(F.col("_top").isNotNull(), F.struct(
-            F.col("_top.t"), -F.col("_top.h")))).alias("warmest"),
     )
+    if not warmest:
+        return parameters
+    d = F.col(ts).cast("date")
+    dated = series.schema[ts].dataType.typeName() == "date"
+    hour = day_of_year0(d) * 24 + (F.lit(0) if dated else F.hour(ts))
+    hottest = series.groupBy(*keys).agg(F.max_by(hour, F.when(
+        F.col("t_db").isNotNull(), F.struct(F.col("t_db"), -hour))).alias("warmest"))
+    return parameters.join(hottest, list(keys))
 
 
 def soil_profile(parameters: DataFrame, keys: Sequence[str] = KEYS, model: str = "labs",

@@ -62,7 +62,8 @@ def latest_points(points: DataFrame, ingested: Column,
                   keys: Sequence[str] = POINT_KEYS) -> DataFrame:
     """One value per key: the one ingested last (the larger value if two came together).
 
-    An aggregate, not a window, so that copies of a hot key collapse before the shuffle.
+    An aggregate, not a window, so that copies of a hot key collapse before the shuffle.  It sorts
+    within tasks (its state is a pair) but moves every key once.
     """
     return points.groupBy(*keys).agg(
         F.max_by("value", F.struct(ingested, F.col("value"))).alias("value"))
@@ -78,9 +79,13 @@ def decode_coords(df: DataFrame, column: str = "coords") -> DataFrame:
 
 
 def station_places(points: DataFrame, keys: Sequence[str] = KEYS, order: str = "ts") -> DataFrame:
-    """The latest coordinate pair of every station, as one pair of one row."""
+    """The latest coordinate pair of every station, as one pair of one row.
+
+    The points fold to the distinct places first, by hashing; only those few are then compared.
+    """
+    places = points.groupBy(*keys, "lat", "lon").agg(F.max(order).alias("_last"))
     return (
-        points.groupBy(*keys)
-        .agg(F.max_by(F.struct("lat", "lon"), F.struct(F.col(order), "lat", "lon")).alias("_place"))
+        places.groupBy(*keys)
+        .agg(F.max_by(F.struct("lat", "lon"), F.struct("_last", "lat", "lon")).alias("_place"))
         .select(*keys, "_place.lat", "_place.lon")
     )

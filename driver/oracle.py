@@ -315,8 +315,8 @@ SELECT 'U' || user_id AS station_id, date_trunc('second', ts) AS ts, count(*) AS
     sql["q_unit_convert"] = q([SUP], f"""SELECT station_id, day, {r('v_air/3.6', 'v_ms')},
   {r('100*coalesce(CASE WHEN rh > 60 THEN 1000 + v_air END, (990 + t_db + 995 + rh)/2)', 'p_pa')} FROM sup""")
     sql["q_coords"] = f"""
-SELECT user_id AS station_id, {r('arg_max(40 + event_id % 97 / 8, (ts, event_id))', 'lat')},
-  {r('arg_max(-7 + event_id % 89 / 4, (ts, event_id))', 'lon')} FROM events GROUP BY 1"""
+SELECT user_id AS station_id, {r('arg_max(40 + event_id % 97 / 8, (ts, 40 + event_id % 97 / 8, -7 + event_id % 89 / 4))', 'lat')},
+  {r('arg_max(-7 + event_id % 89 / 4, (ts, 40 + event_id % 97 / 8, -7 + event_id % 89 / 4))', 'lon')} FROM events GROUP BY 1"""
     sql["q_id_list"] = """
 SELECT id, count(*) AS n FROM (SELECT upper(trim(c_name)) AS id FROM customer UNION ALL SELECT upper(trim(c_mktsegment)) FROM customer
   UNION ALL SELECT 'N' || c_nationkey FROM customer) GROUP BY 1"""

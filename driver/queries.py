@@ -87,8 +87,7 @@ def q_coords(spark, sf):
     text = F.concat(F.lit("("), (40 + F.col("event_id") % 97 / 8).cast("string"), F.lit(", "),
                     (-7 + F.col("event_id") % 89 / 4).cast("string"), F.lit(")"))
     placed = points.decode_coords(e.withColumn("coords", text))
-    return points.station_places(placed.withColumn(
-        "_order", F.struct("ts", "event_id")), KEY, "_order")
+    return points.station_places(placed, KEY)
 
 
 def q_id_list(spark, sf):
@@ -363,7 +362,7 @@ def q_tz_offset(spark, sf):
 
 def q_soil_params(spark, sf):
     rows = V.by_supplier(spark, sf).withColumn("year", F.year("day"))
-    return ground.soil_parameters(rows, ["station_id", "year"], "day").drop("warmest")
+    return ground.soil_parameters(rows, ["station_id", "year"], "day")
 
 
 def q_soil_profile(spark, sf):
@@ -372,7 +371,7 @@ def q_soil_profile(spark, sf):
 
 def q_soil_hadvig(spark, sf):
     return ground.soil_profile(
-        ground.soil_parameters(V.by_supplier(spark, sf), KEY, "day"), KEY, "hadvig", (0.5, 2.0))
+        ground.soil_parameters(V.by_supplier(spark, sf), KEY, "day", warmest=True), KEY, "hadvig", (0.5, 2.0))
 
 
 def q_soil_daily(spark, sf):

@@ -69,7 +69,7 @@ def year(spark):
 
 def test_soil_parameters(spark):
     s = year(spark)
-    p = ground.soil_parameters(s, KEY).first()
+    p = ground.soil_parameters(s, KEY, warmest=True).first()
     pdf = s.toPandas()
     month = pdf.ts.dt.month
     assert p.amplitude == pytest.approx(0.5 * (pdf.t_db[month == 7].mean() - pdf.t_db[month == 1].mean()) + 1.1)
@@ -87,7 +87,7 @@ def test_phase_inside_the_year(spark):
 
 
 def test_profile_shape(spark):
-    parameters = ground.soil_parameters(year(spark), KEY)
+    parameters = ground.soil_parameters(year(spark), KEY, warmest=True)
     profile = ground.soil_profile(parameters, KEY)
     assert profile.count() == 4 * 12 * 11
     spread = {r.depth: r.s for r in profile.where("soil = 'wet_clay'").groupBy("depth").agg(
