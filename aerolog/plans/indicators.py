@@ -10,7 +10,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..functions.calendar import day_index
 from ..operators import compare, degree, urban
+from ..operators.gapfill import interpolate
 from ..operators.points import in_range, years_window
 from ..operators.resample import daily_mean, hourly_wide, yearly_mean
 from ..schemas import KEYS
@@ -53,6 +55,13 @@ def degree_hours_by_method(typical_rows: DataFrame, heating: bool,
     return run(typical_rows, keys=keys)
 
 
+def daily_curves(typical_rows: DataFrame, columns: Sequence[str] = ("t_db",),
+                 keys: Sequence[str] = (*KEYS, "method")) -> DataFrame:
+    """Daily means of typical years with gaps interpolated, to lay methods or periods side by side."""
+    daily = daily_mean(typical_rows, columns, keys, "tmy_ts")
+    return interpolate(daily, columns, day_index(F.col("day")), keys)
+
+
 def weather_file_against_station(epw: DataFrame, points: DataFrame, start: Column, stop: Column,
                                  keys: Sequence[str] = KEYS) -> DataFrame:
     """Bias and correlation of the dry bulb of EPW rows ``(ts, dry_bulb_temperature)`` with every station.

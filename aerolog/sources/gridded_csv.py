@@ -39,8 +39,12 @@ def parse_lines(lines: DataFrame, fields: Sequence[str], time: str = "timestamp_
 
 
 def place_in_path(path: Column) -> dict[str, Column]:
-    """``lat`` and ``lon`` from folder names ``lat=45.07/lon=7.69``."""
-    return {n: F.regexp_extract(path, rf"{n}=(-?[0-9.]+)", 1).try_cast("double") for n in ("lat", "lon")}
+    """``lat``, ``lon`` and, if named, ``station_id`` from folders ``station_id=X/lat=45.07/lon=7.69``."""
+    station = F.regexp_extract(path, r"station_id=([^/]+)/", 1)
+    return {
+        "station_id": F.when(station != "", F.upper(station)),
+        **{n: F.regexp_extract(path, rf"{n}=(-?[0-9.]+)", 1).try_cast("double") for n in ("lat", "lon")},
+    }
 
 
 def read_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
@@ -62,9 +66,9 @@ def read_daily(spark: SparkSession, paths: str | list[str],
 
 
 def gridded_points(hourly: DataFrame, source: str = "gridded") -> DataFrame:
-    """Hourly rows to points; the place is the station unless the rows carry one."""
-    station = F.col("station_id") if "station_id" in hourly.columns else F.concat_ws(
-        "_", F.col("lat").cast("string"), F.col("lon").cast("string"))
-    rows = hourly.withColumns({"source": F.lit(source), "station_id": station})
+    """Hourly rows to points; where no station is named, the place is the station."""
+    place = F.concat_ws("_", F.col("lat").cast("string"), F.col("lon").cast("string"))
+    rows = hourly.withColumns({
+        "source": F.lit(source), "station_id": F.coalesce(F.col("station_id"), place)})
     fields = [f for f in HOURLY_FIELDS if f in hourly.columns]
     return to_points(rows, fields, ("source", "station_id", "lat", "lon", "ts"))

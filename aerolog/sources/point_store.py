@@ -6,6 +6,7 @@ import datetime as dt
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
+from pyspark.errors import AnalysisException
 
 from ..operators.points import POINT_KEYS
 from ..schemas import POINTS
@@ -33,9 +34,14 @@ def read_points(spark: SparkSession, path: str, start: dt.datetime | None = None
     return points
 
 
-def store_exists(spark: SparkSession, path: str) -> bool:
-    where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
+def _stored(spark: SparkSession, path: str) -> DataFrame | None:
+    """All stored points, or None before the first write."""
+    try:
+        return spark.read.schema(STORED).parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
 
 
 def write_points(points: DataFrame, path: str, ingested: Column | None = None) -> None:
@@ -51,8 +57,9 @@ def write_points(points: DataFrame, path: str, ingested: Column | None = None) -
         F.col("ingest_ts") if "ingest_ts" in points.columns else F.lit(None))
     rows = points.select(*[F.col(f.name) for f in POINTS.fields],
                          stamp.cast("timestamp_ntz").alias("ingest_ts"), F.year("ts").alias("year"))
-    if store_exists(spark, path):
-        rows = _touched(spark, path, rows).unionByName(rows)
+    stored = _stored(spark, path)
+    if stored is not None:
+        rows = _touched(stored, rows).unionByName(rows)
     order = F.struct(F.col("ingest_ts").isNotNull(), "ingest_ts", "value")
     (
         rows.groupBy(*POINT_KEYS, "year")
@@ -65,7 +72,7 @@ def write_points(points: DataFrame, path: str, ingested: Column | None = None) -
     )
 
 
-def _touched(spark: SparkSession, path: str, rows: DataFrame) -> DataFrame:
+def _touched(stored: DataFrame, rows: DataFrame) -> DataFrame:
     """Stored points of the partitions that ``rows`` falls into.
 
     The partitions are listed first (one name per folder of the store), so that the scan is
@@ -77,4 +84,4 @@ def _touched(spark: SparkSession, path: str, rows: DataFrame) -> DataFrame:
     condition = F.lit(False)
     for source, touched in years.items():
         condition = condition | ((F.col("source") == source) & F.col("year").isin(touched))
-    return spark.read.schema(STORED).parquet(path).where(condition)
+    return stored.where(condition)

@@ -82,11 +82,14 @@ def test_gridded_hourly(spark, tmp_path):
     hourly = gridded_csv.read_hourly(spark, str(tmp_path)).orderBy("ts").collect()
     assert [(r.ts, r.lat, r.lon, r.t_db, r.t_dp, r.dif) for r in hourly] == [
         (dt.datetime(1965, 1, 1, 0), 45.07, 7.69, 1.5, 0.5, 12.5), (dt.datetime(1965, 1, 1, 1), 45.07, 7.69, None, None, None)]
+    named = tmp_path / "station_id=north1" / "lat=45.07" / "lon=7.69"
+    named.mkdir(parents=True)
+    (named / "x.csv").write_text((folder / "x.csv").read_text())
     store = str(tmp_path / "store")
-    ingest.ingest_gridded(spark, str(tmp_path / "lat=45.07"), store, stamp("2024-01-01"))
+    ingest.ingest_gridded(spark, [str(tmp_path / "lat=45.07"), str(tmp_path / "station_id=north1")], store, stamp("2024-01-01"))
     points = point_store.read_points(spark, store)
-    assert points.count() == 13 + 10
-    assert {r.station_id for r in points.collect()} == {"45.07_7.69"}
+    assert points.count() == 2 * (13 + 10)
+    assert {r.station_id for r in points.collect()} == {"45.07_7.69", "NORTH1"}
 
 
 def test_gridded_header():
@@ -103,8 +106,8 @@ def test_gridded_daily(spark, tmp_path):
 
 
 def test_lists(spark, tmp_path):
-    (tmp_path / "ids.csv").write_text("iturin1, ITURIN2 ,,x\n")
-    assert [r.id for r in lists.read_ids(spark, str(tmp_path / "ids.csv")).collect()] == ["ITURIN1", "ITURIN2", "X"]
+    (tmp_path / "ids.csv").write_text("north1, NORTH2 ,,x\n")
+    assert [r.id for r in lists.read_ids(spark, str(tmp_path / "ids.csv")).collect()] == ["NORTH1", "NORTH2", "X"]
     (tmp_path / "refs.csv").write_text("continent;country;region;city;lat;lon;wmo\nEurope;ITA;;Turin;45.22;7.65;016059\n")
     row = lists.read_reference_stations(spark, str(tmp_path / "refs.csv")).first()
     assert (row.city, row.lat, row.wmo) == ("Turin", 45.22, "016059")

@@ -58,6 +58,15 @@ def test_degree_hours_by_method(spark):
     assert got["iso", 18] == 2 and got["mean", 24] == 1 and len(got) == 10
 
 
+def test_daily_curves(spark):
+    values = [(1, 0, 1.0), (1, 12, 3.0), (2, 0, None), (3, 0, 6.0), (4, 5, None)]
+    rows = spark.createDataFrame([("ISO", "2003-2012", dt.datetime(1970, 1, d, h), v) for d, h, v in values],
+                                 "method string, period string, tmy_ts timestamp_ntz, t_db double")
+    out = indicators.daily_curves(rows, keys=["method", "period"]).orderBy("day").collect()
+    assert [(str(r.day), r.t_db) for r in out] == [
+        ("1970-01-01", 2.0), ("1970-01-02", 4.0), ("1970-01-03", 6.0), ("1970-01-04", 6.0)]
+
+
 def hot_points(spark, copies):
     """Station 0 sends ``copies`` times as many points as the 50 others together."""
     n = F.col("id").cast("int")
