@@ -32,10 +32,14 @@ def to_wide(points: DataFrame, fields: Sequence[str], ids: Sequence[str]) -> Dat
 def in_range(points: DataFrame, start: Column, stop: Column, ts: str = "ts") -> DataFrame:
     """Half-open time range ``[start, stop)``.
 
-    If the table still carries its partition column ``year``, whole years are pruned too.
+    If the table still carries its partition columns ``year`` and ``month``, whole months are
+    pruned too.
     """
-    if "year" in points.columns:
-        points = points.where(F.col("year").between(F.year(start), F.year(stop)))
+    if {"year", "month"} <= set(points.columns):
+        def month(moment: Column) -> Column:
+            return F.year(moment) * 12 + F.month(moment)
+        stored = F.col("year") * 12 + F.col("month")
+        points = points.where(stored.between(month(start), month(stop)))
     return points.where((F.col(ts) >= start) & (F.col(ts) < stop))
 
 

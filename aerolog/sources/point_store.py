@@ -1,4 +1,7 @@
-"""The stored points: Parquet partitioned by source and year."""
+"""The stored points: Parquet partitioned by source, year and month.
+
+A month is what a landed document covers and so what an upsert rewrites.
+"""
 
 from __future__ import annotations
 
@@ -12,8 +15,15 @@ from ..operators.points import POINT_KEYS
 from ..schemas import POINTS
 
 STORED = T.StructType([
-    *POINTS.fields, T.StructField("ingest_ts", T.TimestampNTZType()), T.StructField("year", T.IntegerType()),
+    *POINTS.fields, T.StructField("ingest_ts", T.TimestampNTZType()),
+    T.StructField("year", T.IntegerType()), T.StructField("month", T.IntegerType()),
 ])
+PARTITIONS = ("source", "year", "month")
+
+
+def month_number() -> Column:
+    """Months counted through the years, from the partition columns: usable for pruning."""
+    return F.col("year") * 12 + F.col("month")
 
 
 def _instant(moment: dt.datetime) -> Column:
@@ -23,14 +33,16 @@ def _instant(moment: dt.datetime) -> Column:
 
 def read_points(spark: SparkSession, path: str, start: dt.datetime | None = None,
                 stop: dt.datetime | None = None, source: str | None = None) -> DataFrame:
-    """Points of the half-open range ``[start, stop)``; untouched years and sources are not read."""
+    """Points of the half-open range ``[start, stop)``; other months and sources are not read."""
     points = spark.read.schema(STORED).parquet(path)
     if source is not None:
         points = points.where(F.col("source") == source)
     if start is not None:
-        points = points.where((F.col("year") >= start.year) & (F.col("ts") >= _instant(start)))
+        points = points.where(
+            (month_number() >= start.year * 12 + start.month) & (F.col("ts") >= _instant(start)))
     if stop is not None:
-        points = points.where((F.col("year") <= stop.year) & (F.col("ts") < _instant(stop)))
+        points = points.where(
+            (month_number() <= stop.year * 12 + stop.month) & (F.col("ts") < _instant(stop)))
     return points
 
 
@@ -47,7 +59,7 @@ def _stored(spark: SparkSession, path: str) -> DataFrame | None:
 def write_points(points: DataFrame, path: str, ingested: Column | None = None) -> None:
     """Upsert: a point written again under the same key replaces the old one.
 
-    Only the (source, year) partitions the new points touch are read back and rewritten, in one
+    Only the partitions the new points touch are read back and rewritten, in one
     dynamic partition overwrite; its output is staged and moved at the commit, so a lost executor
     or a failed job leaves the stored points as they were.  The rebalance splits a partition by
     its measured size, so a station with a third of all points is not one task's work.
@@ -55,20 +67,21 @@ def write_points(points: DataFrame, path: str, ingested: Column | None = None) -
     spark = points.sparkSession
     stamp = ingested if ingested is not None else (
         F.col("ingest_ts") if "ingest_ts" in points.columns else F.lit(None))
-    rows = points.select(*[F.col(f.name) for f in POINTS.fields],
-                         stamp.cast("timestamp_ntz").alias("ingest_ts"), F.year("ts").alias("year"))
+    rows = points.where(F.col("ts").isNotNull()).select(*[F.col(f.name) for f in POINTS.fields],
+                         stamp.cast("timestamp_ntz").alias("ingest_ts"),
+                         F.year("ts").alias("year"), F.month("ts").alias("month"))
     stored = _stored(spark, path)
     if stored is not None:
         rows = _touched(stored, rows).unionByName(rows)
     order = F.struct(F.col("ingest_ts").isNotNull(), "ingest_ts", "value")
     (
-        rows.groupBy(*POINT_KEYS, "year")
+        rows.groupBy(*POINT_KEYS, "year", "month")
         .agg(F.max_by(F.struct("value", "ingest_ts"), order).alias("_last"))
-        .select(*POINT_KEYS, "_last.value", "_last.ingest_ts", "year")
-        .hint("rebalance", "source", "year")
-        .sortWithinPartitions("source", "year", "station_id", "field", "ts")
+        .select(*POINT_KEYS, "_last.value", "_last.ingest_ts", "year", "month")
+        .hint("rebalance", *PARTITIONS)
+        .sortWithinPartitions(*PARTITIONS, "station_id", "field", "ts")
         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy("source", "year").parquet(path)
+        .partitionBy(*PARTITIONS).parquet(path)
     )
 
 
@@ -78,10 +91,10 @@ def _touched(stored: DataFrame, rows: DataFrame) -> DataFrame:
     The partitions are listed first (one name per folder of the store), so that the scan is
     pruned to them whatever the statistics say.
     """
-    years: dict[str, list[int]] = {}
-    for row in rows.select("source", "year").distinct().collect():
-        years.setdefault(row.source, []).append(row.year)
+    months: dict[str, list[int]] = {}
+    for row in rows.select("source", month_number().alias("month")).distinct().collect():
+        months.setdefault(row.source, []).append(row.month)
     condition = F.lit(False)
-    for source, touched in years.items():
-        condition = condition | ((F.col("source") == source) & F.col("year").isin(touched))
+    for source, touched in months.items():
+        condition = condition | (F.col("source").eqNullSafe(source) & month_number().isin(touched))
     return stored.where(condition)

@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from aerolog.operators import epw
+from aerolog.operators.points import in_range
 from aerolog.operators.typical_year import SOIL_FIELDS
 from aerolog.plans import ingest, weather_file
 from aerolog.schemas import EPW_COLUMNS
@@ -55,7 +56,12 @@ def test_upsert_and_pruned_read(spark, tmp_path):
     recent = point_store.read_points(spark, store, dt.datetime(2023, 1, 1), dt.datetime(2024, 1, 1), "network")
     assert recent.count() == 9
     plan = recent._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [" in plan and "year" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    filters = plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert "source" in filters and "year" in filters and "month" in filters
+    assert [p.name for p in sorted((tmp_path / "store").glob("source=network/year=*/month=*"))] == ["month=5", "month=1"]
+    pruned = in_range(point_store.read_points(spark, store), stamp("2022-01-01"), stamp("2022-12-31"))
+    assert pruned.count() == 9 and "year" in pruned._jdf.queryExecution().executedPlan().toString().split(
+        "PartitionFilters: [")[1].split("]")[0]
     assert ingest.station_list(points).count() == 1
 
 
