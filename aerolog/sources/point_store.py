@@ -59,10 +59,10 @@ def _stored(spark: SparkSession, path: str) -> DataFrame | None:
 def write_points(points: DataFrame, path: str, ingested: Column | None = None) -> None:
     """Upsert: a point written again under the same key replaces the old one.
 
-    Only the partitions the new points touch are read back and rewritten, in one
-    dynamic partition overwrite; its output is staged and moved at the commit, so a lost executor
-    or a failed job leaves the stored points as they were.  The rebalance splits a partition by
-    its measured size, so a station with a third of all points is not one task's work.
+    Only the partitions the new points touch are read back and rewritten, in one dynamic partition
+    overwrite; its output is staged and moved at the commit, so a lost executor, or a job that
+    fails before, leaves the stored points as they were.  The rebalance splits a partition by its
+    measured size, so a station with a third of all points is not one task's work.
     """
     spark = points.sparkSession
     stamp = ingested if ingested is not None else (
