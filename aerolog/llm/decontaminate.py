@@ -103,3 +103,10 @@ def hits(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "te
         F.col("_key").alias(key), F.col("_hash").alias("text_hash"), F.col("n_words").cast("long").alias("n_words"),
         covered.cast("long").alias("n_hit"), F.sort_array(F.array_distinct(F.flatten("_items"))).alias("items"),
         F.explode(F.expr("sequence(1, cast(_copies as int))")).alias("_copy")).drop("_copy")
+
+
+def without_hits(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of ``docs`` in which no window of an item occurs."""
+    bad = hits(docs, items, key, text).where("n_hit > 0").select(F.col(key).alias("_key"), "text_hash").distinct()
+    bad = bad.toDF("_bad_key", "_bad_hash")
+    return docs.join(bad, F.col(key).eqNullSafe(F.col("_bad_key")) & (F.xxhash64(text) == F.col("_bad_hash")), "left_anti")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aerolog.llm import bpe, decontaminate, quality_cnn, quality_rules, sharding, token_files, toxicity
+from aerolog.llm import bpe, decontaminate, html_wrapper, line_dedup, near_dedup, quality_cnn, quality_rules, sharding, token_files, toxicity
 from aerolog.llm.common import table
 from aerolog.session import scratch_folder
 
@@ -32,6 +32,13 @@ def op1_sharding(spark: SparkSession, sf: str) -> DataFrame:
                       F.lit(None).cast("int").alias("grown_shard"), "virtual_slot", F.col("version").alias("map_version"))
 
 
+def op2_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    out = line_dedup.without_repeated_lines(docs, dropped="n_dropped")
+    return out.select("doc_id", F.size(F.split("text", "\n")).cast("long").alias("n_lines"), F.col("n_dropped").cast("long").alias("n_dropped"),
+                      F.length("text").cast("long").alias("n_chars"), sha256(F.col("text")).alias("text_sha256"))
+
+
 def op3_quality_classifier(spark: SparkSession, sf: str) -> DataFrame:
     docs, labels = table(spark, sf, "documents").select("doc_id", "text"), table(spark, sf, "labels")
     held_out = toxicity.remainder(F.col("doc_id"), 4) == 2
@@ -50,6 +57,15 @@ def op5_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     return quality_rules.judged(table(spark, sf, "documents"), table(spark, sf, "labels"))
 
 
+def op6_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return near_dedup.near_copies(table(spark, sf, "documents"))
+
+
+def op7_html(spark: SparkSession, sf: str) -> DataFrame:
+    out = html_wrapper.main_texts(table(spark, sf, "pages"))
+    return out.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op8_bpe(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents").select("doc_id", "text")
     out = bpe.with_tokens(docs, tokenizer_path(), back="decoded")
