@@ -20,8 +20,8 @@ found AS (
         FROM d, (SELECT DISTINCT size FROM windows) WHERE len(w) >= size) AS p
   JOIN windows AS x ON x.size = p.size AND x.win = array_to_string(p.w[p.i:p.i + p.size - 1], ' ')),
 hit AS (
-  SELECT row_id, count(DISTINCT at) AS n_hit
-  FROM (SELECT row_id, unnest(range(i, i + size)) AS at FROM found) GROUP BY row_id),
+  SELECT row_id, count(DISTINCT place) AS n_hit
+  FROM (SELECT row_id, unnest(range(i, i + size)) AS place FROM found) GROUP BY row_id),
 items AS (
   SELECT row_id, count(DISTINCT item) AS n_items, string_agg(DISTINCT item, ',' ORDER BY item) AS ids FROM found GROUP BY row_id)
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
