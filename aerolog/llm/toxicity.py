@@ -68,8 +68,11 @@ def fit(texts: list[str | None], labels: list[int]) -> Model:
     n, z = np.zeros(1 << BITS), np.zeros(1 << BITS)
     bias_n = bias_z = 0.0
     data, places = utf8(pa.array(texts, pa.large_string()))
-    rows, at = features(data, places)
-    pairs = np.unique(rows << BITS | at)
+    found = [np.zeros(0, np.int64)]
+    for i, j in pieces(places):  # piece by piece: the work arrays are many times the text
+        rows, at = features(data[places[i]:places[j]], places[i:j + 1] - places[i])
+        found.append(np.unique(i + rows << BITS | at))
+    pairs = np.concatenate(found)
     cuts = np.searchsorted(pairs >> BITS, np.arange(len(texts) + 1))
     order = np.random.default_rng(7)
 
