@@ -7,8 +7,8 @@ fits, the last token is taken back and shortened. Every place is given up at mos
 linear in the length, and the result is that of merging in rank order.
 
 The vocabulary is a tokenizer file with word ends (``</w>``); its text goes to the workers as a
-broadcast, whose size is that of the file. A text is cut at white space; each worker keeps the codes of
-a bounded number of such chunks.
+broadcast, whose size is that of the file. A text is cut at white space and behind its letters; each worker
+keeps the codes of a bounded number of such units.
 
 A null or empty text has no tokens and decodes to an empty string. Strings of the special tokens inside
 a text give their ids. Rows are independent: ties, repeated rows, empty tables and other columns change
@@ -31,10 +31,11 @@ from pyspark.sql import functions as F
 
 from aerolog.llm.common import ready_for_python
 
-#: Chunks whose codes a worker remembers (some 150 bytes each).
-REMEMBERED = 300_000
-#: Longer chunks are encoded each time, so that the memory of a worker stays bounded.
+#: Units whose codes a worker remembers (some 200 bytes each).
+REMEMBERED = 500_000
+#: Longer units are encoded each time, so that the memory of a worker stays bounded.
 LONGEST_REMEMBERED = 64
+PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 #: Added to a word's last character, to tell it from the same character inside.
 WORD_END = 0x1000
 
@@ -49,8 +50,45 @@ def byte_characters() -> list[str]:
     return out
 
 
-class Codec:
+class Remembering:
+    """Codes of texts from the codes of their units, which a worker remembers up to a bound.
+
+    A unit is a chunk between white space, or its letters and the punctuation behind them: no token
+    reaches over those borders. Letters are in lower case already, as the vocabulary has no others.
+    """
+
+    def __init__(self):
+        self.known: dict[str, bytes] = {}
+
+    def encode_units(self, units: list[str]) -> list[bytes]:
+        raise NotImplementedError
+
+    def codes(self, texts: list[str | None]) -> list[bytes]:
+        """The ids of each text, as bytes of 32-bit integers."""
+        cut = [chunks(t or "") for t in texts]
+        known = self.known
+        code: dict[str, bytes | None] = {c: known.get(c) for c in set().union(*cut)}
+        split = {c: halves(c) for c, own in code.items() if own is None}
+        fresh = list({u for both in split.values() for u in both if u not in known})
+        new = dict(zip(fresh, self.encode_units(fresh)))
+        for c, both in split.items():
+            code[c] = b"".join([known[u] if u in known else new[u] for u in both])
+        for u in fresh[:max(0, REMEMBERED - len(known))]:
+            if len(u) <= LONGEST_REMEMBERED:
+                known[u] = new[u]
+        return [b"".join(map(code.__getitem__, row)) for row in cut]
+
+
+def halves(chunk: str) -> tuple[str, ...]:
+    """The letters of a chunk and the ASCII punctuation behind them, or the chunk."""
+    letters = chunk.rstrip(PUNCTUATION)
+    whole = len(letters) == len(chunk) or "<|" in chunk or not letters.isalpha() or letters != letters.lower()
+    return (chunk,) if whole else (letters, chunk[len(letters):])
+
+
+class Codec(Remembering):
     def __init__(self, tokenizer_json: str):
+        super().__init__()
         spec = json.loads(tokenizer_json)
         vocab, end = spec["model"]["vocab"], spec["model"]["end_of_word_suffix"]
         self.pattern = regex.compile(spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"])
@@ -83,7 +121,6 @@ class Codec:
             texts[i] = t.encode() + b" "
         self.starts = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
         self.bytes = np.frombuffer(b"".join(texts), np.uint8)
-        self.known: dict[str, bytes] = {}
 
     def fits(self, a: int, b: int) -> bool:
         """Whether merging leaves the border between the two tokens alone."""
@@ -141,11 +178,7 @@ class Codec:
 
     def words(self, chunk: str) -> Iterator[str]:
         """The words of a chunk without white space, over the inner alphabet."""
-        if not chunk.isascii():
-            chunk = unicodedata.normalize("NFC", chunk)
-            if "Σ" in chunk:
-                chunk = chunk.replace("Σ", "σ")  # letter by letter: no final form
-        for m in self.pattern.finditer(chunk.lower()):
+        for m in self.pattern.finditer(normal(chunk)):
             word = m[0]
             word = word.translate(self.plain) if word.isascii() else "".join(map(self.alphabet.__getitem__, word.encode()))
             yield word[:-1] + chr(ord(word[-1]) + WORD_END)
@@ -160,17 +193,11 @@ class Codec:
                     ids += self.encode_word(word)
         return np.array(ids, np.int32).tobytes()
 
-    def encode(self, text: str | None) -> np.ndarray:
-        known = self.known
-        parts = []
-        for chunk in chunks(text or ""):
-            code = known.get(chunk)
-            if code is None:
-                code = self.encode_chunk(chunk)
-                if len(known) < REMEMBERED and len(chunk) <= LONGEST_REMEMBERED:
-                    known[chunk] = code
-            parts.append(code)
-        return np.frombuffer(b"".join(parts), np.int32)
+    def encode_units(self, units: list[str]) -> list[bytes]:
+        return [self.encode_chunk(u) for u in units]
+
+    def encode(self, texts: list[str | None]) -> list[np.ndarray]:
+        return [np.frombuffer(c, np.int32) for c in self.codes(texts)]
 
     def decode(self, ids: np.ndarray) -> str:
         """Token texts joined by one space, gathered from the table by their offsets."""
@@ -186,8 +213,20 @@ _white = regex.compile(r"\s+")
 _separators = regex.compile(r"[\x1c-\x1f]")
 
 
+def normal(text: str) -> str:
+    """Composed and in lower case, letter by letter (no final sigma)."""
+    if not text.isascii():
+        text = unicodedata.normalize("NFC", text).replace("Σ", "σ")
+    return text.lower()
+
+
 def chunks(text: str) -> list[str]:
-    """A text cut at Unicode white space; Python's own split also cuts at four separators that are none."""
+    """A text cut at Unicode white space; Python's own split also cuts at four separators that are none.
+
+    Texts that might hold a special token stay as they are: its letters must not come from lower-casing.
+    """
+    if "<|" not in text:
+        text = normal(text)
     return [c for c in _white.split(text) if c] if _separators.search(text) else text.split()
 
 
@@ -214,7 +253,7 @@ def encoded(text: Column, shared) -> Column:
     def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         own = codec(shared.value)
         for texts in batches:
-            yield lists([own.encode(t) for t in texts.to_pylist()])
+            yield lists(own.encode(texts.to_pylist()))
 
     return encode(text)
 

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 #: The folder that holds the package.
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 #: Rows of one Arrow batch. Texts can be long, and the tasks hold one batch at a time.
-BATCH_ROWS = 128
+BATCH_ROWS = 256
 #: Bytes of text that numpy works on at once; a longer text is a piece of its own.
 PIECE_BYTES = 1 << 20
 

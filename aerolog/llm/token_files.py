@@ -26,35 +26,45 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from aerolog.llm.bpe import LONGEST_REMEMBERED, REMEMBERED, chunks, lists, vocabulary
+from aerolog.llm.bpe import Remembering, lists, vocabulary
 from aerolog.llm.common import ready_for_python
 from aerolog.session import materialized
 
 
-class Library:
-    """The tokenizers library, asked once for each chunk that a worker remembers."""
+class Library(Remembering):
+    """The tokenizers library, asked once for each unit that a worker remembers."""
 
     def __init__(self, tokenizer_json: str):
+        super().__init__()
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
         self.tokenizer.no_padding()
         self.tokenizer.no_truncation()
-        self.known: dict[str, bytes] = {}
+        # a special token parts the units of one request: the library looks for it before all else
+        self.mark, self.mark_id = next((t.content, i) for i, t in sorted(self.tokenizer.get_added_tokens_decoder().items()))
+
+    def ids(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.int32)
+
+    def encode_units(self, units: list[str]) -> list[bytes]:
+        plain = [u for u in units if "<|" not in u]
+        code = {u: self.ids(u).tobytes() for u in units if "<|" in u}
+        if plain:
+            found = self.ids(self.mark.join(plain))
+            code.update(zip(plain, (part.tobytes() for part in parted(found, self.mark_id))))
+        return [code[u] for u in units]
 
     def encode(self, texts: list[str | None], end: int) -> list[np.ndarray]:
-        """The library cuts at white space before it merges, so chunks are encoded for themselves."""
-        cut = [chunks(t or "") for t in texts]
-        fresh = list({c for row in cut for c in row if c not in self.known})
-        new = {c: np.array(e.ids, np.int32).tobytes()
-               for c, e in zip(fresh, self.tokenizer.encode_batch_fast(fresh, add_special_tokens=False))}
-        room = REMEMBERED - len(self.known)
-        for c in fresh[:max(0, room)]:
-            if len(c) <= LONGEST_REMEMBERED:
-                self.known[c] = new.pop(c)
-        known, last = self.known, np.array([end], np.int32).tobytes()
-        return [np.frombuffer(b"".join([known[c] if c in known else new[c] for c in row]) + last, np.int32) for row in cut]
+        last = np.array([end], np.int32).tobytes()
+        return [np.frombuffer(c + last, np.int32) for c in self.codes(texts)]
+
+
+def parted(ids: np.ndarray, mark: int) -> Iterator[np.ndarray]:
+    """The ids between marks."""
+    cuts = np.flatnonzero(ids == mark).tolist()
+    return (ids[a:b] for a, b in zip([0, *(c + 1 for c in cuts)], [*cuts, len(ids)]))
 
 
 @lru_cache(maxsize=1)
