@@ -6,7 +6,8 @@ each, low bits first; control bytes and data bytes lie apart, so decoding is a l
 a running sum, and a gather. The ranking is stored with the files.
 
 A folder holds ``ranks`` (rank, id) and ``tokens``: one row a document (part, before, doc_id, n_tokens,
-control, data), in ascending order of doc_id within a part and from part to part. Parquet is the
+control, data), in ascending order of doc_id within a part and from part to part; parts are ranges of
+doc_id (a number) of about the same count. Parquet is the
 container, so that Spark's own commit makes a lost executor's files whole.
 
 A null or empty text is the end token alone. Null ids of documents come first; rows with one doc_id
@@ -22,7 +23,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -31,6 +32,10 @@ from aerolog.llm.common import ready_for_python
 from aerolog.session import materialized
 
 
+#: Ranges of ids for each shuffle partition: several, so that partitions come out even.
+PARTS_A_TASK = 4
+
+
 class Library(Remembering):
     """The tokenizers library, asked once for each unit that a worker remembers."""
 
@@ -133,7 +138,7 @@ def write_tokens(docs: DataFrame, path: str, end: int, folder: str, key: str = "
     spark = docs.sparkSession
     ready_for_python(spark)
     shared = vocabulary(spark, path)
-    tokens = materialized(docs.select(F.col(key).alias("doc_id"), encoded(F.col(text), shared, end).alias("ids"))
+    tokens = materialized(docs.select(F.col(key).cast("long").alias("doc_id"), encoded(F.col(text), shared, end).alias("ids"))
                           .select("doc_id", "ids", F.xxhash64("ids").alias("tie")))
     ranked = ranking(tokens)
     spark.createDataFrame([(i, int(x)) for i, x in enumerate(ranked)], "rank long, id long").coalesce(1).write.parquet(f"{folder}/ranks")
@@ -141,23 +146,36 @@ def write_tokens(docs: DataFrame, path: str, end: int, folder: str, key: str = "
     rank_of[ranked] = np.arange(len(ranked), dtype=np.uint32)
     table = spark.sparkContext.broadcast(rank_of)
 
+    parts = PARTS_A_TASK * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    cuts = tokens.agg(F.percentile_approx("doc_id", [k / parts for k in range(1, parts)], 10_000)).first()[0] or []
+    bounds = np.unique(np.array(cuts, np.int64))
+
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, before = TaskContext.get().partitionId(), 0
         for batch in batches:
-            rows = [x.values.to_numpy(zero_copy_only=False) for x in batch.column(1)]
+            rows = [x.values.to_numpy(zero_copy_only=False) for x in batch.column(2)]
             packed = [pack(table.value[r]) for r in rows]
-            sizes = np.array([len(r) for r in rows], np.int64)
-            places = before + np.cumsum(sizes) - sizes
-            before += int(sizes.sum())
+            ids = batch.column(0)
+            part = np.where(np.array(ids.is_null()), 0, np.searchsorted(bounds, pc.fill_null(ids, 0).to_numpy(zero_copy_only=False), "right"))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(rows), part), pa.int32()), pa.array(places), batch.column(0), pa.array(sizes),
+                [pa.array(part, pa.int32()), ids, batch.column(1), pa.array([len(r) for r in rows], pa.int64()),
                  pa.array([c for c, _ in packed], pa.binary()), pa.array([d for _, d in packed], pa.binary())],
-                ["part", "before", "doc_id", "n_tokens", "control", "data"])
+                ["part", "doc_id", "tie", "n_tokens", "control", "data"])
 
-    kind = tokens.schema["doc_id"].dataType.simpleString()
-    (tokens.repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie").select("doc_id", "ids")
-     .mapInArrow(code, f"part int, before long, doc_id {kind}, n_tokens long, control binary, data binary")
-     .write.parquet(f"{folder}/tokens"))
+    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, before = -1, 0
+        for batch in batches:
+            part, sizes = batch.column(0).to_numpy(), batch.column(3).to_numpy()
+            total = np.cumsum(sizes)
+            first = np.searchsorted(part, part)  # rows come by part
+            places = total - sizes - (total - sizes)[first] + np.where(part == last, before, 0)
+            if len(part):
+                last, before = part[-1], int(places[-1] + sizes[-1])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(places, pa.int64()), *(batch.column(k) for k in (1, 3, 4, 5))],
+                                             ["part", "before", "doc_id", "n_tokens", "control", "data"])
+
+    (tokens.select("doc_id", "tie", "ids").mapInArrow(code, "part int, doc_id long, tie long, n_tokens long, control binary, data binary")
+     .repartition("part").sortWithinPartitions("part", "doc_id", "tie")
+     .mapInArrow(number, "part int, before long, doc_id long, n_tokens long, control binary, data binary").write.parquet(f"{folder}/tokens"))
 
 
 def read_tokens(spark: SparkSession, folder: str, as_bytes: bool = False) -> DataFrame:
