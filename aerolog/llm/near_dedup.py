@@ -118,32 +118,25 @@ def near(a: Column, b: Column) -> Column:
 
 
 def whole_set(text: Column) -> Column:
-    """All shingle hashes of a text, sorted, as bytes."""
-    @F.arrow_udf("binary")
+    """All shingle hashes of a text."""
+    @F.arrow_udf("array<bigint>")
     def sets(texts: pa.Array) -> pa.Array:
         data, places = utf8(texts)
-        out: list[bytes] = []
+        out, ends = [np.zeros(0, np.uint64)], [np.zeros(1, np.int64)]
         for i, j in pieces(places):
             rows, found = shingles(data[places[i]:places[j]], places[i:j + 1] - places[i])
-            cuts = np.searchsorted(rows, np.arange(j - i + 1))
-            out += [found[cuts[k]:cuts[k + 1]].tobytes() for k in range(j - i)]
-        return pa.array(out, pa.binary())
+            out.append(found)
+            ends.append(ends[-1][-1] + np.searchsorted(rows, np.arange(1, j - i + 1)))
+        return pa.ListArray.from_arrays(pa.array(np.concatenate(ends), pa.int32()), pa.array(np.concatenate(out).view(np.int64)))
 
     return sets(text)
 
 
 def similar(a: Column, b: Column) -> Column:
     """Whether two whole sets reach the threshold."""
-    @F.arrow_udf("boolean")
-    def check(left: pa.Array, right: pa.Array) -> pa.Array:
-        out = []
-        for x, y in zip(left, right):
-            x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-            shared = len(x) + len(y) - len(np.union1d(x, y)) if 100 * min(len(x), len(y)) >= THRESHOLD * max(len(x), len(y)) else 0
-            out.append(100 * shared >= THRESHOLD * (len(x) + len(y) - shared))
-        return pa.array(out, pa.bool_())
-
-    return check(a, b)
+    fits = 100 * F.least(F.size(a), F.size(b)) >= THRESHOLD * F.greatest(F.size(a), F.size(b))
+    shared = F.size(F.array_intersect(a, b))
+    return F.when(fits, 100 * shared >= THRESHOLD * (F.size(a) + F.size(b) - shared)).otherwise(False)
 
 
 def near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -166,7 +159,7 @@ def near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     heavy = own.where("id is not null").join(wanted, "id", "left_semi").select("id", whole_set(F.col("text")).alias("heavy"))
     facts = materialized(sets.join(wanted, "id", "left_semi").select("id", F.col("sketch").alias("light"))
                          .dropDuplicates(["id"]).join(heavy.dropDuplicates(["id"]), "id"))
-    groups = linked_groups(members, facts, near, similar)
+    groups = linked_groups(members, facts, near, similar, inline=True)
     grouped = classes.join(groups.withColumnRenamed("id", "first"), "first", "left").select(
         "n", "h1", "h2", F.coalesce("group", "first").alias("component"))
     found = signs.join(grouped, ["n", "h1", "h2"], "left")
