@@ -308,7 +308,8 @@ def main_texts(pages: DataFrame, key: str = "page_id", url: str = "url", page: s
     """Key, address and main text of every page."""
     ready_for_python(pages.sparkSession)
     own = pages.select(F.col(key).alias("_key"), F.col(url).alias("_url"), F.col(page).alias("_html"), host(F.col(url)).alias("_host"))
-    chosen = own.groupBy("_host").agg(F.min_by("_key", F.xxhash64("_key")).alias("_chosen"))
+    # written, so that its size is known when the pages are joined with it
+    chosen = materialized(own.groupBy("_host").agg(F.min_by("_key", F.xxhash64("_key")).alias("_chosen")))
     references = materialized(
         own.withColumnRenamed("_host", "_on").join(chosen, F.col("_on").eqNullSafe(F.col("_host")) & F.col("_key").eqNullSafe(F.col("_chosen")))
         .dropDuplicates(["_host"]).select("_host", F.col("_html").alias("_reference")))
