@@ -61,7 +61,7 @@ def with_facts(pairs: DataFrame, facts: DataFrame, fact: str) -> DataFrame:
 
 
 def linked_groups(members: DataFrame, facts: DataFrame, near: Callable[[Column, Column], Column],
-                  same: Callable[[Column, Column], Column], leaders: int = 2, inline: bool = False) -> DataFrame:
+                  same: Callable[[Column, Column], Column], leaders: int = 2) -> DataFrame:
     """(id, group) of the linked records of ``members`` (bucket, id), which come from :func:`crowded`.
 
     ``facts`` has id, light and heavy for each member. A pair is linked if ``near`` holds for its light
@@ -79,13 +79,13 @@ def linked_groups(members: DataFrame, facts: DataFrame, near: Callable[[Column,
             pairs = (unresolved.join(spread, "bucket").where(F.col("group") != F.col("leader_group"))
                      .select(F.least("id", "leader").alias("a"), F.greatest("id", "leader").alias("b")).distinct())
         else:
-            light = unresolved.join(facts.select("id", "light", "heavy" if inline else F.lit(None).alias("heavy")), "id")
+            light = unresolved.join(facts.select("id", "light", "heavy"), "id")
             largest = (unresolved.groupBy("bucket", "group").agg(F.count("*").alias("n"))
                        .groupBy("bucket").agg(F.max_by("group", F.col("n")).alias("main"), F.count("*").alias("k")).where("k > 1"))
             outside = light.join(largest, "bucket").where(F.col("group") != F.col("main")).select(
                 "bucket", F.col("id").alias("o"), F.col("group").alias("o_group"), F.col("light").alias("o_light"), F.col("heavy").alias("o_heavy"))
             close = (F.col("group") != F.col("o_group")) & near(F.col("light"), F.col("o_light"))
-            met = outside.join(light, "bucket").where(close & same(F.col("heavy"), F.col("o_heavy")) if inline else close)
+            met = outside.join(light, "bucket").where(close & same(F.col("heavy"), F.col("o_heavy")))
             pairs = met.select(F.least("id", "o").alias("a"), F.greatest("id", "o").alias("b")).distinct()
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
