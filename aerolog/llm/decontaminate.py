@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from aerolog.llm.arrays import indices, lower_ascii, split_words
+from aerolog.llm.common import free_name
 from aerolog.session import materialized
 
 WINDOW, K = 10, 5
@@ -43,7 +44,9 @@ def with_hashes(texts: DataFrame, text: str, keep: list[str], short: list[int])
     # the place of the last smallest hash of each w: smaller hashes, then later places, come first
     places = F.transform(indices(F.size("_runs") - w + 1), lambda i: i + w - F.array_position(
         F.reverse(F.slice("_runs", i + 1, w)), F.array_min(F.slice("_runs", i + 1, w))).cast("int"))
-    shorts = [F.transform(indices(F.size("_words") - m + 1), lambda i, m=m: run_hash(F.col("_words"), i, m)).alias(f"_short{m}") for m in short]
+    # (a lambda's parameters are the engine's, so the length comes from around it)
+    all_of = lambda m: F.transform(indices(F.size("_words") - m + 1), lambda i: run_hash(F.col("_words"), i, m))
+    shorts = [all_of(m).alias(f"_short{m}") for m in short]
     return runs.select(*keep, "n_words", "_runs", F.array_distinct(places).alias("_places"), *shorts)
 
 
@@ -79,8 +82,9 @@ def hits(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "te
         lambda s: F.struct(s.alias("start"), window_hash(F.col("_runs"), s).alias("window")))
     marks = F.transform("_places", lambda p: F.struct(F.get("_runs", p).alias("print"), F.lit(WINDOW).alias("size"), around(p).alias("near")))
     alone = F.array(F.struct(F.lit(None).cast("long").alias("print"), F.lit(0).alias("size"), F.array().cast("array<struct<start:int,window:bigint>>").alias("near")))
-    found = [F.transform(f"_short{m}", lambda h, i, m=m: F.struct(
-        F.lit(None).cast("long").alias("print"), F.lit(m).alias("size"), F.array(F.struct(i.alias("start"), h.alias("window"))).alias("near"))) for m in short]
+    whole = lambda m: F.transform(f"_short{m}", lambda h, i: F.struct(
+        F.lit(None).cast("long").alias("print"), F.lit(m).alias("size"), F.array(F.struct(i.alias("start"), h.alias("window"))).alias("near")))
+    found = [whole(m) for m in short]
     exploded = hashed.select("_key", "_hash", "n_words", F.explode(F.concat(alone, marks, *found)).alias("m")).select(
         "_key", "_hash", "n_words", "m.*")
     # a null fingerprint marks the document's own row (size 0) and short runs, which are windows already
@@ -108,5 +112,6 @@ def hits(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "te
 def without_hits(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``docs`` in which no window of an item occurs."""
     bad = hits(docs, items, key, text).where("n_hit > 0").select(F.col(key).alias("_key"), "text_hash").distinct()
-    bad = bad.toDF("_bad_key", "_bad_hash")
-    return docs.join(bad, F.col(key).eqNullSafe(F.col("_bad_key")) & (F.xxhash64(text) == F.col("_bad_hash")), "left_anti")
+    own, own_hash = free_name(docs, "_bad_key"), free_name(docs, "_bad_hash")
+    bad = bad.toDF(own, own_hash)
+    return docs.join(bad, F.col(key).eqNullSafe(F.col(own)) & (F.xxhash64(text) == F.col(own_hash)), "left_anti")
