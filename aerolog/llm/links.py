@@ -5,6 +5,8 @@ then on, and only members of different groups are compared further: with other l
 every member outside of a bucket's largest group with every member of another group. So each pair of a
 bucket is compared or already connected, and a bucket of n alike members costs about n comparisons.
 
+The light facts (sketches of fixed size) are tested inside the joins, so only promising pairs are made.
+
 Joins are on keys, with each bucket's leader or each record once on one side, so the engine can split
 a bucket that holds many rows. Groups come from star contractions of the links, which keep a component
 as edges to its smallest member and need a few rounds whatever its size. Tables between the rounds are
@@ -67,39 +69,39 @@ def linked_groups(members: DataFrame, facts: DataFrame, near: Callable[[Column,
     ``facts`` has id, light and heavy for each member. A pair is linked if ``near`` holds for its light
     facts and ``same`` for its heavy ones. ``leaders`` rounds compare with one leader a bucket.
     """
-    members = members.select("bucket", "id")
+    members = materialized(members.select("bucket", "id").join(facts.select("id", "light"), "id"))
     unresolved = members.withColumn("group", F.col("id"))
     tried = links = groups = None
     for k in range(leaders + 1):
         turn = F.col("id") if k == 0 else F.xxhash64("id", "bucket", F.lit(k))
-        spread = unresolved.groupBy("bucket").agg(
-            F.min("group").alias("lo"), F.max("group").alias("hi"), F.min_by("id", turn).alias("leader"),
-            F.min_by("group", turn).alias("leader_group")).where("lo < hi")
         if k < leaders:
-            pairs = (unresolved.join(spread, "bucket").where(F.col("group") != F.col("leader_group"))
+            spread = unresolved.groupBy("bucket").agg(
+                F.min("group").alias("lo"), F.max("group").alias("hi"), F.min_by("id", turn).alias("leader"),
+                F.min_by("group", turn).alias("leader_group"), F.min_by("light", turn).alias("leader_light")).where("lo < hi")
+            pairs = (unresolved.join(spread, "bucket")
+                     .where((F.col("group") != F.col("leader_group")) & near(F.col("light"), F.col("leader_light")))
                      .select(F.least("id", "leader").alias("a"), F.greatest("id", "leader").alias("b")).distinct())
         else:
-            light = unresolved.join(facts.select("id", "light", "heavy"), "id")
+            whole = unresolved.join(facts.select("id", "heavy"), "id")
             largest = (unresolved.groupBy("bucket", "group").agg(F.count("*").alias("n"))
                        .groupBy("bucket").agg(F.max_by("group", F.col("n")).alias("main"), F.count("*").alias("k")).where("k > 1"))
-            outside = light.join(largest, "bucket").where(F.col("group") != F.col("main")).select(
+            outside = whole.join(largest, "bucket").where(F.col("group") != F.col("main")).select(
                 "bucket", F.col("id").alias("o"), F.col("group").alias("o_group"), F.col("light").alias("o_light"), F.col("heavy").alias("o_heavy"))
             close = (F.col("group") != F.col("o_group")) & near(F.col("light"), F.col("o_light"))
-            met = outside.join(light, "bucket").where(close & same(F.col("heavy"), F.col("o_heavy")))
+            met = outside.join(whole, "bucket").where(close & same(F.col("heavy"), F.col("o_heavy")))
             pairs = met.select(F.least("id", "o").alias("a"), F.greatest("id", "o").alias("b")).distinct()
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
         pairs = materialized(pairs)
         if pairs.isEmpty():
-            break
+            continue
         tried = pairs if tried is None else tried.union(pairs)
-        close = with_facts(pairs, facts, "light").where(near(F.col("fact_a"), F.col("fact_b"))).select("a", "b")
-        checked = with_facts(close, facts, "heavy").withColumn("linked", same(F.col("fact_a"), F.col("fact_b")))
+        checked = with_facts(pairs, facts, "heavy").withColumn("linked", same(F.col("fact_a"), F.col("fact_b")))
         found = materialized(checked.where("linked").select("a", "b"))
         links = found if links is None else links.union(found)
         groups = components(links)
         if k < leaders:
-            known = members.join(groups, "id", "left").select("bucket", "id", F.coalesce("group", "id").alias("group"))
+            known = members.join(groups, "id", "left").select("bucket", "id", "light", F.coalesce("group", "id").alias("group"))
             # buckets of two have had their comparison
             still = known.groupBy("bucket").agg(F.min("group").alias("lo"), F.max("group").alias("hi"), F.count("*").alias("n")).where("lo < hi and n > 2")
             unresolved = materialized(known.join(still.select("bucket"), "bucket", "left_semi"))
