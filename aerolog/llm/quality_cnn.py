@@ -31,6 +31,8 @@ FILTERS, WIDTH, DEPTH, BLOCK = 16, 6, 8, 256
 SAMPLE = 1500
 SAMPLE_BYTES = 16_384
 EPOCHS, DOCS_A_STEP, RATE = 6, 24, 0.01
+#: Bytes of text that a training step works on at once.
+PART = 1 << 16
 #: Texts that a task works on at once, in bytes; the responses take 64 times that.
 PIECE = 1 << 18
 
@@ -121,9 +123,13 @@ def train(texts: list[str | None], labels: list[int], share: float = 0.5, seed:
         order = draw.permutation(len(texts))
         for at in range(0, len(order), DOCS_A_STEP):
             chosen = order[at:at + DOCS_A_STEP]
-            data = np.concatenate([raw[k] for k in chosen])
-            places = np.cumsum([0, *(len(raw[k]) for k in chosen)])
-            grads = gradients(net, state[4][0], data, places, y[chosen], weight[chosen])
+            grads = [np.zeros_like(p) for p in state]
+            sizes = np.cumsum([0, *(len(raw[k]) for k in chosen)])
+            for i, j in pieces(sizes, PART):  # the responses take hundreds of times the text
+                data = np.concatenate([raw[k] for k in chosen[i:j]])
+                part = gradients(net, state[4][0], data, sizes[i:j + 1] - sizes[i], y[chosen[i:j]], weight[chosen[i:j]] / len(chosen))
+                for g, p in zip(grads, part):
+                    g += p
             steps += 1
             rate = RATE * (1 - 0.9 * steps / total)
             for p, g, (m, v) in zip(state, grads, moments):
@@ -152,7 +158,7 @@ def gradients(net: Network, bias: float, data: np.ndarray, places: np.ndarray, y
     crow = row[keep]
     means_maxima = features(chunks, crow)
     p = 1 / (1 + np.exp(-np.clip(means_maxima @ net.weights + bias, -35, 35)))
-    d = (p - y) * weight / rows
+    d = (p - y) * weight
     count = np.bincount(crow, minlength=rows)
     d_chunk = (d[:, None] * net.weights[:FILTERS] / count[:, None])[crow]
     best = chunks == means_maxima[crow, FILTERS:]
