@@ -29,7 +29,8 @@ def finkelstein_schafer(daily: DataFrame, variables: Sequence[str] = RANKED,
     The statistic sums the distances between the distribution of a single month and that of the
     same calendar month over all years.  ``denominator`` is ``"n"`` or ``"n+1"``.  With
     ``whole_months``, months with missing days are left out before ranking: they have fewer terms
-    and would look typical.
+    and would look typical. Only values that are there are ranked and counted; a variable without any
+    has a NULL statistic.
     """
     if denominator not in ("n", "n+1"):
         raise ValueError(f"denominator must be 'n' or 'n+1', not {denominator!r}")
@@ -48,17 +49,17 @@ def finkelstein_schafer(daily: DataFrame, variables: Sequence[str] = RANKED,
             .where(F.col("_days") == F.dayofmonth(F.last_day(day))).drop("_days")
         )
 
-    def distribution(group, order) -> Column:
-        # rank and count share the window, so counting costs no further sort
+    def distribution(group, order, v) -> Column:
+        # rank and count share the window, so counting costs no further sort; NULLs come last and don't count
         ordered = group.orderBy(*order)
-        size = F.count(F.lit(1)).over(
+        size = F.count(v).over(
             ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
         return F.row_number().over(ordered) / (size + extra)
 
     for v in variables:
-        order = (F.round(v, 9), day)
-        rows = rows.withColumn(f"_d_{v}", F.abs(
-            distribution(one_year, order) - distribution(all_years, order)))
+        order = (F.round(v, 9).asc_nulls_last(), day)
+        rows = rows.withColumn(f"_d_{v}", F.when(F.col(v).isNotNull(), F.abs(
+            distribution(one_year, order, v) - distribution(all_years, order, v))))
     return rows.groupBy(*keys, "month", "year").agg(
         *[F.sum(f"_d_{v}").alias(f"fs_{v}") for v in variables],
         *([F.avg(wind).alias("_wind")] if wind else []),
@@ -72,22 +73,25 @@ def typical_months(statistics: DataFrame, keys: Sequence[str] = KEYS,
 
     Of the ``best`` years with the lowest total, the one whose mean wind is nearest to the mean of
     those years.  ``variant="as_written"`` counts the first variable once per scored variable.
+    The total sums the statistics that a month has; a month without any comes last, and so does a
+    candidate without wind.
     """
     if variant == "as_written":
         total = sum((F.col(f"fs_{scored[0]}") for _ in scored), F.lit(0.0))
     elif variant == "sum":
-        total = sum((F.col(f"fs_{v}") for v in scored), F.lit(0.0))
+        known = F.coalesce(*(F.col(f"fs_{v}") for v in scored))
+        total = F.when(known.isNotNull(), sum((F.coalesce(f"fs_{v}", F.lit(0.0)) for v in scored), F.lit(0.0)))
     else:
         raise ValueError(f"unknown variant {variant!r}")
     month = Window.partitionBy(*keys, "month")
     candidates = (
         statistics.withColumn("fs_tot", total)
-        .withColumn("_rank", F.row_number().over(month.orderBy(F.round("fs_tot", 9), "year")))
+        .withColumn("_rank", F.row_number().over(month.orderBy(F.round("fs_tot", 9).asc_nulls_last(), "year")))
         .where(F.col("_rank") <= best)
         .withColumn("_gap", F.round(F.abs(F.col("_wind") - F.avg("_wind").over(month)), 9))
     )
     return candidates.groupBy(*keys, "month").agg(
-        F.min_by(F.struct("year", "fs_tot"), F.struct("_gap", "_rank")).alias("_best"),
+        F.min_by(F.struct("year", "fs_tot"), F.struct(F.col("_gap").isNull(), "_gap", "_rank")).alias("_best"),
     ).select(*keys, "month", F.col("_best.year").alias("chosen_year"), "_best.fs_tot")
 
 

@@ -106,3 +106,13 @@ def test_mean_year(spark):
                                  "station_id string, ts timestamp_ntz, t_db double, wind_dir double")
     out = ty.mean_typical_year(rows, ["t_db"], ["wind_dir"], KEY).collect()
     assert [(str(r.tmy_ts), r.t_db, r.wind_dir) for r in out] == [("1970-03-01 05:00:00", 2.5, 45.0)]
+
+
+def test_absent_variable_and_absent_wind_do_not_choose(spark):
+    rows = [("s", "a", f"{y}-01-{d:02d}", float((d * 7 + y) % 11), None, float(d % 5), None if y == 2001 else float(y - 2000))
+            for y in (2001, 2002, 2003, 2004) for d in range(1, 29)]
+    daily = spark.createDataFrame(rows, "source string, station_id string, day string, t_db double, ghi double, rh double, v_air double").withColumn("day", F.col("day").cast("date"))
+    stats = ty.finkelstein_schafer(daily, variables=("t_db", "ghi", "rh"))
+    assert {r["fs_ghi"] for r in stats.collect()} == {None}
+    chosen = ty.typical_months(stats, scored=("t_db", "ghi", "rh"), best=4).first()
+    assert chosen["chosen_year"] == 2003 and chosen["fs_tot"] is not None  # the mean wind of 2002 to 2004 is that of 2003
