@@ -6,10 +6,12 @@ import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
 from check import difference, duck
+from driver import oracle, queries as registry
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="test tables not present")
-RUNS, SQL = queries(), oracle_sql()
+#: The weather queries; those on text corpora have tests of their own.
+RUNS, SQL = registry.registered(), oracle.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -19,6 +21,7 @@ def con():
 
 def test_every_query_has_a_twin():
     assert set(SQL) == set(RUNS)
+    assert set(RUNS) <= set(queries()) and set(SQL) <= set(oracle_sql()) <= set(queries())
 
 
 @pytest.mark.parametrize("name", sorted(RUNS))
