@@ -21,6 +21,7 @@ import json
 import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import islice
 
 import ahocorasick
 import numpy as np
@@ -31,7 +32,7 @@ from pyspark.sql import functions as F
 
 from aerolog.llm.common import ready_for_python
 
-#: Units whose codes a worker remembers (some 200 bytes each).
+#: Units and chunks whose codes a worker remembers (some 200 bytes each).
 REMEMBERED = 300_000
 #: Longer units are encoded each time, so that the memory of a worker stays bounded.
 LONGEST_REMEMBERED = 64
@@ -64,19 +65,25 @@ class Remembering:
         raise NotImplementedError
 
     def codes(self, texts: list[str | None]) -> list[bytes]:
-        """The ids of each text, as bytes of 32-bit integers."""
-        cut = [chunks(t or "") for t in texts]
+        """The ids of each text, as bytes of 32-bit integers. A chunk that is remembered is looked up once."""
         known = self.known
-        code: dict[str, bytes | None] = {c: known.get(c) for c in set().union(*cut)}
-        split = {c: halves(c) for c, own in code.items() if own is None}
+        cut = [chunks(t or "") for t in texts]
+        found = [list(map(known.get, row)) for row in cut]
+        gaps = [[k for k, code in enumerate(codes) if code is None] for codes in found]
+        split = {row[k]: () for row, own in zip(cut, gaps) for k in own}
+        for c in split:
+            split[c] = halves(c)
         fresh = list({u for both in split.values() for u in both if u not in known})
         new = dict(zip(fresh, self.encode_units(fresh)))
         for c, both in split.items():
-            code[c] = b"".join([known[u] if u in known else new[u] for u in both])
-        for u in fresh[:max(0, REMEMBERED - len(known))]:
-            if len(u) <= LONGEST_REMEMBERED:
-                known[u] = new[u]
-        return [b"".join(map(code.__getitem__, row)) for row in cut]
+            new[c] = b"".join([known[u] if u in known else new[u] for u in both])
+        for codes, row, own in zip(found, cut, gaps):
+            for k in own:
+                codes[k] = new[row[k]]
+        room = REMEMBERED - len(known)
+        if room > 0:
+            known.update(islice(((u, code) for u, code in new.items() if len(u) <= LONGEST_REMEMBERED), room))
+        return [b"".join(codes) for codes in found]
 
 
 def halves(chunk: str) -> tuple[str, ...]:

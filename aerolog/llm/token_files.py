@@ -49,13 +49,27 @@ class Library(Remembering):
         self.tokenizer.no_truncation()
         # a special token parts the units of one request: the library looks for it before all else
         self.mark, self.mark_id = next((t.content, i) for i, t in sorted(self.tokenizer.get_added_tokens_decoder().items()))
+        suffix = self.tokenizer.model.end_of_word_suffix
+        vocab = self.tokenizer.get_vocab()
+        self.ends_word = np.zeros(1 + max(vocab.values()), bool)
+        self.ends_word[[i for t, i in vocab.items() if t.endswith(suffix)]] = True
 
     def ids(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.int32)
 
     def encode_units(self, units: list[str]) -> list[bytes]:
-        plain = [u for u in units if "<|" not in u]
-        code = {u: self.ids(u).tobytes() for u in units if "<|" in u}
+        code: dict[str, bytes] = {}
+        # letters alone are one word: a space parts them, and each ends in a token with a word end
+        words = [u for u in units if u.isalpha()]
+        if words:
+            found = self.ids(" ".join(words))
+            ends = np.flatnonzero(self.ends_word[found]) + 1
+            if len(ends) == len(words):
+                whole, at = found.tobytes(), (4 * ends).tolist()
+                code.update(zip(words, [whole[i:j] for i, j in zip([0, *at], at)]))
+        rest = [u for u in units if u not in code]
+        plain = [u for u in rest if "<|" not in u]
+        code.update((u, self.ids(u).tobytes()) for u in rest if "<|" in u)
         if plain:
             found = self.ids(self.mark.join(plain))
             code.update(zip(plain, (part.tobytes() for part in parted(found, self.mark_id))))
