@@ -17,6 +17,7 @@ Other columns of the input don't matter.
 
 from __future__ import annotations
 
+import json
 import os
 from collections.abc import Iterator
 from functools import lru_cache
@@ -91,23 +92,30 @@ def library(tokenizer_json: str) -> Library:
     return Library(tokenizer_json)
 
 
-def encoded(text: Column, shared, end: int) -> Column:
-    """Ids of a text by the tokenizers library, and the end token."""
-    @F.arrow_udf("array<int>")
+def width(tokenizer_json: str, end: int) -> str:
+    """The numpy type of an id on its way to its rank: two bytes where all ids fit."""
+    spec = json.loads(tokenizer_json)
+    highest = max([end, *spec["model"]["vocab"].values(), *(t["id"] for t in spec["added_tokens"])])
+    return "<u2" if highest <= 0xFFFF else "<u4"
+
+
+def encoded(text: Column, shared, end: int, kind: str) -> Column:
+    """Ids of a text by the tokenizers library, and the end token, as bytes of ``kind``."""
+    @F.arrow_udf("binary")
     def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         own = library(shared.value)
         for texts in batches:
-            yield lists(own.encode(texts.to_pylist(), end))
+            yield pa.array([ids.astype(kind).tobytes() for ids in own.encode(texts.to_pylist(), end)], pa.binary())
 
     return encode(text)
 
 
-def counts(tokens: DataFrame, ids: str = "ids") -> DataFrame:
-    """How often each id occurs. Every task sends one row for each id at most."""
+def counts(tokens: DataFrame, kind: str, ids: str = "ids") -> DataFrame:
+    """How often each id occurs in rows of bytes. Every task sends one row for each id at most."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(0, np.int64)
         for batch in batches:
-            seen = np.bincount(batch.column(0).flatten().to_numpy(zero_copy_only=False))
+            seen = np.bincount(np.frombuffer(b"".join(batch.column(0).to_pylist()), kind))
             if len(seen) > len(total):
                 total, seen = seen.astype(np.int64), total
             total[:len(seen)] += seen
@@ -117,9 +125,9 @@ def counts(tokens: DataFrame, ids: str = "ids") -> DataFrame:
     return tokens.select(ids).mapInArrow(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
 
 
-def ranking(tokens: DataFrame) -> np.ndarray:
+def ranking(tokens: DataFrame, kind: str) -> np.ndarray:
     """Ids by falling count, then ascending: at most one for each entry of the vocabulary."""
-    return np.array([r["id"] for r in counts(tokens).orderBy(F.desc("n"), "id").collect()], np.uint32)
+    return np.array([r["id"] for r in counts(tokens, kind).orderBy(F.desc("n"), "id").collect()], np.uint32)
 
 
 def pack(ranks: np.ndarray) -> tuple[bytes, bytes]:
@@ -152,9 +160,10 @@ def write_tokens(docs: DataFrame, path: str, end: int, folder: str, key: str = "
     spark = docs.sparkSession
     ready_for_python(spark)
     shared = vocabulary(spark, path)
-    tokens = materialized(docs.select(F.col(key).cast("long").alias("doc_id"), encoded(F.col(text), shared, end).alias("ids"))
+    kind = width(shared.value, end)
+    tokens = materialized(docs.select(F.col(key).cast("long").alias("doc_id"), encoded(F.col(text), shared, end, kind).alias("ids"))
                           .select("doc_id", "ids", F.xxhash64("ids").alias("tie")))
-    ranked = ranking(tokens)
+    ranked = ranking(tokens, kind)
     spark.createDataFrame([(i, int(x)) for i, x in enumerate(ranked)], "rank long, id long").coalesce(1).write.parquet(f"{folder}/ranks")
     rank_of = np.zeros(int(ranked.max(initial=0)) + 1, np.uint32)
     rank_of[ranked] = np.arange(len(ranked), dtype=np.uint32)
@@ -166,7 +175,7 @@ def write_tokens(docs: DataFrame, path: str, end: int, folder: str, key: str = "
 
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [x.values.to_numpy(zero_copy_only=False) for x in batch.column(2)]
+            rows = [np.frombuffer(x, kind) for x in batch.column(2).to_pylist()]
             packed = [pack(table.value[r]) for r in rows]
             ids = batch.column(0)
             part = np.where(np.array(ids.is_null()), 0, np.searchsorted(bounds, pc.fill_null(ids, 0).to_numpy(zero_copy_only=False), "right"))
