@@ -36,6 +36,8 @@ from aerolog.llm.common import ready_for_python
 REMEMBERED = 300_000
 #: Longer units are encoded each time, so that the memory of a worker stays bounded.
 LONGEST_REMEMBERED = 64
+#: Characters of the texts that are looked up together.
+RUN_LENGTH = 1 << 16
 PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 #: Added to a word's last character, to tell it from the same character inside.
 WORD_END = 0x1000
@@ -65,7 +67,13 @@ class Remembering:
         raise NotImplementedError
 
     def codes(self, texts: list[str | None]) -> list[bytes]:
-        """The ids of each text, as bytes of 32-bit integers. A chunk that is remembered is looked up once."""
+        """The ids of each text, as bytes of 32-bit integers. Texts go in runs whose chunks fit a core's own memory."""
+        runs = np.cumsum([len(t or "") for t in texts]) // RUN_LENGTH
+        cuts = [0, *(np.flatnonzero(np.diff(runs)) + 1).tolist(), len(texts)]
+        return [code for a, b in zip(cuts, cuts[1:]) for code in self.run_codes(texts[a:b])]
+
+    def run_codes(self, texts: list[str | None]) -> list[bytes]:
+        """:meth:`codes` of a few texts. A chunk that is remembered is looked up once."""
         known = self.known
         cut = [chunks(t or "") for t in texts]
         found = [list(map(known.get, row)) for row in cut]
