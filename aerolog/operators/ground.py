@@ -30,20 +30,21 @@ def phase_day(coldest: Column) -> Column:
 
 
 def soil_parameters(series: DataFrame, keys: Sequence[str] = KEYS, ts: str = "ts",
-                    phase: str = "daily_min", warmest: bool = False) -> DataFrame:
+                    phase: str = "daily_min", warmest: bool = False, light: str = "ghi") -> DataFrame:
     """``amplitude``, ``mean_t`` and ``phase_day`` of a one-year series per key.
 
     ``phase="daily_min"`` looks for the day with the least mean radiation, ``"hourly_min"`` for
     the first hour with the least.  Group by the year too if the series has several.  With
     ``warmest``, also the zero-based hour of the year with the highest temperature (the phase of
-    the alternative soil model).
+    the alternative soil model). ``light`` is the radiation that the phase follows; sources without
+    global radiation name another.
     """
     if phase not in ("daily_min", "hourly_min"):
         raise ValueError(f"unknown phase {phase!r}")
     slot = F.col(ts).cast("date") if phase == "daily_min" else F.col(ts)
     # sums per slot first, so that the monthly and yearly means stay those of the rows
     slots = series.groupBy(*keys, slot.alias("_slot")).agg(
-        F.avg("ghi").alias("_ghi"), F.sum("t_db").alias("_sum"), F.count("t_db").alias("_n"))
+        F.avg(light).alias("_ghi"), F.sum("t_db").alias("_sum"), F.count("t_db").alias("_n"))
     month = F.month("_slot")
 
     def month_mean(m: int) -> Column:

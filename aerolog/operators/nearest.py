@@ -63,22 +63,24 @@ def _cells_of_level(refs: DataFrame, n: int, size: float) -> DataFrame:
     )
 
 
-def nearest_reference(stations: DataFrame, refs: DataFrame, station_key: str = "station_id",
+def nearest_reference(stations: DataFrame, refs: DataFrame, station_key: str | Sequence[str] = "station_id",
                       ref_key: str = "wmo", levels: Sequence[float] = LEVELS) -> DataFrame:
     """``(station_key, ref_key, km)``: the nearest reference, on ties the lowest key.
 
+    ``station_key`` names one column or several that tell a station together (source and id, say).
     Both inputs carry ``lat`` and ``lon`` in degrees.  Joins are plain equi-joins on cells: Spark
     broadcasts a level when its measured size allows it and shuffles it otherwise.
     """
+    own = [station_key] if isinstance(station_key, str) else list(station_key)
     located = stations.where("lat is not null and lon is not null")
-    held = located.select(F.col(station_key), F.col("lat").alias("_slat"),
-                          F.col("lon").alias("_slon")).repartition(station_key)
+    held = located.select(*own, F.col("lat").alias("_slat"),
+                          F.col("lon").alias("_slon")).repartition(*own)
     placed = _with_cells(
         refs.where("lat is not null and lon is not null")
         .groupBy(F.col("lat").alias("_rlat"), F.col("lon").alias("_rlon"))
         .agg(F.min(ref_key).alias(ref_key)), levels)
     held = held.withColumn("_cell", F.explode(_globe(levels[0])))
-    per_station = Window.partitionBy(station_key)
+    per_station = Window.partitionBy(*own)
     for n, size in enumerate(levels):
         held = (
             held.join(_cells_of_level(placed, n, size), "_cell")
@@ -86,15 +88,15 @@ def nearest_reference(stations: DataFrame, refs: DataFrame, station_key: str = "
                                               F.col("_clat"), F.col("_clon")))
             .withColumn("_best", F.min(F.col("_d") + F.col("_reach")).over(per_station))
             .where(F.col("_d") - F.col("_reach") <= F.col("_best") + SLACK)
-            .select(station_key, "_slat", "_slon", F.col("_child").alias("_cell"))
+            .select(*own, "_slat", "_slon", F.col("_child").alias("_cell"))
         )
     last = len(levels) - 1
     pairs = held.join(placed.select(F.col(f"_c{last}").alias("_cell"), ref_key, "_rlat", "_rlon"), "_cell")
     km = great_circle_km(F.col("_slat"), F.col("_slon"), F.col("_rlat"), F.col("_rlon"))
     return (
-        pairs.select(station_key, ref_key, km.alias("_km"))
-        .groupBy(station_key)
+        pairs.select(*own, ref_key, km.alias("_km"))
+        .groupBy(*own)
         .agg(F.min_by(F.struct(F.col(ref_key).alias("ref"), F.col("_km").alias("km")),
                       F.struct(F.round("_km", 9), F.col(ref_key))).alias("_best"))
-        .select(station_key, F.col("_best.ref").alias(ref_key), "_best.km")
+        .select(*own, F.col("_best.ref").alias(ref_key), "_best.km")
     )

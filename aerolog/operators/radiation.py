@@ -16,28 +16,31 @@ from ..functions.calendar import hour_index, utc_offset_hours
 from ..schemas import KEYS
 
 
-def clock_of(ts: Column, offset: Column, clock: str) -> Column:
-    """The clock that day and hour are read from.
+def clock_of(ts: Column, offset: Column, clock: str, label: str = "end") -> Column:
+    """The clock that day and hour are read from: the beginning of the hour that ``ts`` labels.
 
-    ``"as_stored"`` reads the stored UTC hour together with the offset, ``"local"`` moves the
-    instant to local time first.
+    ``"local"`` moves the instant to local time, ``"as_stored"`` reads the stored UTC hour together
+    with the offset. ``label`` tells whether ``ts`` is the end or the start of its hour.
     """
+    if label not in ("end", "start"):
+        raise ValueError(f"label must be 'end' or 'start', not {label!r}")
+    begin = ts - F.expr("INTERVAL 1 HOUR") if label == "end" else ts
     if clock == "as_stored":
-        return ts
+        return begin
     if clock == "local":
-        return ts + F.make_dt_interval(mins=F.round(offset * 60).cast("int"))
+        return begin + F.make_dt_interval(mins=F.round(offset * 60).cast("int"))
     raise ValueError(f"clock must be 'as_stored' or 'local', not {clock!r}")
 
 
 def with_sun(series: DataFrame, offset: Column | None = None, ts: str = "ts",
-             clock: str = "as_stored") -> DataFrame:
+             clock: str = "local", label: str = "end") -> DataFrame:
     """Add ``sun`` (see :func:`functions.sun.solar_position`), ``g0``, ``kt`` and ``_date``.
 
     Needs ``lat``, ``lon``, ``ghi`` and, unless ``offset`` is given, the IANA zone in ``tz``.
     """
     offset = utc_offset_hours(F.col(ts), F.col("tz")) if offset is None else offset
     rows = series.withColumn("_offset", offset.cast("double"))
-    rows = rows.withColumn("_clock", clock_of(F.col(ts), F.col("_offset"), clock))
+    rows = rows.withColumn("_clock", clock_of(F.col(ts), F.col("_offset"), clock, label))
     # One step per quantity that is used more than once, so that each is computed once per row.
     rows = rows.withColumns({
         "_angle": S.orbit_angle(F.col("_clock"), F.col("lon")),
@@ -66,12 +69,12 @@ def daily_clearness(with_sun_rows: DataFrame, keys: Sequence[str] = KEYS) -> Dat
 
 
 def split(series: DataFrame, keys: Sequence[str] = KEYS, ts: str = "ts",
-          offset: Column | None = None, clock: str = "as_stored") -> DataFrame:
+          offset: Column | None = None, clock: str = "local", label: str = "end") -> DataFrame:
     """Add ``g0``, ``kt``, ``kt_d``, ``dif`` and ``dni``; first and last hour of a series get no split."""
     in_order = Window.partitionBy(*keys).orderBy("_date", hour_index(F.col(ts)))
     of_day = Window.partitionBy(*keys, "_date")
     # Neighbours first: their order (day, hour) then serves the daily sums without another sort.
-    rows = with_sun(series, offset, ts, clock).withColumns({
+    rows = with_sun(series, offset, ts, clock, label).withColumns({
         "_before": F.lag("kt").over(in_order),
         "_after": F.lead("kt").over(in_order),
         "_first": F.lag(F.lit(1)).over(in_order).isNull(),

@@ -110,14 +110,16 @@ def typical_rows(series: DataFrame, chosen: DataFrame, columns: Sequence[str],
 
 
 def iso_typical_year(hourly: DataFrame, columns: Sequence[str], keys: Sequence[str] = KEYS,
-                     ts: str = "ts", **options) -> DataFrame:
+                     ts: str = "ts", scored: Sequence[str] = SCORED, wind: str = "v_air",
+                     **options) -> DataFrame:
     """Typical year of a dense hourly series: daily means, statistics, choice, rows.
 
-    Options: ``denominator``, ``variant``, ``whole_months``.
+    ``scored`` are the variables of the total; a source without global radiation scores another one
+    (``dif``). Options: ``denominator``, ``variant``, ``whole_months``.
     """
     variant = options.pop("variant", "sum")
-    daily = daily_mean(hourly, RANKED, keys, ts)
-    chosen = typical_months(finkelstein_schafer(daily, keys=keys, **options), keys, variant=variant)
+    daily = daily_mean(hourly, [*scored, wind], keys, ts)
+    chosen = typical_months(finkelstein_schafer(daily, scored, wind, keys, **options), keys, scored, variant)
     return typical_rows(hourly, chosen, columns, keys, ts)
 
 

@@ -63,12 +63,17 @@ def daily_curves(typical_rows: DataFrame, columns: Sequence[str] = ("t_db",),
 
 
 def weather_file_against_station(epw: DataFrame, points: DataFrame, start: Column, stop: Column,
-                                 keys: Sequence[str] = KEYS) -> DataFrame:
+                                 keys: Sequence[str] = KEYS, files: Sequence[str] = ()) -> DataFrame:
     """Bias and correlation of the dry bulb of EPW rows ``(ts, dry_bulb_temperature)`` with every station.
 
+    ``files`` names the columns that tell one file from another; each is compared on its own. An hour
+    that a file holds twice is an error.
+
     EPW hour h (1 to 24) belongs to the station hour labelled h - 1, which is the ``ts`` that
     reading and writing EPW files use.
     """
     series = hourly_wide(in_range(points, start, stop), ("t_db",), keys)
-    file = epw.select("ts", F.col("dry_bulb_temperature").alias("epw_t"))
-    return compare.pearson_and_bias(compare.aligned(series, file, ["ts"]), "epw_t", "t_db", keys)
+    once = F.when(F.count(F.lit(1)) > 1, F.raise_error(F.lit("a weather file holds an hour twice"))).otherwise(
+        F.max("dry_bulb_temperature"))
+    file = epw.where("ts is not null").groupBy(*files, "ts").agg(once.cast("double").alias("epw_t"))
+    return compare.pearson_and_bias(compare.aligned(series, file, ["ts"]), "epw_t", "t_db", [*keys, *files])

@@ -35,7 +35,7 @@ def clean(series: DataFrame) -> DataFrame:
 
 
 def derive(series: DataFrame, places: DataFrame, keys: Sequence[str] = KEYS, ts: str = "ts",
-           offset: Column | None = None, clock: str = "as_stored") -> DataFrame:
+           offset: Column | None = None, clock: str = "local", label: str = "end") -> DataFrame:
     """Everything an EPW row needs, from a dense hourly series and ``(keys, lat, lon, tz)``.
 
     Radiation gaps take the mean of the neighbouring days, all other gaps are interpolated, then
@@ -45,7 +45,7 @@ def derive(series: DataFrame, places: DataFrame, keys: Sequence[str] = KEYS, ts:
     rows = interpolate(fill_window_mean(series, "ghi", keys, ts),
                        [c for c in CONTINUOUS if c in series.columns], hour_index(F.col(ts)), keys)
     rows = rows.withColumn("wind_dir", wind_sector(F.col("wind_dir")))
-    rows = with_infrared(split(rows.join(places, list(keys), "left"), keys, ts, offset, clock))
+    rows = with_infrared(split(rows.join(places, list(keys), "left"), keys, ts, offset, clock, label))
     rows = rows.withColumn(
         "present_weather_observation", present_weather(F.col("rain"), F.col("rain_type")))
     return rows.withColumn("present_weather_codes", present_weather_code(
@@ -56,14 +56,18 @@ def data_lines(derived: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
     return epw_lines(pad_first_day(epw_rows(derived, keys), keys), keys)
 
 
-def with_reference(stations: DataFrame, references: DataFrame, station_key: str = "station_id",
+def with_reference(stations: DataFrame, references: DataFrame, station_key: str | Sequence[str] | None = None,
                    ref_key: str = "wmo") -> DataFrame:
     """Station dimension with the attributes of its nearest reference station.
 
-    Attributes a station already has (its city, say) are kept.
+    Attributes a station already has (its city, say) are kept. A station is told by the columns of
+    the library's key that the dimension has, unless others are named.
     """
-    nearest = nearest_reference(stations, references, station_key, ref_key)
-    return stations.join(nearest, station_key, "left").join(
+    if station_key is None:
+        station_key = [k for k in KEYS if k in stations.columns]
+    own = [station_key] if isinstance(station_key, str) else list(station_key)
+    nearest = nearest_reference(stations, references, own, ref_key)
+    return stations.join(nearest, own, "left").join(
         references.drop(*[c for c in stations.columns if c != ref_key]), ref_key, "left")
 
 
@@ -84,7 +88,7 @@ def header_lines(stations: DataFrame, series: DataFrame, soil: DataFrame,
 
 def write_weather_files(series: DataFrame, stations: DataFrame, references: DataFrame,
                         soil: DataFrame, path: str, keys: Sequence[str] = KEYS,
-                        station_key: str = "station_id", ref_key: str = "wmo", **options) -> None:
+                        station_key: str | Sequence[str] | None = None, ref_key: str = "wmo", **options) -> None:
     """EPW files of all stations from one dense hourly year each.
 
     ``stations`` carries ``lat, lon, tz`` and the header attributes, ``soil`` the four layers.

@@ -12,11 +12,13 @@ from ..schemas import EPW_COLUMNS, KEYS
 def write_epw(header: DataFrame, lines: DataFrame, path: str, keys: Sequence[str] = KEYS) -> None:
     """Write ``(keys, line_no, line)`` rows, one file per key below ``path``.
 
-    A file is eight header lines and the hours of the exported span, so it is one task's work.
+    A file is eight header lines and the hours of the exported span, so it is one task's work. The
+    header comes first whatever the years: hours before 1970 have negative numbers.
     """
+    parts = [part.select(*keys, F.lit(n).alias("_part"), "line_no", "line") for n, part in enumerate((header, lines))]
     (
-        header.select(*keys, "line_no", "line").unionByName(lines.select(*keys, "line_no", "line"))
-        .repartition(*keys).sortWithinPartitions(*keys, "line_no")
+        parts[0].unionByName(parts[1])
+        .repartition(*keys).sortWithinPartitions(*keys, "_part", "line_no")
         .select(*keys, F.col("line").alias("value"))
         .write.mode("overwrite").partitionBy(*keys).text(path)
     )

@@ -53,10 +53,32 @@ def read_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
         F.col("_metadata.file_path").alias("path"), "value")
 
 
-def read_hourly(spark: SparkSession, paths: str | list[str],
-                fields: Sequence[str] = HOURLY_FIELDS) -> DataFrame:
-    lines = read_lines(spark, paths)
-    return parse_lines(lines.withColumns(place_in_path(F.col("path"))), fields)
+def parse_by_header(lines: DataFrame, known: Sequence[tuple[str, str]] = GRIDDED_HOURLY) -> DataFrame:
+    """Data lines of files ``(path, value)`` by the column names of each file's own header.
+
+    Unknown columns are ignored, absent ones are NULL, as is everything in a file without a header.
+    A file adds one row to the side that holds the headers.
+    """
+    names = F.transform(F.split("value", ","), lambda c: F.trim(c))
+    places = F.struct(*(F.array_position("_names", text).alias(name) for name, text in known))
+    headers = (lines.where(F.col("value").rlike(r"^\s*time\s*,")).select("path", names.alias("_names"))
+               .groupBy("path").agg(F.min("_names").alias("_names")).select("path", places.alias("_at")))
+    data = lines.where(F.col("value").rlike(r"^\d{4}-\d{2}-\d{2}")).withColumn("_parts", F.split("value", ","))
+    kept = [c for c in lines.columns if c != "value"]
+
+    def cell(name: str) -> Column:
+        at = F.col("_at")[name]
+        return F.when(at > 0, F.trim(F.get("_parts", (at - 1).cast("int"))).try_cast("double"))
+
+    return data.join(headers, "path", "left").select(
+        *kept, F.trim(F.get("_parts", F.lit(0))).try_cast("timestamp_ntz").alias("ts"),
+        *(nan_to_null(cell(name)).alias(name) for name, _ in known))
+
+
+def read_hourly(spark: SparkSession, paths: str | list[str], fields: Sequence[str] | None = None) -> DataFrame:
+    """Hourly extracts, columns by each file's header; ``fields`` reads files by position instead."""
+    lines = read_lines(spark, paths).withColumns(place_in_path(F.col("path")))
+    return parse_by_header(lines) if fields is None else parse_lines(lines, fields)
 
 
 def read_daily(spark: SparkSession, paths: str | list[str],

@@ -60,7 +60,7 @@ def filled(name: str, source: str, fields: list[str], start: str, stop: str) ->
 
 JANUARY = ("2024-01-01 00:00:00", "2024-01-31 23:00:00")
 PLACES = """places AS (
-  SELECT station_id, 36 + (station_id*7 % 290)/10 AS lat, -9 + (station_id*13 % 370)/10 AS lon,
+  SELECT station_id, 36 + (station_id*7 % 290)/10 AS lat, -9 + (station_id*13 % 370)/10 + CASE WHEN station_id % 3 = 2 THEN 77 ELSE 0 END AS lon,
          CASE station_id % 3 WHEN 0 THEN 'Europe/Rome' WHEN 1 THEN 'Europe/London' ELSE 'Asia/Kolkata' END AS tz
   FROM (SELECT DISTINCT station_id FROM pts))"""
 SUP_PLACES = """sup_places AS (
@@ -118,11 +118,12 @@ def hiri(e: str, t: str, kt: str) -> str:
 def sun(source: str, name: str, offset: str) -> str:
     """Adds st (solar time), hs (altitude in radians), g0 and kt to rows with ts, lat, lon, ghi."""
     return f"""{name}_a AS (
-  SELECT *, dayofyear(ts) AS dy, year(ts) - 1957 AS yy, {offset} AS off,
-         radians(360*(dayofyear(ts)-81)/365) AS b FROM {source}),
+  SELECT *, dayofyear(clock) AS dy, year(clock) - 1957 AS yy, radians(360*(dayofyear(clock)-81)/365) AS b
+  FROM (SELECT *, ts - INTERVAL 1 HOUR + to_minutes(CAST(round(off*60) AS BIGINT)) AS clock
+        FROM (SELECT *, {offset} AS off FROM {source}))),
 {name}_b AS (
   SELECT *, (2*pi()/365.2422)*(dy - 0.5 - radians(lon)/(2*pi()) - (78.8946 + 0.2422*yy - trunc(yy/4))) AS w,
-         hour(ts) + (9.87*sin(2*b) - 7.53*cos(b) - 1.5*sin(b) + 4*(lon - off*15))/60 + 0.5 AS st FROM {name}_a),
+         hour(clock) + (9.87*sin(2*b) - 7.53*cos(b) - 1.5*sin(b) + 4*(lon - off*15))/60 + 0.5 AS st FROM {name}_a),
 {name}_c AS (
   SELECT *, 0.0064979 + 0.405906*sin(w) + 0.0020054*sin(2*w) - 0.002988*sin(3*w)
          - 0.0132296*cos(w) + 0.0063809*cos(2*w) + 0.0003508*cos(3*w) AS decl FROM {name}_b),
@@ -142,7 +143,7 @@ def brl(source: str, name: str) -> str:
     return f"""{name}_a AS (
   SELECT *, coalesce(sum(ghi) OVER d, 0)/nullif(sum(g0) OVER d, 0) AS kt_d, lag(kt) OVER o AS k0, lead(kt) OVER o AS k2,
          row_number() OVER o AS n, count(*) OVER (PARTITION BY station_id) AS total
-  FROM {source} WINDOW d AS (PARTITION BY station_id, CAST(ts AS DATE)), o AS (PARTITION BY station_id ORDER BY ts)),
+  FROM {source} WINDOW d AS (PARTITION BY station_id, CAST(clock AS DATE)), o AS (PARTITION BY station_id ORDER BY ts)),
 {name}_b AS (
   SELECT *, CASE WHEN k0 = 0 AND kt <> 0 AND k2 <> 0 THEN k2 WHEN k0 <> 0 AND kt <> 0 AND k2 = 0 THEN k0
                  ELSE (k0+k2)/2 END AS psi FROM {name}_a),
@@ -397,6 +398,24 @@ SELECT station_id, {i('y', 'year')}, {i('m', 'month')}, {r('fs_t_db')}, {r('fs_g
 SELECT station_id, {i('m', 'month')}, {i('y', 'chosen_year')}, {r('fs_tot')} FROM best""")
     sql["q_tmy_iso_network"] = q([SUP, fs("sup", "stat", False), chosen("stat", "best")], f"""
 SELECT station_id, {i('m', 'month')}, {i('y', 'chosen_year')}, {r('fs_tot')} FROM best""")
+    def term(v: str) -> str:
+        one, every = (f"row_number() OVER (PARTITION BY {g} ORDER BY round({v}, 9) NULLS LAST, day)/count({v}) OVER (PARTITION BY {g})"
+                      for g in ("station_id, y, m", "station_id, m"))
+        return f"CASE WHEN {v} IS NOT NULL THEN abs({one} - {every}) END AS d_{v}"
+
+    sql["q_tmy_iso_absent"] = q([SUP, f"""gaps AS (SELECT station_id, day, year(day) AS y, month(day) AS m, t_db,
+    CASE WHEN station_id % 3 <> 0 THEN ghi END AS ghi, CASE WHEN station_id % 2 = 1 OR day(day) % 5 <> 0 THEN rh END AS rh,
+    CASE WHEN station_id % 4 <> 0 OR year(day) % 2 = 0 THEN v_air END AS v_air FROM sup)""",
+        f"ranked AS (SELECT *, {', '.join(term(v) for v in ('t_db', 'ghi', 'rh'))} FROM gaps)",
+        """stat AS (SELECT station_id, y, m, coalesce(sum(d_t_db), 0) + coalesce(sum(d_ghi), 0) + coalesce(sum(d_rh), 0) AS fs_tot,
+    avg(v_air) AS wind FROM ranked GROUP BY 1, 2, 3)""",
+        """three AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY station_id, m ORDER BY round(fs_tot, 9), y) AS rk FROM stat) WHERE rk <= 3)""",
+        """best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY station_id, m ORDER BY gap NULLS LAST, rk) AS pick
+    FROM (SELECT *, round(abs(wind - avg(wind) OVER (PARTITION BY station_id, m)), 9) AS gap FROM three)) WHERE pick = 1)"""], f"""
+SELECT station_id, {i('m', 'month')}, {i('y', 'chosen_year')}, {r('fs_tot')} FROM best""")
+    sql["q_gridded_hourly"] = q([LINE_HOURS], f"""
+SELECT station_id, ts, {r('t_db')}, {r("CASE WHEN station_id <> 'N' THEN rh END", 'rh')}, {r("CASE WHEN station_id = 'N' THEN v_air END", 'v_air')}
+FROM hours""")
     four = ", ".join(r(c) for c in ("t_db", "ghi", "rh", "v_air"))
     sql["q_tmy_iso_rows"] = q(ISO, f"SELECT station_id, tmy_ts, {four} FROM iso_rows")
     sql["q_tmy_csv_roundtrip"] = sql["q_tmy_iso_rows"]
@@ -447,7 +466,7 @@ SELECT station_id, ts, {r('hs', 'altitude')}, {r('g0')}, {r('kt')},
                "placed AS (SELECT f.station_id, f.ts, f.ghi, lat, lon, tz FROM f JOIN places USING (station_id))",
                sun("placed", "lit", ZONE_OFFSET)]
     sql["q_clearness_daily"] = q(january, f"""
-SELECT station_id, CAST(ts AS DATE) AS day, {r('coalesce(sum(ghi), 0)/nullif(sum(g0), 0)', 'kt_d')} FROM lit GROUP BY 1, 2""")
+SELECT station_id, CAST(clock AS DATE) AS day, {r('coalesce(sum(ghi), 0)/nullif(sum(g0), 0)', 'kt_d')} FROM lit GROUP BY 1, 2""")
     sql["q_brl_split"] = q([*january, brl("lit", "divided")],
                            f"SELECT station_id, ts, {r('kt_d')}, {r('dif')}, {r('dni')} FROM divided")
     sql["q_tz_offset"] = q([POINTS, PLACES, wide("w", five)], f"""

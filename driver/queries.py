@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from aerolog.functions import air, codes, sun
@@ -13,7 +13,7 @@ from aerolog.functions.calendar import day_index, hour_index, utc_offset_hours
 from aerolog.operators import (compare, degree, epw, gapfill, ground, nearest, points, radiation,
                                resample, typical_year, urban, weeks)
 from aerolog.plans import typical_year as year_plan, weather_file
-from aerolog.schemas import EPW_COLUMNS
+from aerolog.schemas import EPW_COLUMNS, GRIDDED_HOURLY
 from aerolog.session import materialized, scratch_folder
 from aerolog.sources import epw_files, gridded_csv, lists, point_store, station_json, typical_csv
 
@@ -239,6 +239,16 @@ def q_tmy_iso_network(spark, sf):
         typical_year.finkelstein_schafer(V.by_supplier(spark, sf), keys=KEY), KEY)
 
 
+def q_tmy_iso_absent(spark, sf):
+    """Every third station without radiation, humidity and wind with gaps of their own."""
+    n, day = F.col("station_id"), F.col("day")
+    rows = V.by_supplier(spark, sf).withColumns({
+        "ghi": F.when(n % 3 != 0, F.col("ghi")),
+        "rh": F.when((n % 2 == 1) | (F.dayofmonth(day) % 5 != 0), F.col("rh")),
+        "v_air": F.when((n % 4 != 0) | (F.year(day) % 2 == 0), F.col("v_air"))})
+    return typical_year.typical_months(typical_year.finkelstein_schafer(rows, keys=KEY), KEY)
+
+
 def q_tmy_iso_rows(spark, sf):
     return _iso_rows(materialized(V.by_flag(spark, sf)))
 
@@ -464,6 +474,29 @@ def q_epw_roundtrip(spark, sf):
     return epw_files.read_epw(spark, folder, ("dry_bulb_temperature", "wind_speed"), "station_id STRING")
 
 
+def q_gridded_hourly(spark, sf):
+    """Hourly extracts of two layouts, written and read back by their own headers."""
+    folder = f"{scratch_folder(spark)}/gridded_hourly"
+    hourly = resample.hourly_wide(_line_points(spark, sf), ("t_db", "rh", "v_air"), KEY)
+    names = dict(GRIDDED_HOURLY)
+    layouts = {True: ("v_air", "t_db"), False: ("rh", None, "t_db")}
+    other = F.col("station_id") == "N"
+
+    def line(first, cells) -> Column:
+        return F.concat_ws(",", first, *(F.coalesce(c, F.lit("")) for c in cells))
+
+    def by_layout(first, cell) -> Column:
+        return F.when(other, line(first, map(cell, layouts[True]))).otherwise(line(first, map(cell, layouts[False])))
+
+    data = hourly.select(*KEY, F.lit(1).alias("part"), "ts", by_layout(
+        F.date_format("ts", "yyyy-MM-dd'T'HH:mm"), lambda c: F.col(c).cast("string") if c else F.lit("7")).alias("value"))
+    heads = hourly.select(*KEY).distinct().select(*KEY, F.lit(0).alias("part"), F.lit(None).cast("timestamp_ntz").alias("ts"), by_layout(
+        F.lit("time"), lambda c: F.lit(names[c] if c else "cloudcover (%)")).alias("value"))
+    (data.unionByName(heads).repartition(*KEY).sortWithinPartitions(*KEY, "part", "ts")
+     .select(*KEY, "value").write.partitionBy(*KEY).text(folder))
+    return gridded_csv.read_hourly(spark, folder).select("station_id", "ts", "t_db", "rh", "v_air")
+
+
 def q_gridded_csv(spark, sf):
     folder = f"{scratch_folder(spark)}/gridded"
     rows = V.by_flag(spark, sf).join(V.flag_places(spark, sf), KEY)

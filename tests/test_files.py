@@ -9,6 +9,7 @@ from aerolog.operators.points import in_range
 from aerolog.operators.typical_year import SOIL_FIELDS
 from aerolog.plans import ingest, weather_file
 from aerolog.schemas import EPW_COLUMNS
+from aerolog.schemas import GRIDDED_HOURLY
 from aerolog.sources import epw_files, gridded_csv, lists, point_store, station_json, typical_csv
 from aerolog.streaming.landing import ingest_stream
 
@@ -80,7 +81,7 @@ def test_stream_equals_batch(spark, tmp_path):
 def test_gridded_hourly(spark, tmp_path):
     folder = tmp_path / "lat=45.07" / "lon=7.69"
     folder.mkdir(parents=True)
-    header = "time," + ",".join(f for f in ("t", "rh", "dp", "rain", "code", "p", "v", "d", "s1", "s2", "s3", "s4", "dif"))
+    header = "time," + ",".join(name for _, name in GRIDDED_HOURLY)
     (folder / "x.csv").write_text(
         "latitude,longitude,elevation\n45.1,7.7,240.0\n\n" + header + "\n"
         "1965-01-01T00:00,1.5,80,0.5,0.0,3,1013.2,2.0,180,4,5,6,7,12.5\n"
@@ -98,6 +99,14 @@ def test_gridded_hourly(spark, tmp_path):
     assert {r.station_id for r in points.collect()} == {"45.07_7.69", "NORTH1"}
 
 
+def test_gridded_columns_by_name(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("latitude,longitude\n45,7\n\ntime,windspeed_10m (m/s),cloudcover (%),temperature_2m (°C)\n"
+                                    "2020-01-01T00:00,3,50,1.5\n")
+    (tmp_path / "b.csv").write_text("time,temperature_2m (°C)\n2020-01-01T00:00,2.5\n2020-01-01T01:00\n")
+    got = gridded_csv.read_hourly(spark, str(tmp_path)).orderBy("path", "ts").collect()
+    assert [(r.t_db, r.v_air, r.weathercode, r.rh) for r in got] == [(1.5, 3.0, None, None), (2.5, None, None, None), (None,) * 4]
+
+
 def test_gridded_header():
     header = "time,temperature_2m (°C),cloudcover (%),diffuse_radiation (W/m²)\n"
     assert gridded_csv.fields_of(header) == ("t_db", "_2", "dif")
@@ -160,6 +169,17 @@ def test_epw_rows_and_padding(spark):
     assert epw.pad_first_day(epw.epw_rows(rows_for_epw(spark, 0), KEY), KEY).count() == 24
 
 
+def test_old_files_begin_with_their_header(spark, tmp_path):
+    rows = rows_for_epw(spark).withColumn("ts", F.col("ts") - F.expr("INTERVAL 58 YEARS"))
+    header = spark.createDataFrame([("a", 1, "LOCATION"), ("a", 2, "DESIGN")], "station_id string, line_no bigint, line string")
+    path = str(tmp_path / "old")
+    epw_files.write_epw(header, epw.epw_lines(epw.epw_rows(rows, KEY), KEY), path, KEY)
+    (part,) = (tmp_path / "old" / "station_id=a").glob("part-*")
+    lines = part.read_text().splitlines()
+    assert lines[:2] == ["LOCATION", "DESIGN"] and [x.split(",")[3] for x in lines[2:]] == [str(h) for h in range(3, 25)]
+    assert lines[2].startswith("1965,1,1,")
+
+
 def test_epw_files(spark, tmp_path):
     header = spark.createDataFrame([("a", n, f"HEADER {n}") for n in range(1, 9)], "station_id string, line_no bigint, line string")
     path = str(tmp_path / "epw")

@@ -51,6 +51,18 @@ def test_file_against_stations(spark):
     assert out["b"].bias == pytest.approx(3)
 
 
+def test_several_files_stay_apart(spark):
+    p = station_points(spark)
+    hourly = indicators.hourly_years(p, 2022, 2023).where("station_id = 'a'")
+    files = hourly.select("ts", F.explode(F.array(F.lit(1), F.lit(5))).alias("file"), "t_db").select(
+        "file", "ts", (F.col("t_db") + F.col("file")).alias("dry_bulb_temperature"))
+    years = pt.years_window(2022, 2023)
+    out = {(r.station_id, r.file): r for r in indicators.weather_file_against_station(files, p, *years, files=["file"]).collect()}
+    assert [out["a", k].bias for k in (1, 5)] == pytest.approx([1, 5]) and out["a", 5].r == pytest.approx(1)
+    with pytest.raises(Exception, match="an hour twice"):
+        indicators.weather_file_against_station(files, p, *years).collect()
+
+
 def test_degree_hours_by_method(spark):
     rows = spark.createDataFrame([("net", "a", "iso", 20.0), ("net", "a", "mean", 25.0)],
                                  "source string, station_id string, method string, t_db double")

@@ -99,6 +99,14 @@ def test_whole_flow_gives_a_whole_year(spark):
     assert mean.count() == 8760 and mean.where("t_db is null or wind_dir is null").count() == 0
 
 
+def test_a_source_with_diffuse_radiation_alone(spark):
+    named = hour_points(spark, 2003, 2006)
+    other = named.withColumn("field", F.when(F.col("field") == "ghi", "dif").otherwise(F.col("field")))
+    iso = plan.iso_years(other, 2003, 2006, ("t_db", "dif", "rh", "v_air"), scored=("t_db", "dif", "rh"))
+    same = plan.iso_years(named, 2003, 2006, ("t_db", "ghi", "rh", "v_air")).withColumnRenamed("ghi", "dif")
+    assert iso.count() == 8760 and iso.exceptAll(same.select(*iso.columns)).count() == 0
+
+
 def test_mean_year(spark):
     rows = spark.createDataFrame([("a", dt.datetime(y, 3, 1, 5), float(y - 2000), w) for y, w in
                                   [(2001, 90.0), (2002, 45.0), (2003, 90.0), (2004, 45.0)]] +
