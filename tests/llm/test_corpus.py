@@ -271,3 +271,12 @@ def test_sql_twins(spark, name):
     theirs = con.execute(oracle.oracle_sql()[name]).df()
     ours = queries.registered()[name](spark, sf).toPandas()[list(theirs.columns)]
     assert sorted(map(tuple, ours.values.tolist())) == sorted(map(tuple, theirs.values.tolist()))
+
+
+def test_runs_and_plain_words_equal_the_library():
+    with open(queries.tokenizer_path(), encoding="utf-8") as f:
+        own = token_files.Library(f.read())
+    texts = ["", None, "a, b.. (c) don't İstanbul ΣΑΣ ǅ <|endoftext|> a<|b 12 ª", "word, " * 30_000, "x" * 100, "über-allem\x1cnah"] * 2
+    for rows in (texts, [], texts[:1]):
+        got = [r.tolist() for r in own.encode(rows, 7)]
+        assert got == [[*own.tokenizer.encode(t or "", add_special_tokens=False).ids, 7] for t in rows]
