@@ -235,14 +235,25 @@ def normal(text: str) -> str:
     return text.lower()
 
 
+def parts(text: str) -> list[str]:
+    """A text cut at Unicode white space; Python's own split also cuts at four separators that are none."""
+    return [c for c in _white.split(text) if c] if _separators.search(text) else text.split()
+
+
 def chunks(text: str) -> list[str]:
-    """A text cut at Unicode white space; Python's own split also cuts at four separators that are none.
+    """The parts of a text between white space, composed and in lower case where doing that again changes nothing.
 
-    Texts that might hold a special token stay as they are: its letters must not come from lower-casing.
+    A small letter may have a composed form that its capital lacks: such chunks stay as they are, because
+    they are normalised once more when they are encoded. Texts that might hold a special token stay too:
+    its letters must not come from lower-casing.
     """
-    if "<|" not in text:
-        text = normal(text)
-    return [c for c in _white.split(text) if c] if _separators.search(text) else text.split()
+    if "<|" in text:
+        return parts(text)
+    low = normal(text)
+    if low.isascii() or unicodedata.is_normalized("NFC", low):
+        return parts(low)
+    both = ((c, normal(c)) for c in parts(text))
+    return [low if unicodedata.is_normalized("NFC", low) else c for c, low in both]
 
 
 @lru_cache(maxsize=1)

@@ -280,3 +280,18 @@ def test_runs_and_plain_words_equal_the_library():
     for rows in (texts, [], texts[:1]):
         got = [r.tolist() for r in own.encode(rows, 7)]
         assert got == [[*own.tokenizer.encode(t or "", add_special_tokens=False).ids, 7] for t in rows]
+
+
+def test_capitals_are_composed_once(spark):
+    """Small letters that compose with a mark where their capitals don't."""
+    from tokenizers import Tokenizer
+    library = Tokenizer.from_file(queries.tokenizer_path())
+    cases = ["J\u030c", "H\u0331", "T\u0308", "W\u030a", "\u03aa\u0301"]
+    texts = cases + [f"one {c}x, Two {c}. {c.lower()} Éa" for c in cases] + [" ".join(cases) + "\x1cA <| B"]
+    want = [library.encode(t, add_special_tokens=False).ids for t in texts]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r["ids"] for r in bpe.with_tokens(df, queries.tokenizer_path()).collect()}
+    assert [got[k] for k in range(len(texts))] == want
+    folder = scratch_folder(spark)
+    token_files.write_tokens(df, queries.tokenizer_path(), 1, folder)
+    assert [r["ids"] for r in token_files.read_tokens(spark, folder).orderBy("doc_id").collect()] == [[*w, 1] for w in want]
