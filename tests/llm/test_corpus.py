@@ -295,3 +295,60 @@ def test_capitals_are_composed_once(spark):
     folder = scratch_folder(spark)
     token_files.write_tokens(df, queries.tokenizer_path(), 1, folder)
     assert [r["ids"] for r in token_files.read_tokens(spark, folder).orderBy("doc_id").collect()] == [[*w, 1] for w in want]
+
+
+def distance(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        last, row[0] = row[0], i
+        for j, y in enumerate(b, 1):
+            last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+    return row[-1]
+
+
+def edited(draw, line, edits):
+    """A line with letters put in, left out or changed, or with one of its words changed."""
+    if not edits:
+        words = line.split()
+        words[draw.randrange(len(words))] = draw.choice(["x", "other", "sixteen"])
+        return " ".join(words)
+    for _ in range(edits):
+        at = draw.randrange(max(1, len(line)))
+        line = line[:at] + draw.choice(["", "q", "qz", "é" + line[at:at + 1]]) + line[at + 1:]
+    return line
+
+
+def test_edited_lines_are_linked_as_by_plain_comparison(spark):
+    draw = random.Random(12)
+    pairs = []
+    for k in range(400):
+        line = " ".join(draw.choice(WORDS) for _ in range(draw.choice([5, 6, 7, 8, 9, 12, 20, 40])))
+        line = f"{k} {line} {k * k}"
+        pairs.append((line, edited(draw, line, draw.choice([0, 1, 1, 2, 3]))))
+    # lines of at most SHORT characters lose no pair, whatever the edits
+    alike = [(a, b) for a, b in pairs if 10 * distance(a, b) <= max(len(a), len(b)) and len(b.split()) >= 5]
+    rows = [(2 * k + i, pair[i]) for k, pair in enumerate(alike) for i in (0, 1)]
+    out = {r["doc_id"]: r["text"] for r in line_dedup.without_repeated_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    missed = [k for k in range(len(alike)) if out[2 * k + 1]]
+    assert len(alike) > 200 and not [k for k in missed if max(map(len, alike[k])) <= line_dedup.SHORT]
+    assert len(missed) <= len(alike) // 100
+
+
+def test_sketches_reject_no_pair_within_the_distance():
+    draw = random.Random(13)
+    for _ in range(300):
+        line = "".join(draw.choice("ab cé字") for _ in range(draw.randint(1, 60)))
+        other = edited(draw, line, draw.randint(1, 5))
+        a, b = line_dedup.sketches(*line_dedup.characters([line, other]))
+        assert sum(bin(int(x ^ y)).count("1") for x, y in zip(a, b)) <= line_dedup.DISTANCE * distance(line, other)
+
+
+def test_pieces_of_short_lines_miss_no_pair():
+    draw = random.Random(14)
+    keys = lambda lines: [set(k.tolist()) for k in line_dedup.line_keys(line_dedup.gram_marks(*line_dedup.characters(lines)), line_dedup.cut_marks(*line_dedup.characters(lines)))]
+    for _ in range(2000):
+        line = "".join(draw.choice("abcdefgh ") for _ in range(draw.randint(10, line_dedup.SHORT)))
+        other = edited(draw, line, draw.randint(1, 4))
+        if len(other) <= line_dedup.SHORT and distance(line, other) <= line_dedup.most_edits(max(len(line), len(other))) and line != other:
+            a, b = keys([line, other])
+            assert a & b, (line, other)
