@@ -5,7 +5,9 @@ Features are the distinct words, pairs of neighbours and pairs with one word bet
 weights at zero, so the model is small enough to send to every task (``2 ** BITS`` floats at most).
 
 The model is fitted on the driver to a bounded sample: of each label at most ``SAMPLE`` rows, by the
-hash of their id, of texts of at most ``SAMPLE_BYTES``. Scoring reads every whole text.
+hash of their id, of texts of at most ``SAMPLE_BYTES``; both labels weigh the same there, and the bias
+is moved to the share of labels among all labelled rows, so that scores mean the same whatever the size.
+Scoring reads every whole text.
 
 Null and empty texts have no features and get the score of the bias alone. Labels that are null, or of
 rows that aren't there, are left out; of a label that occurs twice one row is used. Without labels of
@@ -63,8 +65,14 @@ def margins(column: pa.Array, model: Model) -> np.ndarray:
     return out
 
 
-def fit(texts: list[str | None], labels: list[int]) -> Model:
-    """One pass of updates for each epoch, in an order drawn with a fixed seed."""
+def fit(texts: list[str | None], labels: list[int], share: float = 0.5) -> Model:
+    """One pass of updates for each epoch, in an order drawn with a fixed seed.
+
+    Both labels weigh the same; ``share`` of label 1 sets the final bias.
+    """
+    if len(set(labels)) < 2:
+        return Model(np.zeros(1 << BITS), 0.0)
+    heft = (0.5 / (1 - np.mean(labels)), 0.5 / np.mean(labels))
     n, z = np.zeros(1 << BITS), np.zeros(1 << BITS)
     bias_n = bias_z = 0.0
     data, places = utf8(pa.array(texts, pa.large_string()))
@@ -79,17 +87,18 @@ def fit(texts: list[str | None], labels: list[int]) -> Model:
     def weight(z, n, l1):
         return np.where(np.abs(z) <= l1, 0.0, -(z - np.sign(z) * l1) / ((BETA + np.sqrt(n)) / ALPHA + L2))
 
-    for _ in range(EPOCHS if len(set(labels)) > 1 else 0):
+    for _ in range(EPOCHS):
         for k in order.permutation(len(texts)):
             own = pairs[cuts[k]:cuts[k + 1]] & (1 << BITS) - 1
             w, bias = weight(z[own], n[own], L1), float(weight(bias_z, bias_n, 0))
-            g = 1 / (1 + np.exp(-np.clip(w.sum() + bias, -35, 35))) - labels[k]
+            g = heft[labels[k]] * (1 / (1 + np.exp(-np.clip(w.sum() + bias, -35, 35))) - labels[k])
             rate = (np.sqrt(n[own] + g * g) - np.sqrt(n[own])) / ALPHA
             z[own] += g - rate * w
             n[own] += g * g
             bias_z += g - (np.sqrt(bias_n + g * g) - np.sqrt(bias_n)) / ALPHA * bias
             bias_n += g * g
-    return Model(weight(z, n, L1).astype(np.float64), float(weight(bias_z, bias_n, 0)))
+    share = min(max(share, 1e-3), 1 - 1e-3)
+    return Model(weight(z, n, L1).astype(np.float64), float(weight(bias_z, bias_n, 0)) + float(np.log(share / (1 - share))))
 
 
 def remainder(key: Column, of: int) -> Column:
@@ -114,7 +123,11 @@ def sample(docs: DataFrame, labels: DataFrame, label: str, most: int, most_bytes
 def trained(docs: DataFrame, labels: DataFrame, label: str = "toxic", key: str = "doc_id", text: str = "text") -> Model:
     """A model from the labelled rows that ``labels`` gives."""
     rows = sample(docs, labels, label, SAMPLE, SAMPLE_BYTES, key, text)
-    return fit([t for _, t, _ in rows], [y for _, _, y in rows])
+    # of the labels that sample() draws from
+    known = labels.select(F.col(key).alias("_key"), F.col(label).cast("int").alias("_label")).dropna().groupBy("_key").agg(F.min("_label").alias("_label"))
+    there = known.where(F.col("_label").isin(0, 1)).join(docs.select(F.col(key).alias("_key")), "_key", "left_semi")
+    share = there.agg(F.avg(F.col("_label").cast("double"))).first()[0]
+    return fit([t for _, t, _ in rows], [y for _, _, y in rows], 0.5 if share is None else share)
 
 
 def scored(docs: DataFrame, model: Model, text: str = "text", score: str = "score") -> DataFrame:

@@ -352,3 +352,20 @@ def test_pieces_of_short_lines_miss_no_pair():
         if len(other) <= line_dedup.SHORT and distance(line, other) <= line_dedup.most_edits(max(len(line), len(other))) and line != other:
             a, b = keys([line, other])
             assert a & b, (line, other)
+
+
+def test_flags_do_not_depend_on_the_size_of_the_sample(spark, monkeypatch):
+    """One row in ten is toxic; the word that hints at it stands in clean rows as well."""
+    draw = random.Random(21)
+    rows = []
+    for k in range(2000):
+        toxic = int(k % 10 == 0)
+        hint = draw.random() < (0.8 if toxic else 0.2)
+        rows.append((k, passage(5000 + k, 12) + (" hint" if hint else " plain"), toxic))
+    df = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    means = []
+    for most in (4000, 150):
+        monkeypatch.setattr(toxicity, "SAMPLE", most)
+        scores = [r["score"] for r in toxicity.scored(df, toxicity.trained(df, df.select("doc_id", "toxic"))).collect()]
+        means.append((np.mean(scores), np.mean([s >= 0.5 for s in scores])))
+    assert all(abs(m - 0.1) < 0.06 and flagged < 0.15 for m, flagged in means)
