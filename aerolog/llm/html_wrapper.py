@@ -3,7 +3,9 @@
 Each host has one reference page (the one whose id has the smallest hash). The DOM tree of every other page of the host
 is aligned with it by simple tree matching: roots must have the same label, and of two child lists the
 heaviest order-keeping matching is taken. A text of the reference is constant if at least ``CONSTANT`` of
-the pages that have its node, ``WITNESSES`` of them or more, have the same text there. Those nodes are the
+the pages that have its node, ``WITNESSES`` of them or more, have the same text there; the reference and its
+copies (pages that share ``COPY`` of their text with it) count as one page, so that an article which many pages
+repeat stays. Those nodes are the
 host's template, the other ones are slots. From a page, the texts in slots (and in nodes that the
 reference lacks) are content, unless they stand in an element that is never part of an article by its
 name, class, id or role (menus, headers, footers, asides, forms, scripts, adverts, notices, comments).
@@ -16,7 +18,7 @@ Counts are sums over all pages of a host; a page of a reference travels to the p
 join on the host, where the reference's side has one row for each host.
 
 A null or empty page has an empty text, and so has one without content. A null address belongs to a
-host without name. Repeated pages count as often as they occur and each get their text. A page whose
+host without name. Repeated pages each get their text; copies of the reference count once, others as often as they occur. A page whose
 article would be all template keeps it. Without peers there is no template. Other columns of the input don't matter;
 an empty table gives an empty result.
 """
@@ -35,6 +37,8 @@ from aerolog.llm.common import ready_for_python
 from aerolog.session import materialized
 
 CONSTANT, WITNESSES = 0.8, 8
+#: A page is a copy of another if so much of its text, in characters, is that page's.
+COPY = 0.75
 
 TAG = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?/][^>]*(?:>|\Z)|<[a-zA-Z/][^>]*\Z", re.S)
 MARKS = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+))""", re.I)
@@ -257,10 +261,26 @@ def reference_tree(page: str) -> tuple[Node, dict[int, int]]:
     return root, number
 
 
+def eligible(tree: Node) -> list[Node]:
+    """The texts that can be content, in page order."""
+    roots = outermost(tree, "article") or outermost(tree, "main") or outermost(tree, "body") or [tree]
+    return [t for r in roots for t in texts(r)]
+
+
 def agreement(page: str | None, reference: str | None) -> list[int]:
-    """For every text of the reference that the page has: twice its number, plus 1 if it reads the same."""
+    """For every text of the reference that the page has: twice its number, plus 1 if it reads the same.
+
+    A copy of the reference, near ones included, has no vote: what it shares may be the article.
+    """
     root, number = reference_tree(reference or "")
-    return [2 * number[id(a)] + (a.text == b.text) for a, b in aligned(root, parsed(page or ""))]
+    tree = parsed(page or "")
+    pairs = aligned(root, tree)
+    same = {id(b) for a, b in pairs if a.text == b.text}
+    own = eligible(tree)
+    shared, size = (sum(len(t.text) for t in some) for some in ([t for t in own if id(t) in same], own))
+    if shared >= COPY * size:
+        return []
+    return [2 * number[id(a)] + (id(b) in same) for a, b in pairs]
 
 
 def content(page: str | None, reference: str | None, template: list[int] | None) -> str:
@@ -271,8 +291,7 @@ def content(page: str | None, reference: str | None, template: list[int] | None)
         root, number = reference_tree(reference or "")
         constant = set(template)
         fixed = {id(b) for a, b in aligned(root, tree) if number[id(a)] in constant and a.text == b.text}
-    roots = outermost(tree, "article") or outermost(tree, "main") or outermost(tree, "body") or [tree]
-    blocks = [t for r in roots for t in texts(r)]
+    blocks = eligible(tree)
     return "\n\n".join([t.text for t in blocks if id(t) not in fixed] or [t.text for t in blocks])
 
 
@@ -321,7 +340,8 @@ def main_texts(pages: DataFrame, key: str = "page_id", url: str = "url", page: s
     seen = (own.join(references, "_host").select("_host", F.explode(agreements("_html", "_reference")).alias("_code"))
             .groupBy("_host", F.shiftright("_code", 1).alias("_text")).agg(
                 F.count("*").alias("_n"), F.sum(F.col("_code").bitwiseAND(1)).alias("_same")))
-    constant = seen.where((F.col("_n") >= WITNESSES) & (F.col("_same") >= CONSTANT * F.col("_n")))
+    # the reference and its copies have one vote together
+    constant = seen.where((F.col("_n") + 1 >= WITNESSES) & (F.col("_same") + 1 >= CONSTANT * (F.col("_n") + 1)))
     wrappers = materialized(references.join(constant.groupBy("_host").agg(F.collect_list("_text").alias("_template")), "_host", "left"))
 
     @F.arrow_udf("string")

@@ -369,3 +369,16 @@ def test_flags_do_not_depend_on_the_size_of_the_sample(spark, monkeypatch):
         scores = [r["score"] for r in toxicity.scored(df, toxicity.trained(df, df.select("doc_id", "toxic"))).collect()]
         means.append((np.mean(scores), np.mean([s >= 0.5 for s in scores])))
     assert all(abs(m - 0.1) < 0.06 and flagged < 0.15 for m, flagged in means)
+
+
+def main_texts_of(spark, rows):
+    got = html_wrapper.main_texts(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    return {r["page_id"]: r["text"] for r in got}
+
+
+def test_near_copies_of_a_page_keep_their_article(spark):
+    shared = [passage(300 + k, 12) for k in range(9)]
+    blocks = [[*shared[:k % 9], f"changed {k} " + passage(400 + k, 6), *shared[k % 9 + 1:]] for k in range(10)]
+    page = lambda own: f"<html><body><article>{''.join(f'<p>{b}</p>' for b in own)}</article></body></html>"
+    got = main_texts_of(spark, [(k, f"http://copies.example/{k}", page(own)) for k, own in enumerate(blocks)])
+    assert got == {k: "\n\n".join(own) for k, own in enumerate(blocks)}
