@@ -1,12 +1,14 @@
 """Main text of web pages by wrapper induction: pages of one host are aligned, what stays is template.
 
-Each host has one reference page (the one whose id has the smallest hash). The DOM tree of every other page of the host
-is aligned with it by simple tree matching: roots must have the same label, and of two child lists the
+Pages of a host have the same layout if their trees have the same label paths down to elements that hold others. Each
+of the ``LAYOUTS`` layouts of a host with the most pages has a reference page (the one whose id has the smallest hash);
+pages without any text are none. The DOM tree of every page is aligned with the reference of its layout, or else with
+the one that it has most nodes in common with, by simple tree matching: roots must have the same label, and of two child lists the
 heaviest order-keeping matching is taken. A text of the reference is constant if at least ``CONSTANT`` of
 the pages that have its node, ``WITNESSES`` of them or more, have the same text there; the reference and its
 copies (pages that share ``COPY`` of their text with it) count as one page, so that an article which many pages
 repeat stays. Those nodes are the
-host's template, the other ones are slots. From a page, the texts in slots (and in nodes that the
+template, the other ones are slots. From a page, the texts in slots (and in nodes that the
 reference lacks) are content, unless they stand in an element that is never part of an article by its
 name, class, id or role (menus, headers, footers, asides, forms, scripts, adverts, notices, comments).
 If a page has articles, only they count, or else its main element, or else its body.
@@ -15,7 +17,7 @@ Blocks are the texts between block elements: character references are decoded, w
 space, blocks are trimmed and joined by an empty line in page order.
 
 Counts are sums over all pages of a host; a page of a reference travels to the pages of its host by a
-join on the host, where the reference's side has one row for each host.
+join on the host, where the references' side has one row for each host.
 
 A null or empty page has an empty text, and so has one without content. A null address belongs to a
 host without name. Repeated pages each get their text; copies of the reference count once, others as often as they occur. A page whose
@@ -28,15 +30,18 @@ from __future__ import annotations
 import html
 import re
 from functools import lru_cache
+from zlib import crc32
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from aerolog.llm.common import ready_for_python
 from aerolog.session import materialized
 
 CONSTANT, WITNESSES = 0.8, 8
+#: References of a host at most, which bounds the rows that pages are joined with.
+LAYOUTS = 4
 #: A page is a copy of another if so much of its text, in characters, is that page's.
 COPY = 0.75
 
@@ -267,30 +272,60 @@ def eligible(tree: Node) -> list[Node]:
     return [t for r in roots for t in texts(r)]
 
 
-def agreement(page: str | None, reference: str | None) -> list[int]:
-    """For every text of the reference that the page has: twice its number, plus 1 if it reads the same.
+def layout_of(root: Node) -> int | None:
+    """A number for the label paths down to the elements that hold others, however often; None without any text."""
+    paths, stack, empty = set(), [(root, "")], True
+    while stack:
+        node, above = stack.pop()
+        own = f"{above}/{node.label}"
+        for c in node.children:
+            if c.label == "#":
+                empty = False
+            else:
+                paths.add(own)
+                stack.append((c, own))
+    return None if empty else crc32("\n".join(sorted(paths)).encode())
+
+
+def best(tree: Node, references: list[dict] | None) -> int | None:
+    """The place of the reference of a tree's layout, or else of the one with the most nodes in common."""
+    if not references:
+        return None
+    own = layout_of(tree)
+    same = next((k for k, r in enumerate(references) if r["layout"] == own), None)
+    if same is not None or len(references) == 1:
+        return same or 0
+    return max(range(len(references)), key=lambda k: (weight(reference_tree(references[k]["page"])[0], tree, {}), -k))
+
+
+def agreement(page: str | None, references: list[dict] | None) -> list[int]:
+    """For every text of the page's reference that the page has: twice its code, plus 1 if it reads the same.
 
     A copy of the reference, near ones included, has no vote: what it shares may be the article.
     """
-    root, number = reference_tree(reference or "")
     tree = parsed(page or "")
+    k = best(tree, references)
+    if k is None:
+        return []
+    root, number = reference_tree(references[k]["page"])
     pairs = aligned(root, tree)
     same = {id(b) for a, b in pairs if a.text == b.text}
     own = eligible(tree)
     shared, size = (sum(len(t.text) for t in some) for some in ([t for t in own if id(t) in same], own))
     if shared >= COPY * size:
         return []
-    return [2 * number[id(a)] + (id(b) in same) for a, b in pairs]
+    return [2 * (number[id(a)] * LAYOUTS + k) + (id(b) in same) for a, b in pairs]
 
 
-def content(page: str | None, reference: str | None, template: list[int] | None) -> str:
+def content(page: str | None, references: list[dict] | None, template: list[int] | None) -> str:
     """The blocks of a page that stand in slots, inside of its articles."""
     tree = parsed(page or "")
     fixed: set[int] = set()
     if template:
-        root, number = reference_tree(reference or "")
+        k = best(tree, references)
+        root, number = reference_tree(references[k]["page"])
         constant = set(template)
-        fixed = {id(b) for a, b in aligned(root, tree) if number[id(a)] in constant and a.text == b.text}
+        fixed = {id(b) for a, b in aligned(root, tree) if number[id(a)] * LAYOUTS + k in constant and a.text == b.text}
     blocks = eligible(tree)
     return "\n\n".join([t.text for t in blocks if id(t) not in fixed] or [t.text for t in blocks])
 
@@ -327,17 +362,26 @@ def main_texts(pages: DataFrame, key: str = "page_id", url: str = "url", page: s
     """Key, address and main text of every page."""
     ready_for_python(pages.sparkSession)
     own = pages.select(F.col(key).alias("_key"), F.col(url).alias("_url"), F.col(page).alias("_html"), host(F.col(url)).alias("_host"))
+
+    @F.arrow_udf("bigint")
+    def layouts(htmls: pa.Array) -> pa.Array:
+        return pa.array([layout_of(parsed(h)) if h else None for h in htmls.to_pylist()], pa.int64())
+
+    common = Window.partitionBy("_host").orderBy(F.desc("_pages"), F.xxhash64("_chosen"), "_layout")
     # written, so that its size is known when the pages are joined with it
-    chosen = materialized(own.groupBy("_host").agg(F.min_by("_key", F.xxhash64("_key")).alias("_chosen")))
-    references = materialized(
-        own.withColumnRenamed("_host", "_on").join(chosen, F.col("_on").eqNullSafe(F.col("_host")) & F.col("_key").eqNullSafe(F.col("_chosen")))
-        .dropDuplicates(["_host"]).select("_host", F.col("_html").alias("_reference")))
+    chosen = materialized(own.select("_host", "_key", layouts("_html").alias("_layout")).where("_layout is not null")
+                          .groupBy("_host", "_layout").agg(F.min_by("_key", F.xxhash64("_key")).alias("_chosen"), F.count("*").alias("_pages"))
+                          .withColumn("_rank", F.row_number().over(common)).where(F.col("_rank") <= LAYOUTS))
+    found = (own.withColumnRenamed("_host", "_on").join(chosen, F.col("_on").eqNullSafe(F.col("_host")) & F.col("_key").eqNullSafe(F.col("_chosen")))
+             .where(layouts("_html") == F.col("_layout")).dropDuplicates(["_host", "_rank"]))
+    references = materialized(found.groupBy("_host").agg(F.sort_array(F.collect_list(F.struct(
+        F.col("_rank").alias("rank"), F.col("_layout").alias("layout"), F.col("_html").alias("page")))).alias("_references")))
 
     @F.arrow_udf("array<int>")
     def agreements(htmls: pa.Array, refs: pa.Array) -> pa.Array:
         return pa.array([agreement(h, r) for h, r in zip(htmls.to_pylist(), refs.to_pylist())], pa.list_(pa.int32()))
 
-    seen = (own.join(references, "_host").select("_host", F.explode(agreements("_html", "_reference")).alias("_code"))
+    seen = (own.join(references, "_host").select("_host", F.explode(agreements("_html", "_references")).alias("_code"))
             .groupBy("_host", F.shiftright("_code", 1).alias("_text")).agg(
                 F.count("*").alias("_n"), F.sum(F.col("_code").bitwiseAND(1)).alias("_same")))
     # the reference and its copies have one vote together
@@ -349,4 +393,4 @@ def main_texts(pages: DataFrame, key: str = "page_id", url: str = "url", page: s
         return pa.array([content(*row) for row in zip(htmls.to_pylist(), refs.to_pylist(), templates.to_pylist())], pa.string())
 
     return own.join(wrappers, "_host", "left").select(
-        F.col("_key").alias(key), F.col("_url").alias(url), contents("_html", "_reference", "_template").alias("text"))
+        F.col("_key").alias(key), F.col("_url").alias(url), contents("_html", "_references", "_template").alias("text"))

@@ -382,3 +382,16 @@ def test_near_copies_of_a_page_keep_their_article(spark):
     page = lambda own: f"<html><body><article>{''.join(f'<p>{b}</p>' for b in own)}</article></body></html>"
     got = main_texts_of(spark, [(k, f"http://copies.example/{k}", page(own)) for k, own in enumerate(blocks)])
     assert got == {k: "\n\n".join(own) for k, own in enumerate(blocks)}
+
+
+def test_layouts_of_a_host_have_templates_of_their_own(spark):
+    """Two layouts in plain elements; empty, null and cut pages among them."""
+    article = lambda k: f"<html><body><div class=top>Welcome to us</div><div class=text><p>{passage(500 + k, 15)}</p></div></body></html>"
+    listing = lambda k: f"<html><body><table class=list><tr><td>All our items</td><td>{passage(600 + k, 15)}</td></tr></table></body></html>"
+    for host in "abcdef":  # whichever page the hash of the ids favours
+        first = 100 * ord(host)
+        rows = [(first + k, f"http://{host}.example/{k}", page) for k, page in enumerate(
+            [article(k) for k in range(12)] + [listing(k) for k in range(10)] + [None, "", None, "", "<html><bo", "<html>"])]
+        got = main_texts_of(spark, rows)
+        assert [got[first + k] for k in range(22)] == [passage(500 + k, 15) for k in range(12)] + [passage(600 + k, 15) for k in range(10)]
+        assert {got[first + k] for k in range(22, 28)} == {""}
