@@ -395,3 +395,11 @@ def test_layouts_of_a_host_have_templates_of_their_own(spark):
         got = main_texts_of(spark, rows)
         assert [got[first + k] for k in range(22)] == [passage(500 + k, 15) for k in range(12)] + [passage(600 + k, 15) for k in range(10)]
         assert {got[first + k] for k in range(22, 28)} == {""}
+
+
+def test_lines_without_spaces_are_compared(spark):
+    chinese = "数据清洗的目标是删除重复的行，同时保留每一行第一次出现的位置。"
+    thai = "การลบบรรทัดที่ซ้ำกันเป็นขั้นตอนสำคัญของการเตรียมข้อมูล"
+    rows = [(1, f"{chinese}\n{thai}\n短行"), (2, chinese), (3, chinese.replace("目标", "目的")), (4, f"{thai}\n短行"), (5, "これは日本語の長い行です、単語の間に空白がありません"), (6, "これは日本語の長い行です、単語の間に空白がありませぬ")]
+    out = {r["doc_id"]: r["text"] for r in line_dedup.without_repeated_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert out == {1: rows[0][1], 2: "", 3: "", 4: "短行", 5: rows[4][1], 6: ""}
