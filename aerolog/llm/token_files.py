@@ -28,8 +28,9 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from aerolog.llm.bpe import Remembering, lists, vocabulary
-from aerolog.llm.common import ready_for_python
+from aerolog.llm.bpe import lists, vocabulary
+from aerolog.llm.common import pieces, ready_for_python, utf8
+from aerolog.llm.units import Codes, by_row, word_units
 from aerolog.session import materialized
 
 
@@ -37,11 +38,10 @@ from aerolog.session import materialized
 PARTS_A_TASK = 4
 
 
-class Library(Remembering):
+class Library:
     """The tokenizers library, asked once for each unit that a worker remembers."""
 
     def __init__(self, tokenizer_json: str):
-        super().__init__()
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
 
@@ -54,31 +54,47 @@ class Library(Remembering):
         vocab = self.tokenizer.get_vocab()
         self.ends_word = np.zeros(1 + max(vocab.values()), bool)
         self.ends_word[[i for t, i in vocab.items() if t.endswith(suffix)]] = True
+        self.codes = Codes(self.encode_units)
 
     def ids(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.int32)
 
-    def encode_units(self, units: list[str]) -> list[bytes]:
-        code: dict[str, bytes] = {}
+    def encode_units(self, units: list[bytes]) -> list[np.ndarray]:
+        texts = [u.decode() for u in units]
+        code: dict[str, np.ndarray] = {}
         # letters alone are one word: a space parts them, and each ends in a token with a word end
-        words = [u for u in units if u.isalpha()]
+        words = [u for u in texts if u.isalpha()]
         if words:
             found = self.ids(" ".join(words))
             ends = np.flatnonzero(self.ends_word[found]) + 1
             if len(ends) == len(words):
-                whole, at = found.tobytes(), (4 * ends).tolist()
-                code.update(zip(words, [whole[i:j] for i, j in zip([0, *at], at)]))
-        rest = [u for u in units if u not in code]
+                code.update(zip(words, np.split(found, ends[:-1])))
+        rest = [u for u in texts if u not in code]
         plain = [u for u in rest if "<|" not in u]
-        code.update((u, self.ids(u).tobytes()) for u in rest if "<|" in u)
+        code.update((u, self.ids(u)) for u in rest if "<|" in u)
         if plain:
             found = self.ids(self.mark.join(plain))
-            code.update(zip(plain, (part.tobytes() for part in parted(found, self.mark_id))))
-        return [code[u] for u in units]
+            code.update(zip(plain, parted(found, self.mark_id)))
+        return [code[u] for u in texts]
 
-    def encode(self, texts: list[str | None], end: int) -> list[np.ndarray]:
-        last = np.array([end], np.int32).tobytes()
-        return [np.frombuffer(c + last, np.int32) for c in self.codes(texts)]
+    def encode(self, column: pa.Array, end: int, kind: str) -> pa.Array:
+        """The ids of each text and the end token, as bytes of ``kind``."""
+        data, places = utf8(column)
+        ids, sizes = [np.zeros(0, kind)], [np.zeros(0, np.int64)]
+        for i, j in pieces(places):
+            rows = places[i:j + 1] - places[i]
+            own, begins, ends = word_units(data[places[i]:places[j]], rows)
+            found, at = self.codes(own, begins, ends)
+            cuts = by_row(begins, at, rows)
+            ids.append(np.insert(found.astype(kind), cuts[1:], end))
+            sizes.append(np.diff(cuts) + 1)
+        return byte_rows(np.concatenate(ids), np.concatenate(sizes))
+
+
+def byte_rows(values: np.ndarray, sizes: np.ndarray) -> pa.Array:
+    """A binary column whose rows hold so many of the values each."""
+    ends = np.concatenate([[0], np.cumsum(sizes)]) * values.itemsize
+    return pa.Array.from_buffers(pa.large_binary(), len(sizes), [None, pa.py_buffer(ends.astype(np.int64)), pa.py_buffer(np.ascontiguousarray(values))]).cast(pa.binary())
 
 
 def parted(ids: np.ndarray, mark: int) -> Iterator[np.ndarray]:
@@ -105,7 +121,7 @@ def encoded(text: Column, shared, end: int, kind: str) -> Column:
     def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         own = library(shared.value)
         for texts in batches:
-            yield pa.array([ids.astype(kind).tobytes() for ids in own.encode(texts.to_pylist(), end)], pa.binary())
+            yield own.encode(texts, end, kind)
 
     return encode(text)
 
