@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aerolog.llm import bpe, decontaminate, html_wrapper, line_dedup, near_dedup, quality_cnn, quality_rules, sharding, token_files, toxicity
+from aerolog.llm import bpe, decontaminate, html_wrapper, line_dedup, near_dedup, packing, quality_cnn, quality_rules, sharding, token_files, toxicity
 from aerolog.llm.common import table
 from aerolog.session import scratch_folder
 
@@ -89,5 +89,11 @@ def op10_toxicity(spark: SparkSession, sf: str) -> DataFrame:
     return out.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op11_packing(spark: SparkSession, sf: str) -> DataFrame:
+    path = tokenizer_path()
+    out = packing.packed(table(spark, sf, "documents"), path, 2)
+    return out.select("doc_id", "start", "length", packing.ids_crc32(F.col("ids"), "<u2").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "source", "round")
+
+
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
