@@ -59,8 +59,11 @@ def name_of(source: str | None) -> str:
 
 
 def packets(docs: DataFrame, path: str, end: int, size: int = SIZE, key: str = "doc_id", source: str = "source", text: str = "text",
-            targets: dict[str | None, float] | None = None) -> tuple[DataFrame, int, str]:
-    """Packets (doc_id, queue, at, n, start, length, round, block, ids), the number of all tokens, and the numpy type of an id."""
+            targets: dict[str | None, float] | None = None) -> tuple[DataFrame, DataFrame, int, str]:
+    """Packets (lot, doc_id, queue, at, n, start, length, round, block), the token table (lot, ids), the number of all tokens, and the numpy type of an id.
+
+    ``lot`` numbers the rows of the written token table. Packets are planned without the ids.
+    """
     if targets and min(targets.values()) <= 0:
         raise ValueError("targets must be above 0")
     spark = docs.sparkSession
@@ -74,7 +77,7 @@ def packets(docs: DataFrame, path: str, end: int, size: int = SIZE, key: str = "
                                   F.xxhash64("ids").alias("tie"), F.monotonically_increasing_id().alias("lot")))
     many = materialized(tokens.groupBy("queue", "doc_id", "tie").count().where(F.col("count") >= COPIES)
                         .select(F.xxhash64("queue", "doc_id", "tie").alias("same"), F.lit(True).alias("spread")).distinct())
-    rows = (tokens.withColumn("same", F.xxhash64("queue", "doc_id", "tie")).join(many, "same", "left")
+    rows = (tokens.drop("ids").withColumn("same", F.xxhash64("queue", "doc_id", "tie")).join(many, "same", "left")
             .withColumn("bucket", F.pmod(F.xxhash64("doc_id", "tie", F.when(F.col("spread"), F.col("lot") % BUCKETS).otherwise(F.lit(0))), F.lit(BUCKETS))))
 
     so_far = Window.partitionBy("queue").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
@@ -94,10 +97,10 @@ def packets(docs: DataFrame, path: str, end: int, size: int = SIZE, key: str = "
                          (F.shiftrightunsigned(F.xxhash64("queue"), 11) / F.lit(float(1 << 53))).alias("phase"))
     sums = sums.select("queue", "bucket", "first").join(parts, "queue")
 
-    earlier = Window.partitionBy("queue", "bucket").orderBy("doc_id", "tie").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = Window.partitionBy("queue", "bucket").orderBy("doc_id", "tie", "lot").rowsBetween(Window.unboundedPreceding, -1)
     placed = rows.withColumn("before", F.coalesce(F.sum("n").over(earlier), F.lit(0))).join(sums, ["queue", "bucket"])
     at = F.col("first") + F.col("before")
-    placed = placed.select("doc_id", "queue", "ids", "n", at.alias("own"), "quantum", "step", "phase")
+    placed = placed.select("lot", "doc_id", "queue", "n", at.alias("own"), "quantum", "step", "phase")
     # packet k of a queue holds its tokens from floor(k * step) to floor((k + 1) * step); one more at either end stays empty
     k = F.col("k").cast("double")
     low, high = F.floor(k * F.col("step")), F.floor((k + 1) * F.col("step"))
@@ -110,9 +113,8 @@ def packets(docs: DataFrame, path: str, end: int, size: int = SIZE, key: str = "
     block = F.least(F.floor(F.col("round") * BLOCKS / rounds), F.lit((1 << 31) - 1)).cast("int")
     start = F.col("from") - F.col("own")
     out = (cut.withColumn("round", round_)
-           .select("doc_id", "queue", F.col("from").alias("at"), "n", start.alias("start"), (F.col("to") - F.col("from")).alias("length"), "round", block.alias("block"),
-                   F.substring(F.col("ids"), (start * bytes_ + 1).cast("int"), ((F.col("to") - F.col("from")) * bytes_).cast("int")).alias("ids")))
-    return out, found, kind
+           .select("lot", "doc_id", "queue", F.col("from").alias("at"), "n", start.alias("start"), (F.col("to") - F.col("from")).alias("length"), "round", block.alias("block")))
+    return out, tokens.select("lot", "ids"), found, kind
 
 
 def tail_cuts(total: int, size: int) -> list[int]:
@@ -127,7 +129,7 @@ def tail_cuts(total: int, size: int) -> list[int]:
 def packed(docs: DataFrame, path: str, end: int, size: int = SIZE, key: str = "doc_id", source: str = "source", text: str = "text",
            targets: dict[str | None, float] | None = None) -> DataFrame:
     """Pieces (doc_id, source, start, length, doc_tokens, round, sequence_id, offset, ids); ``ids`` holds little-endian unsigned integers of two bytes, or four where the vocabulary needs them."""
-    cut, total, kind = packets(docs, path, end, size, key, source, text, targets)
+    cut, tokens, total, kind = packets(docs, path, end, size, key, source, text, targets)
     bytes_ = np.dtype(kind).itemsize
     blocks = cut.groupBy("block").agg(F.sum("length").alias("sum"))
     earlier = Window.orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
@@ -146,9 +148,12 @@ def packed(docs: DataFrame, path: str, end: int, size: int = SIZE, key: str = "d
     begun = F.size(F.filter(tails, lambda x: x <= a))  # sequences behind the windows that began
     sequence = F.when(a < full, F.floor(a / size)).otherwise(F.lit(full // size) + begun - 1)
     offset = F.when(a < full, a % size).otherwise(a - F.get(tails, begun - 1))
-    return split.select("doc_id", F.when(F.col("queue") != "-", F.substring("queue", 2, (1 << 31) - 1)).alias("source"), (F.col("start") + skipped).alias("start"),
-                        (F.col("b") - a).alias("length"), F.col("n").alias("doc_tokens"), "round", sequence.cast("long").alias("sequence_id"), offset.cast("long").alias("offset"),
-                        F.substring(F.col("ids"), (skipped * bytes_ + 1).cast("int"), ((F.col("b") - a) * bytes_).cast("int")).alias("ids"))
+    # the ids move once, to the pieces of their row
+    from_, length = F.col("start") + skipped, F.col("b") - a
+    placed = split.select("lot", "doc_id", "queue", from_.alias("start"), length.alias("length"), "n", "round", sequence.cast("long").alias("sequence_id"), offset.cast("long").alias("offset"))
+    return placed.join(tokens, "lot").select(
+        "doc_id", F.when(F.col("queue") != "-", F.substring("queue", 2, (1 << 31) - 1)).alias("source"), "start", "length", F.col("n").alias("doc_tokens"), "round",
+        "sequence_id", "offset", F.substring(F.col("ids"), (F.col("start") * bytes_ + 1).cast("int"), (F.col("length") * bytes_).cast("int")).alias("ids"))
 
 
 def ids_crc32(ids: Column, kind: str) -> Column:
