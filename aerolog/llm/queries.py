@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aerolog.llm import bpe, decontaminate, html_wrapper, line_dedup, near_dedup, packing, quality_cnn, quality_rules, sharding, token_files, toxicity
+from aerolog.llm import alignment, bpe, decontaminate, html_wrapper, line_dedup, near_dedup, packing, quality_cnn, quality_rules, sharding, token_files, toxicity
 from aerolog.llm.common import table
 from aerolog.session import scratch_folder
 
@@ -95,5 +95,12 @@ def op11_packing(spark: SparkSession, sf: str) -> DataFrame:
     return out.select("doc_id", "start", "length", packing.ids_crc32(F.col("ids"), "<u2").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "source", "round")
 
 
+def op12_alignment(spark: SparkSession, sf: str) -> DataFrame:
+    import public_tokenizers
+
+    a, b = (public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    return alignment.digests(table(spark, sf, "documents"), a, b).drop("row")
+
+
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
