@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aerolog.llm import alignment, bpe, decontaminate, html_wrapper, line_dedup, near_dedup, packing, quality_cnn, quality_rules, sharding, token_files, toxicity
+from aerolog.llm import alignment, bpe, decontaminate, divergence, html_wrapper, line_dedup, near_dedup, packing, quality_cnn, quality_rules, sharding, token_files, toxicity
 from aerolog.llm.common import table
 from aerolog.session import scratch_folder
 
@@ -102,5 +102,9 @@ def op12_alignment(spark: SparkSession, sf: str) -> DataFrame:
     return alignment.digests(table(spark, sf, "documents"), a, b).drop("row")
 
 
+def op13_divergence(spark: SparkSession, sf: str) -> DataFrame:
+    return divergence.audited(table(spark, sf, "documents"))
+
+
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
