@@ -192,7 +192,9 @@ def block_prices(frame: pd.DataFrame, lang: str, row_tile: int, column_tile: int
     kept = int(groups["kept"].iloc[0])
     group = pd.Index(groups["source"]).get_indexer(rows["source"])
     term = pd.Index(terms).get_indexer(rows["term"]) if len(terms) else np.zeros(0, np.int64)
-    counts = np.zeros((len(groups) + 1, len(terms)), np.int64)  # the last row is the language
+    # terms of the block that occur in no group of these tiles stand behind, with zeros; the last row is the language
+    size = int(groups["size"].iloc[0])
+    counts = np.zeros((len(groups) + 1, size), np.int64)
     counts[group, term] = rows["n"].to_numpy(np.int64)
     counts[-1, term] = rows["lang_n"].to_numpy(np.int64)
     n = len(groups)
@@ -201,7 +203,7 @@ def block_prices(frame: pd.DataFrame, lang: str, row_tile: int, column_tile: int
     if row_tile != column_tile:
         a, b = a[tile[a] != tile[b]], b[tile[a] != tile[b]]
     totals = [*groups["total"].tolist(), int(groups["lang_total"].iloc[0])]
-    if len(terms):
+    if size:
         trees = Trees(counts)
         p = np.zeros((n + 1, len(trees.values) + 1), np.int64)
         for k, total in enumerate(totals):
@@ -228,8 +230,8 @@ def block_prices(frame: pd.DataFrame, lang: str, row_tile: int, column_tile: int
 def audited(docs: DataFrame, lang: str = "lang", source: str = "source", text: str = "text") -> DataFrame:
     """(lang, source, part, item, value, rank): distances to the other sources of the language, and the terms that the source has more of."""
     counted = materialized(term_counts(docs, lang, source, text))
-    terms = (counted.groupBy("lang", "term").agg(F.sum("docs").alias("docs"), F.sum("n").alias("lang_n")).where(F.col("docs") >= LEAST_DOCS)
-             .select("lang", "term", "lang_n"))
+    terms = materialized(counted.groupBy("lang", "term").agg(F.sum("docs").alias("docs"), F.sum("n").alias("lang_n")).where(F.col("docs") >= LEAST_DOCS)
+                         .select("lang", "term", "lang_n"))
     langs = terms.groupBy("lang").agg(F.count("*").alias("kept"), F.sum("lang_n").alias("lang_total"))
     blocks = F.greatest(F.lit(1), F.ceil(F.coalesce("kept", F.lit(0)) / BLOCK)).cast("int")
     kept = materialized(counted.select("lang", "source", "term", "n").join(terms, ["lang", "term"]))
@@ -242,13 +244,15 @@ def audited(docs: DataFrame, lang: str = "lang", source: str = "source", text: s
     tiles = groups.groupBy("lang").agg((F.max("tile") + 1).alias("tiles"))
     groups = groups.join(tiles, "lang")
     # each group meets its block in all tiles; blocks without a term of the group hold its zeros
-    every = groups.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
-        "lang", "source", F.lit(None).cast("string").alias("term"), F.lit(0).cast("long").alias("n"), F.lit(0).cast("long").alias("lang_n"), "total", "kept", "lang_total", "tile", "tiles", "block")
-    own = kept.join(groups, ["lang", "source"]).select(
-        "lang", "source", "term", "n", "lang_n", "total", "kept", "lang_total", "tile", "tiles", F.pmod(F.xxhash64("term"), F.col("blocks")).cast("int").alias("block"))
+    block = F.pmod(F.xxhash64("term"), F.col("blocks")).cast("int").alias("block")
+    sizes = terms.join(langs.select("lang", blocks.alias("blocks")), "lang").groupBy("lang", block).agg(F.count("*").alias("size"))
+    every = groups.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).join(sizes, ["lang", "block"], "left").select(
+        "lang", "source", F.lit(None).cast("string").alias("term"), F.lit(0).cast("long").alias("n"), F.lit(0).cast("long").alias("lang_n"), "total", "kept", "lang_total",
+        F.coalesce("size", F.lit(0)).alias("size"), "tile", "tiles", "block")
+    own = kept.join(groups, ["lang", "source"]).select("lang", "source", "term", "n", "lang_n", "total", "kept", "lang_total", F.lit(0).cast("long").alias("size"), "tile", "tiles", block)
     other = F.explode(F.sequence(F.lit(0), F.col("tiles") - 1))
     met = every.unionByName(own).withColumn("other", other).select(
-        "lang", "block", F.least("tile", "other").alias("low"), F.greatest("tile", "other").alias("high"), "source", "term", "n", "lang_n", "total", "kept", "lang_total", "tile")
+        "lang", "block", F.least("tile", "other").alias("low"), F.greatest("tile", "other").alias("high"), "source", "term", "n", "lang_n", "total", "kept", "lang_total", "size", "tile")
 
     def price(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
         name, _, low, high = key

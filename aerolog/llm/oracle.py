@@ -53,6 +53,41 @@ SELECT w.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, coalesce(c.comp
 FROM w LEFT JOIN n ON n.doc_id = w.doc_id LEFT JOIN c ON c.doc_id = w.doc_id
 """
 
+OP13 = r"""
+WITH d AS (
+  SELECT coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w
+  FROM documents),
+g AS (SELECT DISTINCT lang, source FROM d),
+kept AS (
+  SELECT lang, term FROM (SELECT lang, unnest(list_distinct(w)) AS term FROM d) GROUP BY lang, term HAVING count(*) >= 30),
+c AS (
+  SELECT lang, source, term, count(*) AS n FROM (SELECT lang, source, unnest(w) AS term FROM d) SEMI JOIN kept USING (lang, term) GROUP BY lang, source, term),
+v AS (SELECT lang, count(*) AS v FROM kept GROUP BY lang),
+filled AS (
+  SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n
+  FROM g JOIN kept AS k ON k.lang = g.lang LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+p AS (
+  SELECT f.lang, f.source, f.term, f.n,
+         1 + (1000000000::HUGEINT * (f.n + 5)) // (sum(f.n) OVER (PARTITION BY f.lang, f.source) + 5 * v.v) AS p
+  FROM filled AS f JOIN v ON v.lang = f.lang),
+q AS (
+  SELECT f.lang, f.term, 1 + (1000000000::HUGEINT * (f.n + 5)) // (sum(f.n) OVER (PARTITION BY f.lang) + 5 * v.v) AS q
+  FROM (SELECT lang, term, sum(n) AS n FROM filled GROUP BY lang, term) AS f JOIN v ON v.lang = f.lang),
+distance AS (
+  SELECT x.lang, x.source, y.source AS item, sum(abs(x.p - y.p)) AS value
+  FROM p AS x JOIN p AS y ON y.lang = x.lang AND y.term = x.term AND y.source <> x.source GROUP BY ALL),
+items AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(s.value, 0) AS value
+  FROM g AS a JOIN g AS b ON b.lang = a.lang AND b.source <> a.source
+  LEFT JOIN distance AS s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source
+  UNION ALL
+  SELECT p.lang, p.source, 'term', p.term, p.p - q.q FROM p JOIN q ON q.lang = p.lang AND q.term = p.term WHERE p.n > 0 AND p.p > q.q)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value,
+       CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, encode(item)) AS INTEGER) AS rank
+FROM items QUALIFY part = 'pair' OR rank <= 50
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_decontamination": OP4, "op6_near_dedup": OP6}
+    return {"op4_decontamination": OP4, "op6_near_dedup": OP6, "op13_divergence": OP13}
