@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from aerolog.llm.bpe import byte_characters, vocabulary
-from aerolog.llm.common import pieces, ready_for_python, utf8
+from aerolog.llm.common import pieces, ready_for_python, small, utf8
 from aerolog.llm.token_files import byte_rows
 from aerolog.llm.units import Codes, by_row
 from aerolog.session import materialized
@@ -295,7 +295,7 @@ def aligned(docs: DataFrame, a_path: str, b_path: str, wanted: tuple[str, ...] =
 
     def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         a_side, b_side = sides(a_file.value, b_file.value)
-        for batch in batches:
+        for batch in small(batches):
             texts = batch.column(2)
             _, places = utf8(texts)
             for i, j in pieces(places, TEXT_BYTES):
@@ -330,7 +330,7 @@ def pair_counts(links: DataFrame, kind: str) -> DataFrame:
             keys, n = added(held)
             return pa.RecordBatch.from_arrays([pa.array(keys.astype(np.int64)), pa.array(n)], ["pair", "n"])
 
-        for batch in batches:
+        for batch in small(batches):
             held.append(np.unique(np.frombuffer(b"".join(batch.column(0).to_pylist()), kind), return_counts=True))
             size += len(held[-1][0])
             if size > 2 * HELD:
@@ -363,7 +363,7 @@ def with_pair_counts(found: DataFrame, kind: str, bits: int, most_sent: int = SE
 
     def price(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, n, best = (np.append(x, np.zeros(1, x.dtype)) for x in top.value)  # what isn't there ends up at the zero
-        for batch in batches:
+        for batch in small(batches):
             raw = batch.column(batch.schema.get_field_index("links")).to_pylist()
             pairs = np.frombuffer(b"".join(raw), kind)
             at = np.concatenate([[0], np.cumsum([len(r) for r in raw], dtype=np.int64) // pairs.itemsize])

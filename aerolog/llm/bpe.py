@@ -30,7 +30,7 @@ import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aerolog.llm.common import ready_for_python
+from aerolog.llm.common import ready_for_python, small
 
 #: Units and chunks whose codes a worker remembers (some 200 bytes each).
 REMEMBERED = 300_000
@@ -278,7 +278,7 @@ def encoded(text: Column, shared) -> Column:
     @F.arrow_udf("array<int>")
     def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         own = codec(shared.value)
-        for texts in batches:
+        for texts in small(batches):
             yield lists(own.encode(texts.to_pylist()))
 
     return encode(text)
@@ -289,7 +289,7 @@ def decoded(ids: Column, shared) -> Column:
     @F.arrow_udf("string")
     def decode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         own = codec(shared.value)
-        for rows in batches:
+        for rows in small(batches):
             yield pa.array([own.decode(x.values.to_numpy(zero_copy_only=False)) if x.is_valid else "" for x in rows], pa.string())
 
     return decode(ids)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -12,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 #: The folder that holds the package.
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
-#: Rows of one Arrow batch. Texts can be long, and the tasks hold one batch at a time.
+#: Rows that Python works on at once.
 BATCH_ROWS = 256
 #: Bytes of text that numpy works on at once; a longer text is a piece of its own.
 PIECE_BYTES = 1 << 20
@@ -23,16 +24,33 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def ready_for_python(spark: SparkSession) -> None:
-    """Bound the rows that one Arrow batch carries to Python, and let workers of this machine import the package.
-
-    On a cluster the package is installed on the executors or shipped with the job.
-    """
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    """Let workers of this machine import the package. On a cluster it is installed on the executors or shipped with the job."""
     environment = spark.sparkContext.environment
     if ROOT not in environment.get("PYTHONPATH", "").split(os.pathsep):
         environment["PYTHONPATH"] = os.pathsep.join(filter(None, [environment.get("PYTHONPATH"), ROOT]))
 
 
+def small(batches: Iterator[pa.Array | pa.RecordBatch]) -> Iterator[pa.Array | pa.RecordBatch]:
+    """Batches of at most ``BATCH_ROWS`` rows, whatever the session puts into one; an empty one stays."""
+    for batch in batches:
+        for k in range(0, max(len(batch), 1), BATCH_ROWS):
+            yield batch.slice(k, BATCH_ROWS)
+
+
+@contextmanager
+def setting(spark: SparkSession, name: str, value: str) -> Iterator[None]:
+    """A session setting for the eager work inside; it is as before afterwards."""
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
+
+
 def free_name(df: DataFrame, name: str) -> str:
     """``name``, or ``name`` with underscores in front if a column is already called so."""
     taken = {c.lower() for c in df.columns}

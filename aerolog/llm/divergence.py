@@ -31,7 +31,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from aerolog.llm.common import pieces, ready_for_python, utf8
+from aerolog.llm.common import pieces, ready_for_python, small, utf8
 from aerolog.llm.units import Units
 from aerolog.llm.words import spans, without
 from aerolog.session import materialized
@@ -110,7 +110,7 @@ def term_counts(docs: DataFrame, lang: str = "lang", source: str = "source", tex
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Counts()
-        for batch in batches:
+        for batch in small(batches):
             langs, sources = (pc.fill_null(batch.column(k).cast(pa.string()), "").to_pylist() for k in (0, 1))
             group_of = np.array([own.groups.setdefault(g, len(own.groups)) for g in zip(langs, sources)], np.int64)
             data, places = utf8(batch.column(2))

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from aerolog.llm.common import free_name, pieces, ready_for_python, utf8
+from aerolog.llm.common import free_name, pieces, ready_for_python, small, utf8
 from aerolog.llm.links import crowded, linked_groups
 from aerolog.llm.words import SPACED, byte_codes, hashes, mix, rows_of, spans
 from aerolog.session import materialized
@@ -145,7 +145,7 @@ def near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
 
     @F.arrow_udf(SIGNATURE)
     def signed(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for texts in batches:
+        for texts in small(batches):
             yield signatures(texts)
 
     own = docs.select(F.col(key).alias("id"), F.col(text).alias("text"))

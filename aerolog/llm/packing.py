@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from aerolog.llm.bpe import lists, vocabulary
-from aerolog.llm.common import ready_for_python
+from aerolog.llm.common import ready_for_python, small
 from aerolog.llm.token_files import encoded, width
 from aerolog.session import materialized
 
@@ -160,7 +160,7 @@ def ids_crc32(ids: Column, kind: str) -> Column:
     """Unsigned crc32 of ids as little-endian unsigned 32-bit integers."""
     @F.arrow_udf("long")
     def crc(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for rows in batches:
+        for rows in small(batches):
             yield pa.array([zlib.crc32(np.frombuffer(r, kind).astype("<u4")) for r in rows.to_pylist()], pa.int64())
 
     return crc(ids)
@@ -173,7 +173,7 @@ def sequences(pieces: DataFrame, kind: str = "<u2") -> DataFrame:
     """
     @F.arrow_udf("array<int>")
     def array(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for rows in batches:
+        for rows in small(batches):
             yield lists([np.frombuffer(r, kind).astype(np.int32) for r in rows.to_pylist()])
 
     whole = pieces.groupBy("sequence_id").agg(F.sort_array(F.collect_list(F.struct("offset", "doc_id", "source", "start", "length", "ids"))).alias("p"))

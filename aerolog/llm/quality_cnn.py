@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from aerolog.llm.common import free_name, pieces, ready_for_python, utf8
+from aerolog.llm.common import free_name, pieces, ready_for_python, small, utf8
 from aerolog.llm.toxicity import sample
 
 FILTERS, WIDTH, DEPTH, BLOCK = 16, 6, 8, 256
@@ -197,7 +197,7 @@ def scored(docs: DataFrame, net: Network, text: str = "text", score: str = "scor
     @F.arrow_udf("double")
     def probability(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         tables = shared.value.pairs()
-        for texts in batches:
+        for texts in small(batches):
             yield pa.array(1 / (1 + np.exp(-np.clip(margins(texts, shared.value, tables), -35, 35))))
 
     return docs.withColumn(free_name(docs, score), probability(text))

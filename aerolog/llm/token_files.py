@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from aerolog.llm.bpe import lists, vocabulary
-from aerolog.llm.common import pieces, ready_for_python, utf8
+from aerolog.llm.common import pieces, ready_for_python, small, utf8
 from aerolog.llm.units import Codes, by_row, word_units
 from aerolog.session import materialized
 
@@ -120,7 +120,7 @@ def encoded(text: Column, shared, end: int, kind: str) -> Column:
     @F.arrow_udf("binary")
     def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         own = library(shared.value)
-        for texts in batches:
+        for texts in small(batches):
             yield own.encode(texts, end, kind)
 
     return encode(text)
@@ -130,7 +130,7 @@ def counts(tokens: DataFrame, kind: str, ids: str = "ids") -> DataFrame:
     """How often each id occurs in rows of bytes. Every task sends one row for each id at most."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(0, np.int64)
-        for batch in batches:
+        for batch in small(batches):
             seen = np.bincount(np.frombuffer(b"".join(batch.column(0).to_pylist()), kind))
             if len(seen) > len(total):
                 total, seen = seen.astype(np.int64), total
@@ -190,7 +190,7 @@ def write_tokens(docs: DataFrame, path: str, end: int, folder: str, key: str = "
     bounds = np.unique(np.array(cuts, np.int64))
 
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small(batches):
             rows = [np.frombuffer(x, kind) for x in batch.column(2).to_pylist()]
             packed = [pack(table.value[r]) for r in rows]
             ids = batch.column(0)
@@ -202,7 +202,7 @@ def write_tokens(docs: DataFrame, path: str, end: int, folder: str, key: str = "
 
     def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, before = -1, 0
-        for batch in batches:
+        for batch in small(batches):
             part, sizes = batch.column(0).to_numpy(), batch.column(3).to_numpy()
             total = np.cumsum(sizes)
             first = np.searchsorted(part, part)  # rows come by part

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from aerolog.llm.common import free_name, pieces, ready_for_python, utf8
+from aerolog.llm.common import free_name, pieces, ready_for_python, small, utf8
 from aerolog.llm.words import ALNUM, byte_codes, hashes, mix, rows_of, spans
 
 BITS = 18
@@ -137,7 +137,7 @@ def scored(docs: DataFrame, model: Model, text: str = "text", score: str = "scor
 
     @F.arrow_udf("double")
     def probability(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for texts in batches:
+        for texts in small(batches):
             yield pa.array(1 / (1 + np.exp(-np.clip(margins(texts, shared.value), -35, 35))))
 
     return docs.withColumn(free_name(docs, score), probability(text))
