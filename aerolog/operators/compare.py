@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 
 def pearson_and_bias(pairs: DataFrame, x: str, y: str, keys: Sequence[str]) -> DataFrame:
@@ -30,6 +30,39 @@ def aligned(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "
     return left.join(right, list(keys), how)
 
 
+def paired(left: DataFrame, right: DataFrame, pairs: DataFrame, left_keys: Sequence[str], right_keys: Sequence[str],
+           on: Sequence[str]) -> DataFrame:
+    """Series of two tables that a table of pairs puts together, joined on the event time.
+
+    Each left series meets the right ones it is paired with and no others. Times that only one has stay, with NULL.
+    """
+    wanted = left.join(pairs.select(*left_keys, *right_keys).distinct(), list(left_keys))
+    return wanted.join(right, [*right_keys, *on], "left")
+
+
+def as_of(left: DataFrame, right: DataFrame, keys: Sequence[str], columns: Sequence[str], hours: float, ts: str = "ts",
+          out_ts: str = "ts_right") -> DataFrame:
+    """Every row of ``left`` with ``columns`` of the latest right row of its series that is not later, nor more than ``hours`` earlier.
+
+    Both tables are one ordered stream by series and day, in which a row looks back to the last right
+    row; a right row stands in its own day and in as many following ones as ``hours`` reach. So a
+    window holds a day and its eves, and no row of one side meets the rows of the other.
+    Right rows at one time: the one with the largest values. Rows without a time stay unmatched.
+    """
+    rows, match, side = f"_{ts}_row", "_match", "_side"
+    seen = right.where(F.col(ts).isNotNull()).select(*keys, F.col(ts).alias("_at"), F.struct(F.col(ts).alias(out_ts), *columns).alias(match))
+    day = F.col("_at").cast("date")
+    days = -(-hours // 24)
+    seen = seen.withColumn("_day", F.explode(F.sequence(day, F.date_add(day, int(days)))))
+    asked = left.select(*keys, F.col(ts).alias("_at"), F.struct(*left.columns).alias(rows)).withColumn("_day", day)
+    both = asked.withColumns({match: F.lit(None).cast(seen.schema[match].dataType), side: F.lit(1)}).unionByName(
+        seen.withColumns({rows: F.lit(None).cast(asked.schema[rows].dataType), side: F.lit(0)}))
+    back = Window.partitionBy(*keys, "_day").orderBy("_at", side, match).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    found = both.withColumn("_found", F.last(match, ignorenulls=True).over(back)).where(F.col(side) == 1)
+    near = F.col("_at").isNotNull() & (F.timestamp_diff("SECOND", F.col(f"_found.{out_ts}"), F.col("_at")) <= hours * 3600)
+    return found.select(f"{rows}.*", *(F.when(near, F.col(f"_found.{c}")).alias(c) for c in (out_ts, *columns)))
+
+
 def side_by_side(rows: DataFrame, keys: Sequence[str], label: Column, labels: Sequence[str],
                  value: Column) -> DataFrame:
     """Mean of ``value`` with one column per label (source, method or period)."""

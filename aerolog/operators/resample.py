@@ -45,17 +45,21 @@ def hourly_wide(points: DataFrame, fields: Sequence[str] = FIELDS, keys: Sequenc
 def hourly_multi_agg(points: DataFrame, mean: Sequence[str] = (), total: Sequence[str] = (),
                      mode: Sequence[str] = (), mode_nonzero: Sequence[str] = (),
                      keys: Sequence[str] = KEYS, label: str = "start",
-                     out: str = "ts") -> DataFrame:
+                     out: str = "ts", found: str | None = None) -> DataFrame:
     """Different aggregates per field over the hour, in two aggregations.
 
+    ``found`` is a part of a name: all other fields that have it, in any case, are averaged too,
+    whatever they are called and however many a station sends, into the map ``others`` by field.
+
     The first counts and sums per value (of the fields whose mode is wanted), the second picks
     the mode among the counted values; no task ever holds the values of a whole hour.
     """
     modal = [*mode, *mode_nonzero]
     wanted = [*mean, *total, *modal]
     field, value = F.col("field"), F.col("_value")
+    other = F.lit(False) if found is None else F.lower(field).contains(found.lower()) & ~field.isin(wanted)
     counted = (
-        points.where(field.isin(wanted))
+        points.where(field.isin(wanted) | other)
         .select(*keys, "field", _hour("ts", label).alias(out), "value",
                 (F.when(field.isin(modal), F.col("value")) if modal
                  else F.lit(None).cast("double")).alias("_value"))
@@ -69,11 +73,14 @@ def hourly_multi_agg(points: DataFrame, mean: Sequence[str] = (), total: Sequenc
     def top(f: str, condition: Column) -> Column:
         return F.max_by("_value", F.when((field == f) & condition, F.struct("_n", -value)))
 
+    # such a field has one row by now, its value not being counted
+    others = [] if found is None else [F.map_from_entries(F.collect_list(F.when(other, F.struct("field", F.try_divide("_sum", "_n"))))).alias("others")]
     return counted.groupBy(*keys, out).agg(
         *[F.try_divide(of(f, "_sum"), of(f, "_n")).alias(f) for f in mean],
         *[F.coalesce(of(f, "_sum"), F.lit(0.0)).alias(f) for f in total],
         *[top(f, value.isNotNull()).alias(f) for f in mode],
         *[F.coalesce(top(f, value != 0), F.lit(0.0)).alias(f) for f in mode_nonzero],
+        *others,
     )
 
 

@@ -48,6 +48,13 @@ def urban_gap(points: DataFrame, places: DataFrame, center: tuple[float, float],
     return urban.zone_gap(hourly, urban.zones(places, center, radius_km, keys), part, by, keys=keys)
 
 
+def urban_gaps(points: DataFrame, places: DataFrame, circles: DataFrame, first_year: int, last_year: int, by: str = "hour",
+               keys: Sequence[str] = KEYS) -> DataFrame:
+    """:func:`urban_gap` of many circles (circle, lat, lon, radius_km) in one pass over the points."""
+    part = {"hour": F.hour("ts"), "month": F.month("ts")}[by]
+    return urban.circle_gaps(hourly_years(points, first_year, last_year, keys=keys), places, circles, part, by, keys=keys)
+
+
 def degree_hours_by_method(typical_rows: DataFrame, heating: bool,
                            keys: Sequence[str] = (*KEYS, "method")) -> DataFrame:
     """Degree hours of typical years, one row per series, method and threshold."""
@@ -63,11 +70,12 @@ def daily_curves(typical_rows: DataFrame, columns: Sequence[str] = ("t_db",),
 
 
 def weather_file_against_station(epw: DataFrame, points: DataFrame, start: Column, stop: Column,
-                                 keys: Sequence[str] = KEYS, files: Sequence[str] = ()) -> DataFrame:
-    """Bias and correlation of the dry bulb of EPW rows ``(ts, dry_bulb_temperature)`` with every station.
+                                 keys: Sequence[str] = KEYS, files: Sequence[str] = (), pairs: DataFrame | None = None) -> DataFrame:
+    """Bias and correlation of the dry bulb of EPW rows ``(ts, dry_bulb_temperature)`` with stations.
 
-    ``files`` names the columns that tell one file from another; each is compared on its own. An hour
-    that a file holds twice is an error.
+    ``files`` names the columns that tell one file from another; each is compared on its own, with the
+    stations that ``pairs`` (files, keys) gives it, by station and hour. Without pairs it is compared with every station,
+    which is meant for one file or a few. An hour that a file holds twice is an error.
 
     EPW hour h (1 to 24) belongs to the station hour labelled h - 1, which is the ``ts`` that
     reading and writing EPW files use.
@@ -76,4 +84,8 @@ def weather_file_against_station(epw: DataFrame, points: DataFrame, start: Colum
     once = F.when(F.count(F.lit(1)) > 1, F.raise_error(F.lit("a weather file holds an hour twice"))).otherwise(
         F.max("dry_bulb_temperature"))
     file = epw.where("ts is not null").groupBy(*files, "ts").agg(once.cast("double").alias("epw_t"))
-    return compare.pearson_and_bias(compare.aligned(series, file, ["ts"]), "epw_t", "t_db", [*keys, *files])
+    if pairs is None:
+        both = compare.aligned(series, file, ["ts"])
+    else:
+        both = compare.paired(series, file, pairs, keys, files, ["ts"])
+    return compare.pearson_and_bias(both, "epw_t", "t_db", [*keys, *files])

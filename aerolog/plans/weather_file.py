@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions.air import absolute_humidity
 from ..functions.calendar import hour_index
 from ..functions.codes import present_weather, present_weather_code, rain_type, wind_sector
+from ..operators.design import design_line, design_values, extremes, months
+from ..operators.elevation import with_elevation
 from ..operators.epw import data_span, epw_header, epw_lines, epw_rows, pad_first_day
 from ..operators.gapfill import fill_window_mean, interpolate
 from ..operators.ground import ground_line
@@ -16,6 +18,7 @@ from ..operators.nearest import nearest_reference
 from ..operators.radiation import split, with_infrared
 from ..operators.resample import daily_mean
 from ..operators.weeks import season_weeks, weeks_line
+from ..operators.zones import CELL, with_zone
 from ..schemas import KEYS
 from ..session import materialized
 from ..sources.epw_files import write_epw
@@ -71,6 +74,27 @@ def with_reference(stations: DataFrame, references: DataFrame, station_key: str
         references.drop(*[c for c in stations.columns if c != ref_key]), ref_key, "left")
 
 
+def with_time_zone(stations: DataFrame, cells: DataFrame, keys: Sequence[str] = KEYS, cell: float = CELL) -> DataFrame:
+    """Stations with the time zone of their place where they have none (``cells`` from ``zones.zone_cells``)."""
+    found = with_zone(stations, cells, cell, keys, out="_zone").select(*keys, "_zone")
+    own = F.col("tz") if "tz" in stations.columns else F.lit(None).cast("string")
+    return stations.join(found, list(keys), "left").withColumn("tz", F.coalesce(own, "_zone")).drop("_zone")
+
+
+def with_design_conditions(stations: DataFrame, hourly: DataFrame, keys: Sequence[str] = KEYS, ts: str = "ts") -> DataFrame:
+    """Stations with design conditions of their own hours (t_db, rh, v_air; many years) where no reference gave any."""
+    computed = design_line(design_values(hourly, keys), months(hourly, keys=keys, ts=ts), extremes(hourly, keys=keys, ts=ts), keys).withColumnRenamed("design_conditions", "_line")
+    own = F.col("design_conditions") if "design_conditions" in stations.columns else F.lit(None).cast("string")
+    return stations.join(computed, list(keys), "left").withColumn("design_conditions", F.coalesce(own, "_line")).drop("_line")
+
+
+def with_raster_elevation(stations: DataFrame, tiles: DataFrame, origin: tuple[float, float], step: float, keys: Sequence[str] = KEYS) -> DataFrame:
+    """Stations with the elevation of their place, in whole metres, where they have none."""
+    found = with_elevation(stations, tiles, origin, step, keys=keys, out="_height").select(*keys, F.round("_height").cast("int").alias("_height"))
+    own = F.col("elevation") if "elevation" in stations.columns else F.lit(None).cast("int")
+    return stations.join(found, list(keys), "left").withColumn("elevation", F.coalesce(own, "_height")).drop("_height")
+
+
 def header_lines(stations: DataFrame, series: DataFrame, soil: DataFrame,
                  keys: Sequence[str] = KEYS, ts: str = "ts", **options) -> DataFrame:
     """Header of every station from its hourly ``series`` (one year) and its ``soil`` layers.

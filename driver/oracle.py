@@ -541,6 +541,75 @@ SELECT station_id, {dates}, {nothing} FROM (
     sql["q_gridded_csv"] = q([FLAG, FLAG_PLACES], f"""
 SELECT {r('round(lat, 2)', 'lat')}, {r('round(lon, 2)', 'lon')}, day, {r('t_db')} FROM flag JOIN flag_places USING (station_id)""")
 
+    customers = """cust AS (SELECT c_custkey AS station_id, 34 + c_custkey%26 + c_acctbal/10000 AS lat, -12 + c_custkey%37 + c_acctbal/20000 AS lon FROM customer)"""
+    sql["q_zone_of_place"] = q([customers, """middle AS (SELECT n_name AS zone, n_nationkey AS n, 36 + 3*(n_nationkey % 8) + 0.123::DOUBLE AS y,
+  -10 + 8*floor(n_nationkey/8) + n_nationkey % 3 + 0.321::DOUBLE AS x FROM nation)""", """corners AS (
+  SELECT zone, 0 AS ring, seq, x + (2.5 + 1.3*cos(5*seq + n))*cos(2*pi()*seq/12) AS lon, y + (2.5 + 1.3*cos(5*seq + n))*sin(2*pi()*seq/12) AS lat
+  FROM middle, (SELECT unnest(range(0, 12)) AS seq)
+  UNION ALL
+  SELECT zone, 1, seq, x + 0.9*cos(2*pi()*seq/3), y + 0.9*sin(2*pi()*seq/3) FROM middle, (SELECT unnest(range(0, 3)) AS seq) WHERE n % 3 = 0)""", """sides AS (
+  SELECT zone, lon AS x1, lat AS y1, coalesce(lead(lon) OVER w, first_value(lon) OVER w) AS x2, coalesce(lead(lat) OVER w, first_value(lat) OVER w) AS y2
+  FROM corners WINDOW w AS (PARTITION BY zone, ring ORDER BY seq))""", """inside AS (
+  SELECT station_id, zone FROM cust, sides WHERE (y1 > lat) <> (y2 > lat) AND lon < x1 + (lat - y1)*(x2 - x1)/(y2 - y1)
+  GROUP BY station_id, zone HAVING count(*) % 2 = 1)"""], """
+SELECT station_id, min(zone) AS zone FROM cust LEFT JOIN inside USING (station_id) GROUP BY 1""")
+    u, v = "sum(t_db) FILTER (d <= radius)", "sum(t_db) FILTER (d > radius)"
+    nu, nv = "count(t_db) FILTER (d <= radius)", "count(t_db) FILTER (d > radius)"
+    sql["q_uhi_many_centres"] = q([SUP, SUP_PLACES, f"""met AS (SELECT n_name AS circle, station_id, 100 + 60*n_nationkey AS radius, {km('lat', 'lon', '(35.0 + n_nationkey)', '(-9.5 + 1.1*n_nationkey)', 6373.0)} AS d
+  FROM sup_places, nation)"""], f"""
+SELECT circle, {i('month(day)', 'month')}, {r(f'{u}/{nu}', 'urban')}, {r(f'{v}/nullif({nv}, 0)', 'suburban')}, {r(f'{u}/{nu} - {v}/nullif({nv}, 0)', 'gap')}
+FROM sup JOIN met USING (station_id) GROUP BY circle, month(day) HAVING {nu} > 0""")
+    sql["q_elevation"] = q([customers, "nodes AS (SELECT p_partkey % 120 AS i, p_partkey // 120 AS j, p_retailprice/pi() AS h FROM part)",
+                            "places AS (SELECT *, (lon + 15)/0.5 AS x, (lat - 33)/0.5 AS y FROM cust)",
+                            """near AS (SELECT station_id, floor(x) + a AS i, floor(y) + b AS j,
+  (CASE a WHEN 1 THEN x - floor(x) ELSE 1 - (x - floor(x)) END)*(CASE b WHEN 1 THEN y - floor(y) ELSE 1 - (y - floor(y)) END) AS w
+  FROM places, (SELECT unnest([0, 1]) AS a), (SELECT unnest([0, 1]) AS b))"""], f"""
+SELECT station_id, {r('CASE WHEN count(h) = count(*) THEN sum(h*w) END', 'elevation')} FROM near LEFT JOIN nodes ON nodes.i = near.i AND nodes.j = near.j WHERE w > 0 GROUP BY 1""")
+    sql["q_hourly_found"] = q([LINE_HOURS, f"""bright AS (
+  SELECT l_returnflag AS station_id, date_trunc('hour', l_shipdate + to_hours(CAST((l_orderkey + 5*l_linenumber) % 24 AS INTEGER))) AS ts, 'Bright_' || l_linestatus AS field,
+         avg(l_extendedprice/(63*pi())) AS value FROM lineitem GROUP BY 1, 2, 3)"""], f"""
+SELECT station_id, b.ts, {r('t_db')}, field, {r('value')} FROM bright b JOIN (SELECT station_id, ts - INTERVAL 1 HOUR AS ts, t_db FROM hours) USING (station_id, ts)""")
+    wb = wet_bulb("t_db", "rh")
+    kinds = [("heating", "t_db", "v_air", (0.004, 0.01), "ASC"), ("cooling", "t_db", "t_wb", (0.004, 0.01, 0.02), "DESC"), ("evaporation", "t_wb", "t_db", (0.004, 0.01, 0.02), "DESC"),
+             ("dehumidification", "t_dp", "t_db", (0.004, 0.01, 0.02), "DESC"), ("wind", "v_air", "t_db", (0.004, 0.01, 0.02), "DESC")]
+    design = " UNION ALL ".join(f"""
+SELECT d.station_id, '{kind}' AS kind, share, {r('d.x', 'value')}, {r(f'avg(h.{other})', 'mean')} FROM (
+  SELECT station_id, share, {x} AS x, row_number() OVER (PARTITION BY station_id, share ORDER BY {x} {way}) AS rk, count(*) OVER (PARTITION BY station_id, share) AS n
+  FROM wet, (SELECT unnest({list(shares)})::DOUBLE AS share) WHERE {x} IS NOT NULL) d
+JOIN wet h ON h.station_id = d.station_id AND abs(h.{x} - d.x) <= 0.5
+WHERE rk = floor(n*share) + 1 GROUP BY d.station_id, share, d.x""" for kind, x, other, shares, way in kinds)
+    sql["q_design_conditions"] = q([LINE_HOURS, f"wet AS (SELECT station_id, ts, t_db, rh, v_air, {wb} AS t_wb, {dew('t_db', 'rh')} AS t_dp FROM hours)"], design)
+    factors = {n: f"(-sqrt(6.0)/pi()*(0.5772 + ln(ln({n}/({n} - 1.0)))))" for n in (5, 10, 20, 50)}
+    returns = ", ".join(f"{r(f'avg(low) - {f}*stddev_samp(low)', f'min_{n}')}, {r(f'avg(high) + {f}*stddev_samp(high)', f'max_{n}')}" for n, f in factors.items())
+    sql["q_design_extremes"] = q([LINE_HOURS, """span AS (SELECT station_id, CAST(ts AS DATE) AS day, max(t_db) - min(t_db) AS span FROM hours GROUP BY 1, 2)""",
+                                  """by_month AS (SELECT h.station_id, month(h.ts) AS m, round(avg(t_db), 9) AS mean FROM hours h GROUP BY 1, 2)""",
+                                  """ends AS (SELECT station_id, (SELECT m FROM by_month b WHERE b.station_id = a.station_id ORDER BY mean, m LIMIT 1) AS cold,
+  (SELECT m FROM by_month b WHERE b.station_id = a.station_id ORDER BY mean DESC, m LIMIT 1) AS hot FROM (SELECT DISTINCT station_id FROM by_month) a)""",
+                                  "years AS (SELECT station_id, year(ts) AS y, min(t_db) AS low, max(t_db) AS high FROM hours GROUP BY 1, 2)"], f"""
+SELECT station_id, {i('min(cold)', 'coldest_month')}, {i('min(hot)', 'hottest_month')},
+  {r('(SELECT avg(span) FROM span s WHERE s.station_id = e.station_id AND month(s.day) = min(e.hot))', 'day_range')},
+  {r('avg(low)', 'min_mean')}, {r('avg(high)', 'max_mean')}, {r('stddev_samp(low)', 'min_std')}, {r('stddev_samp(high)', 'max_std')}, {returns}
+FROM ends e JOIN years USING (station_id) GROUP BY station_id""")
+    sql["q_rollup_after_upsert"] = q([POINTS, """versions AS (
+  SELECT station_id, ts, field, value, 2 AS stamp FROM pts WHERE event_id % 5 <> 0
+  UNION ALL SELECT station_id, ts, field, value + 0.5, 3 FROM pts WHERE event_id % 5 <> 0 AND field = 't_db'
+  UNION ALL SELECT station_id, ts, field, value, 1 FROM pts WHERE event_id % 5 = 0 OR event_id % 7 = 0)""", """last AS (
+  SELECT station_id, ts, field, arg_max(value, (stamp, value)) AS value FROM versions GROUP BY 1, 2, 3)"""], f"""
+SELECT 'u' || station_id AS station_id, field, {END} AS hour, count(*) AS n, {r('avg(value)', 'mean')} FROM last GROUP BY 1, 2, 3""")
+    sql["q_asof_align"] = q([POINTS, "l AS (SELECT station_id, event_id, ts, value AS t_db FROM pts WHERE field = 't_db')",
+                             "h AS (SELECT station_id, ts, max(value) AS rh FROM pts WHERE field = 'rh' GROUP BY 1, 2)"], f"""
+SELECT l.station_id, event_id, l.ts, {r('t_db')}, CASE WHEN l.ts <= h.ts + INTERVAL 6 HOUR THEN h.ts END AS ts_right, {r('CASE WHEN l.ts <= h.ts + INTERVAL 6 HOUR THEN rh END', 'rh')}
+FROM l ASOF LEFT JOIN h ON l.station_id = h.station_id AND l.ts >= h.ts""")
+    sql["q_files_against_stations"] = q([SUP, "files AS (SELECT o_orderpriority AS file, CAST(o_orderdate AS DATE) AS day, avg(o_totalprice)/19000 AS y FROM orders GROUP BY 1, 2)",
+                                         """pairs AS (SELECT file, s_suppkey AS station_id FROM supplier, (SELECT DISTINCT file, CAST(left(file, 1) AS INTEGER) - 1 AS n FROM files)
+  WHERE s_suppkey % 5 IN (n % 5, (n + 2) % 5))""",
+                                         "both_ AS (SELECT p.file, s.station_id, t_db AS x, y FROM sup s JOIN pairs p USING (station_id) LEFT JOIN files f ON f.file = p.file AND f.day = s.day)",
+                                         "centred AS (SELECT *, x - avg(x) OVER w AS dx, y - avg(y) OVER w AS dy FROM both_ WINDOW w AS (PARTITION BY file, station_id))"], f"""
+SELECT file, station_id, {r('avg(x - y)', 'bias')}, {r('sum(dx*dy)/nullif(sqrt(sum(dx*dx))*sqrt(sum(dy*dy)), 0)', 'r')} FROM centred GROUP BY 1, 2""")
+    sql["q_tmy_iso_gridded"] = q([FLAG, "grid AS (SELECT station_id, day, t_db, ghi/3 + (rh - 40)/pi() AS ghi, rh, v_air FROM flag)", fs("grid", "stat", True), chosen("stat", "best")], f"""
+SELECT f.station_id, {in_1970('f.day')} AS tmy_ts, {r('t_db')}, {r('ghi', 'dif')}, {r('rh')}, {r('v_air')}
+FROM grid f JOIN best b ON f.station_id = b.station_id AND year(f.day) = b.y AND month(f.day) = b.m WHERE {not_leap('f.day')}""")
+
     sql["q_pearson_bias"] = q(
         [SUP, """ext AS (SELECT CAST(o_orderdate AS DATE) AS day, avg(o_totalprice) AS p FROM orders GROUP BY 1)""",
          """pairs AS (SELECT station_id, CASE WHEN rh < 90 THEN t_db END AS x,

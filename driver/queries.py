@@ -10,12 +10,12 @@ from pyspark.sql import types as T
 
 from aerolog.functions import air, codes, sun
 from aerolog.functions.calendar import day_index, hour_index, utc_offset_hours
-from aerolog.operators import (compare, degree, epw, gapfill, ground, nearest, points, radiation,
-                               resample, typical_year, urban, weeks)
+from aerolog.operators import (compare, degree, design, elevation, epw, gapfill, ground, nearest, points,
+                               radiation, resample, typical_year, urban, weeks, zones)
 from aerolog.plans import typical_year as year_plan, weather_file
 from aerolog.schemas import EPW_COLUMNS, GRIDDED_HOURLY
 from aerolog.session import materialized, scratch_folder
-from aerolog.sources import epw_files, gridded_csv, lists, point_store, station_json, typical_csv
+from aerolog.sources import epw_files, gridded_csv, lists, point_store, rollup_store, station_json, typical_csv
 
 from . import views as V
 
@@ -116,6 +116,22 @@ def q_point_store(spark, sf):
         F.count(F.lit(1)).alias("n"), F.sum("value").alias("total"), F.max("lat").alias("lat"))
 
 
+def q_rollup_after_upsert(spark, sf):
+    """Hourly means kept up to date under three upserts: all points, corrected temperatures, and late and older points."""
+    folder = scratch_folder(spark)
+    store, rollup = f"{folder}/points", f"{folder}/rollup"
+    rows = V.event_points(spark, sf).select(
+        F.lit("network").alias("source"), F.concat(F.lit("u"), F.col("station_id").cast("string")).alias("station_id"),
+        F.lit(None).cast("double").alias("lat"), F.lit(None).cast("double").alias("lon"), "ts", "field", "value", "event_id")
+    first = rows.where("event_id % 5 <> 0").drop("event_id")
+    rollup_store.write_points(first, store, rollup, ntz("2024-02-02 00:00:00"))
+    corrected = first.where("field = 't_db'").withColumn("value", F.col("value") + 0.5)
+    rollup_store.write_points(corrected, store, rollup, ntz("2024-02-03 00:00:00"))
+    late = rows.where("event_id % 5 = 0 or event_id % 7 = 0").drop("event_id")  # an older stamp: what is stored stays, what is new comes in
+    rollup_store.write_points(late, store, rollup, ntz("2024-02-01 00:00:00"))
+    return rollup_store.read_rollup(spark, rollup).select("station_id", "field", "hour", "n", "mean")
+
+
 # resampling -----------------------------------------------------------------------------------
 
 def q_hourly_mean(spark, sf):
@@ -253,10 +269,25 @@ def q_tmy_iso_rows(spark, sf):
     return _iso_rows(materialized(V.by_flag(spark, sf)))
 
 
+def q_tmy_iso_gridded(spark, sf):
+    """A source without global radiation: diffuse radiation is scored instead."""
+    daily = materialized(V.by_flag(spark, sf).withColumn("dif", F.col("ghi") / 3 + (F.col("rh") - 40) / F.pi()).drop("ghi"))
+    scored = ("t_db", "dif", "rh")
+    months = typical_year.typical_months(typical_year.finkelstein_schafer(daily, scored, keys=KEY, whole_months=True), KEY, scored)
+    return typical_year.typical_rows(daily, months, ("t_db", "dif", "rh", "v_air"), KEY, "day")
+
+
 def q_tmy_mean(spark, sf):
     return _mean_rows(V.by_flag(spark, sf))
 
 
+def q_hourly_found(spark, sf):
+    """Hourly means of all fields named bright, whatever they are, beside the temperature."""
+    both = _line_points(spark, sf).where("field = 't_db'").unionByName(V.line_brightness(spark, sf))
+    wide = resample.hourly_multi_agg(both, mean=["t_db"], keys=KEY, found="bright")
+    return wide.select("station_id", "ts", "t_db", F.explode("others").alias("field", "value"))
+
+
 def _line_points(spark, sf):
     return points.to_points(V.line_observations(spark, sf), V.HOUR_FIELDS, ("station_id", "ts"))
 
@@ -409,13 +440,29 @@ def q_nearest_station(spark, sf):
 
 def q_uhi_gap_hour(spark, sf):
     hourly = resample.hourly_wide(V.event_points(spark, sf), ("t_db",), KEY)
-    zones = urban.zones(V.event_places(spark, sf), CENTER, RADIUS, KEY)
-    return urban.zone_gap(hourly, zones, F.hour("ts"), "hour", keys=KEY)
+    inside = urban.zones(V.event_places(spark, sf), CENTER, RADIUS, KEY)
+    return urban.zone_gap(hourly, inside, F.hour("ts"), "hour", keys=KEY)
 
 
 def q_uhi_gap_month(spark, sf):
-    zones = urban.zones(V.supplier_places(spark, sf), CENTER, RADIUS, KEY)
-    return urban.zone_gap(V.by_supplier(spark, sf), zones, F.month("day"), "month", keys=KEY)
+    inside = urban.zones(V.supplier_places(spark, sf), CENTER, RADIUS, KEY)
+    return urban.zone_gap(V.by_supplier(spark, sf), inside, F.month("day"), "month", keys=KEY)
+
+
+def q_zone_of_place(spark, sf):
+    """The zone that holds each customer's place."""
+    cells = zones.zone_cells(V.nation_zones(spark, sf))
+    return zones.with_zone(V.customer_places(spark, sf), cells, keys=KEY).select("station_id", "zone")
+
+
+def q_uhi_many_centres(spark, sf):
+    """The monthly gap of many overlapping circles."""
+    return urban.circle_gaps(V.by_supplier(spark, sf), V.supplier_places(spark, sf), V.nation_circles(spark, sf), F.month("day"), "month", keys=KEY)
+
+
+def q_elevation(spark, sf):
+    tiles = elevation.tiled(V.part_raster(spark, sf))
+    return elevation.with_elevation(V.customer_places(spark, sf), tiles, (33.0, -15.0), 0.5, keys=KEY).select("station_id", "elevation")
 
 
 def q_uhi_daily_map(spark, sf):
@@ -426,6 +473,18 @@ def q_days_present(spark, sf):
     return resample.days_present(V.event_points(spark, sf))
 
 
+# design conditions ----------------------------------------------------------------------------
+
+def q_design_conditions(spark, sf):
+    hourly = materialized(resample.hourly_wide(_line_points(spark, sf), ("t_db", "rh", "v_air"), KEY))
+    return design.design_values(hourly, KEY)
+
+
+def q_design_extremes(spark, sf):
+    hourly = materialized(resample.hourly_wide(_line_points(spark, sf), ("t_db",), KEY))
+    return design.months(hourly, keys=KEY).join(design.extremes(hourly, keys=KEY), KEY)
+
+
 # EPW ------------------------------------------------------------------------------------------
 
 def _derived(spark, sf):
@@ -522,6 +581,26 @@ def q_pearson_bias(spark, sf):
     return compare.pearson_and_bias(compare.aligned(left, right, ["day"]), "x", "y", KEY)
 
 
+def q_asof_align(spark, sf):
+    """Every temperature with the latest humidity of its station, at most six hours old."""
+    rows = V.event_points(spark, sf)
+    left = rows.where("field = 't_db'").select("station_id", "event_id", "ts", F.col("value").alias("t_db"))
+    right = rows.where("field = 'rh'").select("station_id", "ts", F.col("value").alias("rh"))
+    return compare.as_of(left, right, KEY, ["rh"], 6.0)
+
+
+def q_files_against_stations(spark, sf):
+    """Daily series of five files, each against the stations it is paired with."""
+    files = V.table(spark, sf, "orders").groupBy(F.col("o_orderpriority").alias("file"), F.col("o_orderdate").cast("date").alias("day")).agg(
+        (F.avg("o_totalprice") / 19000).alias("y"))
+    number = F.substring("file", 1, 1).cast("int") - 1
+    pairs = V.table(spark, sf, "supplier").select(F.col("s_suppkey").alias("station_id")).join(
+        files.select("file", number.alias("n")).distinct().withColumn("other", F.explode(F.array(F.lit(0), F.lit(2)))).select(
+            "file", F.pmod(F.col("n") + F.col("other"), F.lit(5)).alias("k")), F.col("station_id") % 5 == F.col("k")).select("file", "station_id")
+    left = V.by_supplier(spark, sf).select("station_id", "day", F.col("t_db").alias("x"))
+    return compare.pearson_and_bias(compare.paired(left, files, pairs, KEY, ["file"], ["day"]), "x", "y", ["file", *KEY])
+
+
 def q_compare_sources(spark, sf):
     rows = V.table(spark, sf, "lineitem").select(
         F.col("l_suppkey").alias("station_id"), F.year("l_shipdate").alias("year"), "l_returnflag", "l_quantity")

@@ -123,3 +123,39 @@ def nation_references(spark: SparkSession, sf: str) -> DataFrame:
         F.col("n_name").alias("city"),
         F.concat(F.lit("DESIGN CONDITIONS,1,"), "n_name").alias("design_conditions"),
         (n % 3).alias("tz_hours"))
+
+
+def nation_zones(spark: SparkSession, sf: str) -> DataFrame:
+    """Vertices of a star of twelve corners for each nation; every third has a hole."""
+    n = F.col("n_nationkey")
+    middle = table(spark, sf, "nation").select(
+        F.col("n_name").alias("zone"), n.alias("n"), (36 + 3 * (n % 8) + F.lit(0.123)).alias("y"), (-10 + 8 * F.floor(n / 8) + n % 3 + F.lit(0.321)).alias("x"))
+    outer = middle.select("*", F.lit(0).alias("ring"), F.explode(F.sequence(F.lit(0), F.lit(11))).alias("seq")).withColumn(
+        "r", 2.5 + 1.3 * F.cos(5 * F.col("seq") + F.col("n"))).withColumn("turn", 2 * math.pi * F.col("seq") / 12)
+    hole = middle.where("n % 3 = 0").select("*", F.lit(1).alias("ring"), F.explode(F.sequence(F.lit(0), F.lit(2))).alias("seq")).withColumn(
+        "r", F.lit(0.9)).withColumn("turn", 2 * math.pi * F.col("seq") / 3)
+    return outer.unionByName(hole).select(
+        "zone", "ring", "seq", (F.col("x") + F.col("r") * F.cos("turn")).alias("lon"), (F.col("y") + F.col("r") * F.sin("turn")).alias("lat"))
+
+
+def nation_circles(spark: SparkSession, sf: str) -> DataFrame:
+    """A circle around each nation's reference place, from 100 to 1,540 km."""
+    n = F.col("n_nationkey")
+    return table(spark, sf, "nation").select(
+        F.col("n_name").alias("circle"), (35 + n).cast("double").alias("lat"), (-9.5 + 1.1 * n).alias("lon"), (100 + 60 * n).cast("double").alias("radius_km"))
+
+
+def line_brightness(spark: SparkSession, sf: str) -> DataFrame:
+    """Points of fields whose names come from the data: brightness by line status and instruction."""
+    at = F.col("l_shipdate") + F.make_dt_interval(
+        hours=((F.col("l_orderkey") + 5 * F.col("l_linenumber")) % 24).cast("int"), mins=(F.col("l_partkey") % 60).cast("int"))
+    return table(spark, sf, "lineitem").select(
+        F.col("l_returnflag").alias("station_id"), at.alias("ts"), F.concat(F.lit("Bright_"), "l_linestatus").alias("field"),
+        (F.col("l_extendedprice") / (63 * F.pi())).alias("value"))
+
+
+def part_raster(spark: SparkSession, sf: str) -> DataFrame:
+    """Nodes of a raster of half degrees, 120 to a row."""
+    n = F.col("p_partkey")
+    return table(spark, sf, "part").select(
+        (n % 120).alias("i"), F.floor(n / 120).alias("j"), (F.col("p_retailprice") / F.pi()).alias("elevation"))
