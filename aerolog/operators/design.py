@@ -17,12 +17,13 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..functions.air import wet_bulb, dew_point
+from ..functions.air import dew_point, vapour_pressure, wet_bulb
 from ..schemas import KEYS
 
 WIDTH, NEAR = 1.0, 0.5
 #: Shares of the hours for heating and for cooling conditions, and years of the return periods (fixed values).
 HEATING, COOLING, RETURN_YEARS = (0.004, 0.01), (0.004, 0.01, 0.02), (5, 10, 20, 50)
+EXTREME_WIND = (0.01, 0.025, 0.05)
 EULER = 0.5772
 
 
@@ -75,40 +76,105 @@ def extremes(hourly: DataFrame, t: str = "t_db", keys: Sequence[str] = KEYS, ts:
                                                                (F.col("max_mean") + factor[n] * F.col("max_std")).alias(f"max_{n}"))))
 
 
-def design_values(hourly: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
-    """(keys, kind, share, value, mean): the design values of an hourly series (t_db, rh, v_air), and the mean coincident with each.
+def enthalpy(t_db: Column, ratio: Column) -> Column:
+    """kJ/kg of moist air; ``ratio`` in g/kg."""
+    return 1.006 * t_db + ratio / 1000 * (2501 + 1.86 * t_db)
 
-    ``heating``: dry bulb and wind; ``cooling``: dry bulb and wet bulb; ``evaporation``: wet bulb and dry
-    bulb; ``dehumidification``: dew point and dry bulb; ``wind``: wind and dry bulb.
-    """
+
+def humidity_ratio(t_dp: Column, hpa: float = 1013.25) -> Column:
+    """g/kg of air with this dew point."""
+    pressure = vapour_pressure(t_dp)
+    return 621.98 * pressure / (hpa - pressure)
+
+
+#: Kind, variable, coincident variable, shares, and whether from the cold end.
+KINDS = (
+    ("heating", "t_db", "v_air", HEATING, True), ("humidification", "t_dp", "t_db", HEATING, True), ("cooling", "t_db", "t_wb", COOLING, False),
+    ("evaporation", "t_wb", "t_db", COOLING, False), ("dehumidification", "t_dp", "t_db", COOLING, False), ("enthalpy", "h", "t_db", COOLING, False),
+    ("wind", "v_air", "t_db", EXTREME_WIND, False),
+)
+
+
+def _with_moisture(hourly: DataFrame) -> DataFrame:
     rows = hourly.withColumns({"t_wb": wet_bulb(F.col("t_db"), F.col("rh")), "t_dp": dew_point(F.col("t_db"), F.col("rh"))})
-    asked = (("heating", "t_db", "v_air", HEATING, True), ("cooling", "t_db", "t_wb", COOLING, False), ("evaporation", "t_wb", "t_db", COOLING, False),
-             ("dehumidification", "t_dp", "t_db", COOLING, False), ("wind", "v_air", "t_db", COOLING, False))
+    return rows.withColumn("h", enthalpy(F.col("t_db"), humidity_ratio(F.col("t_dp"))))
+
+
+def _values(rows: DataFrame, kinds: Sequence[tuple], keys: Sequence[str]) -> DataFrame:
     out = None
-    for kind, column, other, shares, cold in asked:
+    for kind, column, other, shares, cold in kinds:
         found = coincident(rows, column, exceeded(rows, column, shares, keys, cold), [other], keys).select(*keys, F.lit(kind).alias("kind"), "share", "value", F.col(other).alias("mean"))
         out = found if out is None else out.unionByName(found)
     return out
 
 
-def design_line(values: DataFrame, months_: DataFrame, extremes_: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
-    """(keys, design_conditions): the header line from :func:`design_values`, :func:`months` and :func:`extremes`, numbers with one decimal."""
+def design_values(hourly: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
+    """(keys, kind, share, value, mean): the design values of an hourly series (t_db, rh, v_air), and the mean coincident with each, by :data:`KINDS`."""
+    return _values(_with_moisture(hourly), KINDS, keys)
+
+
+def coldest_month_wind(hourly: DataFrame, months_: DataFrame, keys: Sequence[str] = KEYS, ts: str = "ts") -> DataFrame:
+    """:func:`design_values` of the wind in the coldest month."""
+    rows = hourly.join(months_.select(*keys, "coldest_month"), list(keys)).where(F.month(ts) == F.col("coldest_month"))
+    return _values(rows, [("month_wind", "v_air", "t_db", HEATING, False)], keys)
+
+
+def coincident_wind(hourly: DataFrame, values: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
+    """(keys, kind, speed, direction): mean speed and most frequent direction at the heating and cooling value of 0.4 %; the lowest of equally frequent ones.
+
+    Directions are counted before they meet, so a value's hours are never gathered.
+    """
+    wanted = values.where((F.col("share") == 0.004) & F.col("kind").isin("heating", "cooling")).select(*keys, "kind", "value").withColumn(
+        "bin", F.explode(F.sequence(_bin(F.col("value") - NEAR), _bin(F.col("value") + NEAR))))
+    rows = hourly.where("t_db is not null").withColumns({
+        "bin": _bin(F.col("t_db")), "direction": F.col("wind_dir").cast("double") if "wind_dir" in hourly.columns else F.lit(None).cast("double")})
+    near = rows.join(wanted, [*keys, "bin"]).where(F.abs(F.col("t_db") - F.col("value")) <= NEAR)
+    by = near.groupBy(*keys, "kind", "direction").agg(F.count(F.lit(1)).alias("n"), F.sum("v_air").alias("s"), F.count("v_air").alias("k"))
+    return by.groupBy(*keys, "kind").agg(F.try_divide(F.sum("s"), F.sum("k")).alias("speed"), F.max_by("direction", F.when(F.col("direction").isNotNull(), F.struct("n", -F.col("direction")))).alias("direction"))
+
+
+def mild_hours(hourly: DataFrame, keys: Sequence[str] = KEYS, ts: str = "ts") -> DataFrame:
+    """(keys, mild, max_wb): hours a year from 8 to 16 o'clock between 12.8 and 20.6 degrees, and the highest wet bulb."""
+    mild = F.hour(ts).between(8, 15) & F.col("t_db").between(12.8, 20.6)
+    return _with_moisture(hourly).groupBy(*keys).agg((F.count(F.when(mild, 1)) / F.count_distinct(F.year(ts))).alias("mild"), F.max("t_wb").alias("max_wb"))
+
+
+def design_line(hourly: DataFrame, keys: Sequence[str] = KEYS, ts: str = "ts") -> DataFrame:
+    """(keys, design_conditions): the header line of an hourly series, its fields in the order that weather files have; one decimal, unknown ones empty."""
+    months_ = months(hourly, keys=keys, ts=ts)
+    values = design_values(hourly, keys).unionByName(coldest_month_wind(hourly, months_, keys, ts))
+
+    def name(kind: str, share: float, column: str) -> str:
+        return f"{kind}_{share}_{column}".replace(".", "_")
+
+    asked = [(kind, p) for kind, _, _, shares, _ in (*KINDS, ("month_wind", "", "", HEATING, False)) for p in shares]
+    wide = values.groupBy(*keys).agg(*(F.max(F.when((F.col("kind") == kind) & (F.col("share") == p), F.col(c))).alias(name(kind, p, c)) for kind, p in asked for c in ("value", "mean")))
+    wind = coincident_wind(hourly, values, keys).groupBy(*keys).agg(*(F.max(F.when(F.col("kind") == kind, F.col(c))).alias(f"{kind}_{c}") for kind in ("heating", "cooling") for c in ("speed", "direction")))
+    row = wide
+    for part in (months_, extremes(hourly, keys=keys, ts=ts), mild_hours(hourly, keys, ts), wind):
+        row = row.join(part, list(keys), "left")
+
     def text(c: Column) -> Column:
-        return F.coalesce(F.format_number(F.round(c, 1), "0.0"), F.lit(""))
+        return F.coalesce(F.call_function("format_number", F.round(c, 1), F.lit("0.0")), F.lit(""))
+
+    def value(kind: str, share: float) -> Column:
+        return F.col(name(kind, share, "value"))
 
-    def of(kind: str, column: str, share: float) -> Column:
-        return F.max(F.when((F.col("kind") == kind) & (F.col("share") == share), F.col(column)))
+    def with_mean(kind: str, share: float) -> list[Column]:
+        return [text(value(kind, share)), text(F.col(name(kind, share, "mean")))]
 
-    wide = values.groupBy(*keys).agg(*(of(kind, column, p).alias(f"{kind}_{k}_{column}") for kind, shares in (
-        ("heating", HEATING), ("cooling", COOLING), ("evaporation", COOLING), ("dehumidification", COOLING), ("wind", COOLING)) for k, p in enumerate(shares) for column in ("value", "mean")))
-    all_ = wide.join(months_, list(keys)).join(extremes_, list(keys))
+    def with_ratio(kind: str, share: float) -> list[Column]:
+        return [text(value(kind, share)), text(humidity_ratio(value(kind, share))), text(F.col(name(kind, share, "mean")))]
 
-    def pairs(kind: str, n: int) -> list[Column]:
-        return [text(F.col(f"{kind}_{k}_{column}")) for k in range(n) for column in ("value", "mean")]
+    def whole(c: str) -> Column:
+        return F.coalesce(F.round(c).cast("int").cast("string"), F.lit(""))
 
-    line = F.concat_ws(
-        ",", F.lit("DESIGN CONDITIONS,1,Computed from hourly values,"), F.lit("Heating"), F.col("coldest_month").cast("string"), *pairs("heating", 2),
-        F.lit("Cooling"), F.col("hottest_month").cast("string"), text(F.col("day_range")), *pairs("cooling", 3), *pairs("evaporation", 3), *pairs("dehumidification", 3),
-        F.lit("Extremes"), *(text(F.col(f"wind_{k}_value")) for k in (1, 2)), *(text(F.col(c)) for c in ("min_mean", "max_mean", "min_std", "max_std")),
-        *(text(F.col(f"{side}_{n}")) for n in RETURN_YEARS for side in ("min", "max")))
-    return all_.select(*keys, line.alias("design_conditions"))
+    fields = [
+        F.lit("DESIGN CONDITIONS,1,Computed from hourly values,,Heating"), whole("coldest_month"), *(text(value("heating", p)) for p in HEATING),
+        *(c for p in HEATING for c in with_ratio("humidification", p)), *(c for p in HEATING for c in with_mean("month_wind", p)), text(F.col("heating_speed")), whole("heating_direction"),
+        F.lit("Cooling"), whole("hottest_month"), text(F.col("day_range")), *(c for p in COOLING for c in with_mean("cooling", p)), *(c for p in COOLING for c in with_mean("evaporation", p)),
+        text(F.col("cooling_speed")), whole("cooling_direction"), *(c for p in COOLING for c in with_ratio("dehumidification", p)), *(c for p in COOLING for c in with_mean("enthalpy", p)), whole("mild"),
+        F.lit("Extremes"), *(text(value("wind", p)) for p in EXTREME_WIND), text(F.col("max_wb")), *(text(F.col(c)) for c in ("min_mean", "max_mean", "min_std", "max_std")),
+        *(text(F.col(f"{side}_{n}")) for n in RETURN_YEARS for side in ("min", "max")),
+    ]
+    return row.select(*keys, F.concat_ws(",", *fields).alias("design_conditions"))

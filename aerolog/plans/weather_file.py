@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions.air import absolute_humidity
 from ..functions.calendar import hour_index
 from ..functions.codes import present_weather, present_weather_code, rain_type, wind_sector
-from ..operators.design import design_line, design_values, extremes, months
+from ..operators.design import design_line
 from ..operators.elevation import with_elevation
 from ..operators.epw import data_span, epw_header, epw_lines, epw_rows, pad_first_day
 from ..operators.gapfill import fill_window_mean, interpolate
@@ -82,8 +82,11 @@ def with_time_zone(stations: DataFrame, cells: DataFrame, keys: Sequence[str] =
 
 
 def with_design_conditions(stations: DataFrame, hourly: DataFrame, keys: Sequence[str] = KEYS, ts: str = "ts") -> DataFrame:
-    """Stations with design conditions of their own hours (t_db, rh, v_air; many years) where no reference gave any."""
-    computed = design_line(design_values(hourly, keys), months(hourly, keys=keys, ts=ts), extremes(hourly, keys=keys, ts=ts), keys).withColumnRenamed("design_conditions", "_line")
+    """Stations with design conditions of their own hours (t_db, rh, v_air, if there wind_dir; many years) where no reference gave any.
+
+    The series is read for each kind of value: hand in a written table.
+    """
+    computed = design_line(hourly, keys, ts).withColumnRenamed("design_conditions", "_line")
     own = F.col("design_conditions") if "design_conditions" in stations.columns else F.lit(None).cast("string")
     return stations.join(computed, list(keys), "left").withColumn("design_conditions", F.coalesce(own, "_line")).drop("_line")
 

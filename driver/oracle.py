@@ -570,15 +570,16 @@ SELECT station_id, {r('CASE WHEN count(h) = count(*) THEN sum(h*w) END', 'elevat
          avg(l_extendedprice/(63*pi())) AS value FROM lineitem GROUP BY 1, 2, 3)"""], f"""
 SELECT station_id, b.ts, {r('t_db')}, field, {r('value')} FROM bright b JOIN (SELECT station_id, ts - INTERVAL 1 HOUR AS ts, t_db FROM hours) USING (station_id, ts)""")
     wb = wet_bulb("t_db", "rh")
-    kinds = [("heating", "t_db", "v_air", (0.004, 0.01), "ASC"), ("cooling", "t_db", "t_wb", (0.004, 0.01, 0.02), "DESC"), ("evaporation", "t_wb", "t_db", (0.004, 0.01, 0.02), "DESC"),
-             ("dehumidification", "t_dp", "t_db", (0.004, 0.01, 0.02), "DESC"), ("wind", "v_air", "t_db", (0.004, 0.01, 0.02), "DESC")]
+    kinds = [("heating", "t_db", "v_air", (0.004, 0.01), "ASC"), ("humidification", "t_dp", "t_db", (0.004, 0.01), "ASC"), ("enthalpy", "h", "t_db", (0.004, 0.01, 0.02), "DESC"), ("cooling", "t_db", "t_wb", (0.004, 0.01, 0.02), "DESC"), ("evaporation", "t_wb", "t_db", (0.004, 0.01, 0.02), "DESC"),
+             ("dehumidification", "t_dp", "t_db", (0.004, 0.01, 0.02), "DESC"), ("wind", "v_air", "t_db", (0.01, 0.025, 0.05), "DESC")]
     design = " UNION ALL ".join(f"""
 SELECT d.station_id, '{kind}' AS kind, share, {r('d.x', 'value')}, {r(f'avg(h.{other})', 'mean')} FROM (
   SELECT station_id, share, {x} AS x, row_number() OVER (PARTITION BY station_id, share ORDER BY {x} {way}) AS rk, count(*) OVER (PARTITION BY station_id, share) AS n
   FROM wet, (SELECT unnest({list(shares)})::DOUBLE AS share) WHERE {x} IS NOT NULL) d
 JOIN wet h ON h.station_id = d.station_id AND abs(h.{x} - d.x) <= 0.5
 WHERE rk = floor(n*share) + 1 GROUP BY d.station_id, share, d.x""" for kind, x, other, shares, way in kinds)
-    sql["q_design_conditions"] = q([LINE_HOURS, f"wet AS (SELECT station_id, ts, t_db, rh, v_air, {wb} AS t_wb, {dew('t_db', 'rh')} AS t_dp FROM hours)"], design)
+    sql["q_design_conditions"] = q([LINE_HOURS, f"moist AS (SELECT station_id, ts, t_db, rh, v_air, {wb} AS t_wb, {dew('t_db', 'rh')} AS t_dp FROM hours)",
+                                    f"wet AS (SELECT *, 1.006*t_db + 0.62198*{es('t_dp')}/(1013.25 - {es('t_dp')})*(2501 + 1.86*t_db) AS h FROM moist)"], design)
     factors = {n: f"(-sqrt(6.0)/pi()*(0.5772 + ln(ln({n}/({n} - 1.0)))))" for n in (5, 10, 20, 50)}
     returns = ", ".join(f"{r(f'avg(low) - {f}*stddev_samp(low)', f'min_{n}')}, {r(f'avg(high) + {f}*stddev_samp(high)', f'max_{n}')}" for n, f in factors.items())
     sql["q_design_extremes"] = q([LINE_HOURS, """span AS (SELECT station_id, CAST(ts AS DATE) AS day, max(t_db) - min(t_db) AS span FROM hours GROUP BY 1, 2)""",
