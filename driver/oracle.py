@@ -81,6 +81,7 @@ LINE_HOURS = f"""obs AS (
          990 + l_quantity/3 AS p_atm_min, 1010 + l_quantity/3 AS p_atm_max
   FROM lineitem),
 hours AS (SELECT station_id, {END} AS ts, {', '.join(f'avg({f}) AS {f}' for f in HOUR_FIELDS)} FROM obs GROUP BY 1, 2)"""
+SUP_HOURS = [LINE_HOURS.replace("l_returnflag AS station_id", "l_suppkey AS station_id"), "suph AS (SELECT *, year(ts) AS year FROM hours)"]
 ALL_YEARS = ("1995-01-01 00:00:00", "2001-12-31 23:00:00")
 
 
@@ -224,6 +225,18 @@ def soil_params(source: str, name: str, keys: str) -> str:
   GROUP BY {keys})"""
 
 
+def soil_params_of_hours(source: str, name: str) -> str:
+    """Parameters of hourly rows by station and year: the phase from daily means, the warmest hour from the rows."""
+    return f"""{name}_day AS (SELECT station_id, year, dayofyear(ts) - 1 AS d0, avg(ghi) AS light FROM {source} GROUP BY 1, 2, 3),
+{name}_cold AS (SELECT DISTINCT station_id, year, first_value(d0) OVER (PARTITION BY station_id, year ORDER BY round(light, 9), d0) AS cold FROM {name}_day WHERE light IS NOT NULL),
+{name}_warm AS (SELECT DISTINCT station_id, year, first_value(h) OVER (PARTITION BY station_id, year ORDER BY t_db DESC, h) AS warm
+  FROM (SELECT station_id, year, t_db, (dayofyear(ts) - 1)*24 + hour(ts) AS h FROM {source} WHERE t_db IS NOT NULL)),
+{name} AS (
+  SELECT station_id, year, 0.5*(avg(t_db) FILTER (month(ts) = 7) - avg(t_db) FILTER (month(ts) = 1)) + 1.1 AS amplitude, avg(t_db) + 1.7 AS mean_t,
+         min(warm) AS warm, CASE WHEN min(cold) + 46 <= 364 THEN min(cold) + 46 ELSE min(cold) + 46 - 365 END AS phase_day
+  FROM {source} LEFT JOIN {name}_cold USING (station_id, year) LEFT JOIN {name}_warm USING (station_id, year) GROUP BY 1, 2)"""
+
+
 def labs(t: str, phase: str, depth: str, alpha: str, period: str) -> str:
     return (f"mean_t - amplitude*exp(-({depth})*sqrt(pi()/({period}*({alpha}))))"
             f"*cos((2*pi()/{period})*({t} - {phase} - (({depth})/2)*sqrt({period}/(pi()*({alpha})))))")
@@ -238,8 +251,8 @@ def degree_hours(t: dict[str, str], thresholds: list[int], heating: bool, source
         distance = f"th - {expr}" if heating else f"{expr} - th"
         return f"sum(greatest({distance}, 0))"
     columns = ", ".join(r(total(e), n) for n, e in t.items())
-    return (f"SELECT station_id, {i('th', 'threshold')}, {columns} FROM {source}, "
-            f"(SELECT unnest([{', '.join(map(str, thresholds))}]) AS th) GROUP BY station_id, th")
+    return (f"SELECT station_id, {i('year')}, {i('th', 'threshold')}, {columns} FROM {source}, "
+            f"(SELECT unnest([{', '.join(map(str, thresholds))}]) AS th) GROUP BY station_id, year, th")
 
 
 def degree_days(value: str) -> str:
@@ -335,7 +348,7 @@ SELECT station_id, field, {END} AS hour_end, {r('avg(value)', 'mean')} FROM pts
     sql["q_hourly_pivot"] = q([POINTS, wide("w", five)],
                               f"SELECT station_id, ts AS hour_end, {', '.join(r(f) for f in five)} FROM w")
     sql["q_hourly_multi_agg"] = q(
-        ["""lines AS (SELECT l_returnflag AS station_id, date_trunc('hour', l_shipdate) AS hour_ts, l_quantity, l_tax,
+        ["""lines AS (SELECT l_returnflag AS station_id, date_trunc('hour', l_shipdate + to_hours(CAST((l_orderkey + 5*l_linenumber) % 24 AS INTEGER))) AS hour_ts, l_quantity, l_tax,
   floor((l_extendedprice % 360 + 22.5)/45)*45 AS sector, floor(l_discount*30) AS kind FROM lineitem)""",
          mode_of("lines", "station_id, hour_ts", "sector", "m1"),
          mode_of("lines", "station_id, hour_ts", "kind", "m2", "kind <> 0")], f"""
@@ -381,15 +394,15 @@ FROM (SELECT *, last_value(CASE WHEN {column} IS NOT NULL THEN pos END IGNORE NU
 
     sql["q_hdd"] = degree_days("CASE WHEN t_db <= 15 THEN 18 - t_db END")
     sql["q_cdd"] = degree_days("CASE WHEN t_db >= 24 THEN t_db - 21 END")
-    sql["q_hdh"] = q([SUP], degree_hours({"degree_hours": "t_db"}, [18, 20, 22], True, "sup"))
-    sql["q_cdh"] = q([SUP], degree_hours({"degree_hours": "t_db"}, [18, 21, 24, 26, 28], False, "sup"))
-    soil = labs("(dayofyear(day)-1)*24", "phase_day*24", "2.5", "6.177e-7*3600", "8760.0")
+    sql["q_hdh"] = q(SUP_HOURS, degree_hours({"degree_hours": "t_db"}, [18, 20, 22], True, "suph"))
+    sql["q_cdh"] = q(SUP_HOURS, degree_hours({"degree_hours": "t_db"}, [18, 21, 24, 26, 28], False, "suph"))
+    soil = labs("((dayofyear(ts)-1)*24 + hour(ts))", "phase_day*24", "2.5", "6.177e-7*3600", "8760.0")
     sql["q_cdh_eahx"] = q(
-        [SUP, soil_params("sup", "par", "station_id"),
-         f"treated AS (SELECT station_id, t_db, t_db - 0.8*(t_db - ({soil})) AS tt FROM sup JOIN par USING (station_id))"],
+        [*SUP_HOURS, soil_params_of_hours("suph", "par"),
+         f"treated AS (SELECT station_id, year, t_db, t_db - 0.8*(t_db - ({soil})) AS tt FROM suph JOIN par USING (station_id, year))"],
         degree_hours({"baseline": "t_db", "residual": "tt"}, [18, 21, 24, 26], False, "treated"))
     sql["q_cdh_pdec"] = q(
-        [SUP, f"treated AS (SELECT station_id, t_db, t_db - 0.8*(t_db - {wet_bulb('t_db', 'rh')}) AS tt FROM sup)"],
+        [*SUP_HOURS, f"treated AS (SELECT station_id, year, t_db, t_db - 0.8*(t_db - {wet_bulb('t_db', 'rh')}) AS tt FROM suph)"],
         degree_hours({"baseline": "t_db", "residual": "tt"}, [18, 21, 24, 26], False, "treated"))
 
     sql["q_tmy_iso_fs"] = q([FLAG, fs("flag", "stat", True)], f"""
@@ -474,11 +487,11 @@ SELECT station_id, {r(ZONE_OFFSET, 'offset_h')}, count(*) AS n FROM w JOIN place
 
     sql["q_soil_params"] = q([SUP, "supy AS (SELECT *, year(day) AS year FROM sup)", soil_params("supy", "par", "station_id, year")], f"""
 SELECT station_id, {i('year')}, {r('amplitude')}, {r('mean_t')}, {i('phase_day')} FROM par""")
-    sql["q_soil_profile"] = q([SUP, soil_params("sup", "par", "station_id"), SOILS, MONTHS], f"""
-SELECT station_id, soil, {i('month')}, {r('depth')}, {r(labs('d', 'phase_day', 'depth', 'alpha*86400', '365.0'), 't_soil')}
+    sql["q_soil_profile"] = q([SUP, "supy AS (SELECT *, year(day) AS year FROM sup)", soil_params("supy", "par", "station_id, year"), SOILS, MONTHS], f"""
+SELECT station_id, {i('year')}, soil, {i('month')}, {r('depth')}, {r(labs('d', 'phase_day', 'depth', 'alpha*86400', '365.0'), 't_soil')}
 FROM par, soils, months, (SELECT unnest([0.5, 1.0, 2.0, 3.0, 4.0, 5.0, 6.0, 7.0, 8.0, 9.0, 10.0])::DOUBLE AS depth)""")
-    sql["q_soil_hadvig"] = q([SUP, soil_params("sup", "par", "station_id"), SOILS, MONTHS], f"""
-SELECT station_id, soil, {i('month')}, {r('depth')},
+    sql["q_soil_hadvig"] = q([*SUP_HOURS, soil_params_of_hours("suph", "par"), SOILS, MONTHS], f"""
+SELECT station_id, {i('year')}, soil, {i('month')}, {r('depth')},
   {r('mean_t + amplitude*exp(-depth*sqrt(pi()/(alpha*31536000)))*cos((2*pi()/31536000)*(d*86400.0 + 43200 - warm*3600.0) - depth*sqrt(pi()/31536000))', 't_soil')}
 FROM par, soils, months, (SELECT unnest([0.5, 2.0])::DOUBLE AS depth)""")
     sql["q_soil_daily"] = q([FLAG, soil_params("flag", "par", "station_id")], f"""

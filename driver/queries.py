@@ -144,7 +144,7 @@ def q_hourly_pivot(spark, sf):
 
 def q_hourly_multi_agg(spark, sf):
     rows = V.table(spark, sf, "lineitem").select(
-        F.col("l_returnflag").alias("station_id"), F.col("l_shipdate").alias("ts"),
+        F.col("l_returnflag").alias("station_id"), V.line_instant().alias("ts"),
         (F.col("l_quantity") * F.pi()).alias("t_db"), (F.col("l_tax") * 100).alias("rain"),
         codes.wind_sector(F.col("l_extendedprice") % 360).cast("double").alias("wind_dir"),
         F.floor(F.col("l_discount") * 30).cast("double").alias("rain_type"))
@@ -208,21 +208,31 @@ def q_cdd(spark, sf):
     return degree.degree_days(V.by_supplier(spark, sf), degree.cooling_degrees(F.col("t_db")), KEY, years=YEARS)
 
 
+def _supplier_hours(spark, sf, fields):
+    """Hourly means of many stations, by year."""
+    rows = points.to_points(V.line_observations(spark, sf, "l_suppkey"), fields, ("station_id", "ts"))
+    return resample.hourly_wide(rows, fields, KEY).withColumn("year", F.year("ts"))
+
+
+BY_YEAR = [*KEY, "year"]
+
+
 def q_hdh(spark, sf):
-    return degree.heating_degree_hours(V.by_supplier(spark, sf), keys=KEY)
+    return degree.heating_degree_hours(_supplier_hours(spark, sf, ("t_db",)), keys=BY_YEAR)
 
 
 def q_cdh(spark, sf):
-    return degree.cooling_degree_hours(V.by_supplier(spark, sf), keys=KEY)
+    return degree.cooling_degree_hours(_supplier_hours(spark, sf, ("t_db",)), keys=BY_YEAR)
 
 
 def q_cdh_eahx(spark, sf):
-    rows = materialized(V.by_supplier(spark, sf))
-    return ground.residual_exchanger(rows, ground.soil_parameters(rows, KEY, "day"), KEY, "day")
+    """Hours against the soil of their own year."""
+    rows = materialized(_supplier_hours(spark, sf, ("t_db", "ghi")))
+    return ground.residual_exchanger(rows, ground.soil_parameters(rows, BY_YEAR), BY_YEAR)
 
 
 def q_cdh_pdec(spark, sf):
-    return ground.residual_evaporative(V.by_supplier(spark, sf), KEY)
+    return ground.residual_evaporative(_supplier_hours(spark, sf, ("t_db", "rh")), BY_YEAR)
 
 
 # typical years --------------------------------------------------------------------------------
@@ -407,12 +417,13 @@ def q_soil_params(spark, sf):
 
 
 def q_soil_profile(spark, sf):
-    return ground.soil_profile(ground.soil_parameters(V.by_supplier(spark, sf), KEY, "day"), KEY)
+    rows = V.by_supplier(spark, sf).withColumn("year", F.year("day"))
+    return ground.soil_profile(ground.soil_parameters(rows, BY_YEAR, "day"), BY_YEAR)
 
 
 def q_soil_hadvig(spark, sf):
-    return ground.soil_profile(
-        ground.soil_parameters(V.by_supplier(spark, sf), KEY, "day", warmest=True), KEY, "hadvig", (0.5, 2.0))
+    rows = materialized(_supplier_hours(spark, sf, ("t_db", "ghi")))
+    return ground.soil_profile(ground.soil_parameters(rows, BY_YEAR, warmest=True), BY_YEAR, "hadvig", (0.5, 2.0))
 
 
 def q_soil_daily(spark, sf):

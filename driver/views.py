@@ -47,13 +47,20 @@ def by_flag(spark: SparkSession, sf: str) -> DataFrame:
     return daily(spark, sf, "l_returnflag")
 
 
-def line_observations(spark: SparkSession, sf: str) -> DataFrame:
-    """One wide observation per line item, stations by return flag, 1995 to 2001."""
-    hour = (F.col("l_orderkey") + 5 * F.col("l_linenumber")) % 24
+def line_hour() -> Column:
+    return (F.col("l_orderkey") + 5 * F.col("l_linenumber")) % 24
+
+
+def line_instant() -> Column:
+    """A line item's ship date with an hour and a minute of its own."""
+    return F.col("l_shipdate") + F.make_dt_interval(hours=line_hour().cast("int"), mins=(F.col("l_partkey") % 60).cast("int"))
+
+
+def line_observations(spark: SparkSession, sf: str, station: str = "l_returnflag") -> DataFrame:
+    """One wide observation per line item, stations by return flag or another column, 1995 to 2001."""
+    hour = line_hour()
     return table(spark, sf, "lineitem").select(
-        F.col("l_returnflag").alias("station_id"),
-        (F.col("l_shipdate") + F.make_dt_interval(
-            hours=hour.cast("int"), mins=(F.col("l_partkey") % 60).cast("int"))).alias("ts"),
+        F.col(station).alias("station_id"), line_instant().alias("ts"),
         (_season(F.col("l_shipdate").cast("date")) + 4 * F.sin(2 * math.pi * (hour - 9) / 24)
          + (F.col("l_quantity") - 25.5) / 5).alias("t_db"),
         (40 + F.col("l_discount") * (188 * F.pi())).alias("rh"),
@@ -147,10 +154,8 @@ def nation_circles(spark: SparkSession, sf: str) -> DataFrame:
 
 def line_brightness(spark: SparkSession, sf: str) -> DataFrame:
     """Points of fields whose names come from the data: brightness by line status and instruction."""
-    at = F.col("l_shipdate") + F.make_dt_interval(
-        hours=((F.col("l_orderkey") + 5 * F.col("l_linenumber")) % 24).cast("int"), mins=(F.col("l_partkey") % 60).cast("int"))
     return table(spark, sf, "lineitem").select(
-        F.col("l_returnflag").alias("station_id"), at.alias("ts"), F.concat(F.lit("Bright_"), "l_linestatus").alias("field"),
+        F.col("l_returnflag").alias("station_id"), line_instant().alias("ts"), F.concat(F.lit("Bright_"), "l_linestatus").alias("field"),
         (F.col("l_extendedprice") / (63 * F.pi())).alias("value"))
 
 
