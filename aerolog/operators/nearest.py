@@ -15,6 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.place import great_circle_km
+from ..session import materialized
 
 #: Cell sizes in degrees, each a multiple of the next (fixed values).
 LEVELS = (60.0, 12.0, 2.0, 0.2, 0.02)
@@ -75,10 +76,11 @@ def nearest_reference(stations: DataFrame, refs: DataFrame, station_key: str | S
     located = stations.where("lat is not null and lon is not null")
     held = located.select(*own, F.col("lat").alias("_slat"),
                           F.col("lon").alias("_slon")).repartition(*own)
-    placed = _with_cells(
+    # written once, as every level reads it
+    placed = materialized(_with_cells(
         refs.where("lat is not null and lon is not null")
         .groupBy(F.col("lat").alias("_rlat"), F.col("lon").alias("_rlon"))
-        .agg(F.min(ref_key).alias(ref_key)), levels)
+        .agg(F.min(ref_key).alias(ref_key)), levels))
     held = held.withColumn("_cell", F.explode(_globe(levels[0])))
     per_station = Window.partitionBy(*own)
     for n, size in enumerate(levels):

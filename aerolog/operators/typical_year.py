@@ -99,13 +99,13 @@ def typical_rows(series: DataFrame, chosen: DataFrame, columns: Sequence[str],
                  keys: Sequence[str] = KEYS, ts: str = "ts") -> DataFrame:
     """The rows of the chosen months, dated 1970.
 
-    ``chosen`` has twelve rows per station and grows with the network, so no side is forced
-    to be broadcast; the runtime sizes decide.
+    The twelve chosen years of a station become one row, so that the join goes by station alone: a
+    series that is laid out by station stays where it is, and only the choice moves. No side is
+    forced to be broadcast; the runtime sizes decide.
     """
-    rows = series.where(not_leap_day(F.col(ts))).withColumns(
-        {"_month": F.month(ts), "_year": F.year(ts)})
-    picked = chosen.select(*keys, F.col("month").alias("_month"), F.col("chosen_year").alias("_year"))
-    return rows.join(picked, [*keys, "_month", "_year"], "left_semi").select(
+    picked = chosen.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("month", "chosen_year"))).alias("_years"))
+    rows = series.where(not_leap_day(F.col(ts))).join(picked, list(keys))
+    return rows.where(F.try_element_at("_years", F.month(ts)) == F.year(ts)).select(
         *keys, in_typical_year(F.col(ts)).alias("tmy_ts"), *columns)
 
 
@@ -126,12 +126,17 @@ def iso_typical_year(hourly: DataFrame, columns: Sequence[str], keys: Sequence[s
 def mean_typical_year(hourly: DataFrame, mean: Sequence[str] = MEAN_FIELDS,
                       mode: Sequence[str] = ("wind_dir",), keys: Sequence[str] = KEYS,
                       ts: str = "ts") -> DataFrame:
-    """Average over the years of every calendar hour; the most frequent wind direction.
+    """Average over the years of every calendar hour; the most frequent wind direction (smallest on ties).
 
-    A group holds one row per year, so the built-in ``mode`` (smallest on ties) is safe here.
+    Values are counted before the most frequent is chosen. Rows move once, by calendar hour, which
+    suits both aggregations: years of one hour seldom meet in a task before.
     """
-    return (
-        hourly.where(not_leap_day(F.col(ts)))
-        .groupBy(*keys, in_typical_year(F.col(ts)).alias("tmy_ts"))
-        .agg(*[F.avg(c).alias(c) for c in mean], *[F.mode(c, True).alias(c) for c in mode])
-    )
+    rows = hourly.where(not_leap_day(F.col(ts))).select(*keys, in_typical_year(F.col(ts)).alias("tmy_ts"), *mean, *mode).repartition(*keys, "tmy_ts")
+    if len(mode) != 1:  # several are left to the built-in aggregate: a group has one row a year
+        return rows.groupBy(*keys, "tmy_ts").agg(*[F.avg(c).alias(c) for c in mean], *[F.mode(c, True).alias(c) for c in mode])
+    value = F.col(mode[0])
+    counted = rows.groupBy(*keys, "tmy_ts", value).agg(
+        F.count(F.lit(1)).alias("_n"), *[F.sum(c).alias(f"_s_{c}") for c in mean], *[F.count(c).alias(f"_n_{c}") for c in mean])
+    return counted.groupBy(*keys, "tmy_ts").agg(
+        *[F.try_divide(F.sum(f"_s_{c}"), F.sum(f"_n_{c}")).alias(c) for c in mean],
+        F.max_by(value, F.when(value.isNotNull(), F.struct("_n", -value))).alias(mode[0]))

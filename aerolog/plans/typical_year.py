@@ -12,18 +12,21 @@ from ..operators.points import in_range, years_window
 from ..operators.resample import hourly_wide
 from ..operators.typical_year import iso_typical_year, mean_typical_year
 from ..schemas import FIELDS, KEYS
-from ..session import materialized
+from ..session import bucketed, materialized
 
 
 def filled_hours(points: DataFrame, first_year: int, last_year: int,
                  fields: Sequence[str] = FIELDS, keys: Sequence[str] = KEYS,
-                 stations: DataFrame | None = None) -> DataFrame:
+                 stations: DataFrame | None = None, by_station: bool = False) -> DataFrame:
     """Dense, gap-filled hourly series of whole calendar years.
 
-    The raw points are read once: the hourly table is written and everything else reads that.
+    The raw points are read once: the hourly table is written and everything else reads that. With
+    ``by_station`` it is written in buckets of stations while it is sparse: the filled hours are then made where their
+    station lies, and whatever goes by station after that moves none of them. That suits networks, not a few long series.
     """
     start, stop = years_window(first_year, last_year)
-    hourly = materialized(hourly_wide(in_range(points, start, stop), fields, keys))
+    sparse = hourly_wide(in_range(points, start, stop), fields, keys)
+    hourly = bucketed(sparse, keys) if by_station else materialized(sparse)
     return fill_same_hour(
         hourly, fields, F.lit(f"{first_year}-01-01 00:00:00").cast("timestamp_ntz"),
         F.lit(f"{last_year}-12-31 23:00:00").cast("timestamp_ntz"), keys, stations=stations)
@@ -40,9 +43,9 @@ def iso_years(points: DataFrame, first_year: int, last_year: int, columns: Seque
     """Typical years by the ranked selection; options of ``iso_typical_year``.
 
     The filled table is written because it is read twice: the ranking reads four columns of it,
-    the gathering one year in ``last_year - first_year + 1``.
+    the gathering one year in ``last_year - first_year + 1``. It stays bucketed by station, so neither moves it.
     """
-    hourly = materialized(filled_hours(points, first_year, last_year, columns, keys))
+    hourly = bucketed(filled_hours(points, first_year, last_year, columns, keys, by_station=True), keys)
     return iso_typical_year(hourly, columns, keys, **options)
 
 

@@ -45,7 +45,8 @@ def derive(series: DataFrame, places: DataFrame, keys: Sequence[str] = KEYS, ts:
     follow wind sector, radiation split, infrared and weather codes.  The left join lets only the
     places, never the series, be the side that Spark may broadcast.
     """
-    rows = interpolate(fill_window_mean(series, "ghi", keys, ts),
+    # one exchange by station serves the hours of a day, the gaps of a series and the sun of a day
+    rows = interpolate(fill_window_mean(series.repartition(*keys), "ghi", keys, ts),
                        [c for c in CONTINUOUS if c in series.columns], hour_index(F.col(ts)), keys)
     rows = rows.withColumn("wind_dir", wind_sector(F.col("wind_dir")))
     rows = with_infrared(split(rows.join(places, list(keys), "left"), keys, ts, offset, clock, label))
@@ -104,12 +105,13 @@ def header_lines(stations: DataFrame, series: DataFrame, soil: DataFrame,
 
     ``stations`` comes from :func:`with_reference`; options of ``epw_header``.
     """
-    spans = data_span(series, keys, ts)
+    daily = materialized(daily_mean(series, ["t_db"], keys, ts))  # the series is folded once
+    spans = data_span(daily, keys, "day")
 
     def of_first_year(lines: DataFrame) -> DataFrame:
         return lines.groupBy(*keys).agg(F.min_by("line", "year").alias("line"))
 
-    weeks = of_first_year(weeks_line(season_weeks(daily_mean(series, ["t_db"], keys, ts), keys=keys), keys))
+    weeks = of_first_year(weeks_line(season_weeks(daily, keys=keys), keys))
     return epw_header(stations, weeks, of_first_year(ground_line(soil, keys, ts)), spans, keys, **options)
 
 

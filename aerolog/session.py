@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -51,6 +52,21 @@ def scratch_folder(spark: SparkSession) -> str:
     raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
 
 
+def bucketed(df: DataFrame, keys: Sequence[str], sort: Sequence[str] = (), buckets: int | None = None) -> DataFrame:
+    """:func:`materialized`, with the rows of equal ``keys`` in one bucket: aggregates, windows and joins by them then move nothing.
+
+    Rows that are already clustered by the keys are written where they are. The files lie in the shared
+    folder; the session's catalog holds the table's name for as long as the session lives.
+    """
+    spark = df.sparkSession
+    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    folder = scratch_folder(spark)
+    name = "aerolog_" + uuid.uuid4().hex
+    writer = df.repartition(n, *keys).write.format("parquet").bucketBy(n, *keys)
+    (writer.sortBy(*sort) if sort else writer).option("path", f"{folder}/table").saveAsTable(name)
+    return spark.table(name)
+
+
 def materialized(df: DataFrame) -> DataFrame:
     """Write an intermediate table that several results read, and read it back.
 

@@ -555,6 +555,9 @@ SELECT station_id, {dates}, {nothing} FROM (
 SELECT {r('round(lat, 2)', 'lat')}, {r('round(lon, 2)', 'lon')}, day, {r('t_db')} FROM flag JOIN flag_places USING (station_id)""")
 
     customers = """cust AS (SELECT c_custkey AS station_id, 34 + c_custkey%26 + c_acctbal/10000 AS lat, -12 + c_custkey%37 + c_acctbal/20000 AS lon FROM customer)"""
+    sql["q_nearest_two_sources"] = q([SUP_PLACES, customers, "both_ AS (SELECT 'a' AS source, station_id, lat, lon FROM sup_places UNION ALL SELECT 'b', station_id, lat, lon FROM cust)"], f"""
+SELECT source, station_id, wmo, {r('d', 'km')} FROM (SELECT *, row_number() OVER (PARTITION BY source, station_id ORDER BY round(d, 9), wmo) AS rk FROM (
+  SELECT s.source, s.station_id, lpad(CAST(n_nationkey AS VARCHAR), 6, '0') AS wmo, {km('s.lat', 's.lon', '(35.0 + n_nationkey)', '(-9.5 + 1.1*n_nationkey)')} AS d FROM both_ s, nation)) WHERE rk = 1""")
     sql["q_zone_of_place"] = q([customers, """middle AS (SELECT n_name AS zone, n_nationkey AS n, 36 + 3*(n_nationkey % 8) + 0.123::DOUBLE AS y,
   -10 + 8*floor(n_nationkey/8) + n_nationkey % 3 + 0.321::DOUBLE AS x FROM nation)""", """corners AS (
   SELECT zone, 0 AS ring, seq, x + (2.5 + 1.3*cos(5*seq + n))*cos(2*pi()*seq/12) AS lon, y + (2.5 + 1.3*cos(5*seq + n))*sin(2*pi()*seq/12) AS lat

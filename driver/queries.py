@@ -13,7 +13,7 @@ from aerolog.functions.calendar import day_index, hour_index, utc_offset_hours
 from aerolog.operators import (compare, degree, design, elevation, epw, gapfill, ground, nearest, points,
                                radiation, resample, typical_year, urban, weeks, zones)
 from aerolog.plans import typical_year as year_plan, weather_file
-from aerolog.schemas import EPW_COLUMNS, GRIDDED_HOURLY
+from aerolog.schemas import EPW_COLUMNS, GRIDDED_HOURLY, REFERENCE_STATIONS
 from aerolog.session import materialized, scratch_folder
 from aerolog.sources import epw_files, gridded_csv, lists, point_store, rollup_store, station_json, typical_csv
 
@@ -449,6 +449,17 @@ def q_nearest_station(spark, sf):
     return nearest.nearest_reference(V.customer_places(spark, sf), refs, "station_id", "ref")
 
 
+def q_nearest_two_sources(spark, sf):
+    """Stations of two sources that share ids, each with its own nearest reference, from a list that was written and read."""
+    folder = f"{scratch_folder(spark)}/references"
+    columns = [f.name for f in REFERENCE_STATIONS.fields]
+    refs = V.nation_references(spark, sf)
+    (refs.select(*(F.col(c).cast("string") if c in refs.columns else F.lit("").alias(c) for c in columns))
+     .write.option("sep", ";").option("header", "true").csv(folder))
+    stations = V.customer_places(spark, sf).withColumn("source", F.lit("b")).unionByName(V.supplier_places(spark, sf).withColumn("source", F.lit("a")))
+    return nearest.nearest_reference(stations, lists.read_reference_stations(spark, folder), ["source", "station_id"], "wmo")
+
+
 def q_uhi_gap_hour(spark, sf):
     hourly = resample.hourly_wide(V.event_points(spark, sf), ("t_db",), KEY)
     inside = urban.zones(V.event_places(spark, sf), CENTER, RADIUS, KEY)

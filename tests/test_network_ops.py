@@ -253,3 +253,36 @@ def test_zones_fill_missing_time_zones(spark):
     cells = zones.zone_cells(spark.createDataFrame(ring, "zone string, ring int, seq int, lon double, lat double"))
     stations = spark.createDataFrame([("a", 45.0, 7.0, None), ("b", 45.0, 7.0, "Own/Zone"), ("c", 0.0, 0.0, None)], "station_id string, lat double, lon double, tz string")
     assert {r["station_id"]: r["tz"] for r in weather_file.with_time_zone(stations, cells, ID).collect()} == {"a": "Europe/Rome", "b": "Own/Zone", "c": None}
+
+
+def exchanges(df):
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return plan.count("Exchange hashpartitioning") + plan.count("Exchange rangepartitioning")
+
+
+def test_series_by_station_stay_where_they_are(spark):
+    """A table in buckets of stations: neither the ranking nor the gathering of a typical year moves it."""
+    from aerolog.operators import typical_year
+    from aerolog.session import bucketed
+
+    days = spark.range(3 * 730).select((F.col("id") % 3).cast("string").alias("station_id"), (F.lit("2001-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(
+        days=(F.col("id") / 3).cast("int"))).alias("ts"), (F.col("id") % 17).cast("double").alias("t_db"))
+    series = bucketed(days.select("*", *(F.col("t_db").alias(c) for c in ("ghi", "rh", "v_air"))), ID)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert exchanges(resample.daily_mean(series, ["t_db"], ID)) == 0
+        chosen = spark.createDataFrame([(str(s), m, 2001 + (s + m) % 2) for s in range(3) for m in range(1, 13)], "station_id string, month int, chosen_year int")
+        rows = typical_year.typical_rows(series, chosen, ["t_db"], ID)
+        assert exchanges(rows) == 1  # the choice alone
+        assert rows.count() == 3 * 365
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_one_exchange_serves_the_weather_file(spark):
+    """Gap filling, interpolation and sun all go by station."""
+    rows = spark.range(48).select(F.lit("a").alias("station_id"), (F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(hours=F.col("id").cast("int"))).alias("ts"),
+                                  *(F.lit(1.0).alias(c) for c in ("v_air", "wind_dir", "t_db", "t_dp", "rh", "p_atm", "rain", "rain_type", "ghi")))
+    places = spark.createDataFrame([("a", 45.0, 7.0, "Europe/Rome")], "station_id string, lat double, lon double, tz string")
+    assert exchanges(weather_file.derive(rows, places, ID)) <= 3
