@@ -45,11 +45,16 @@ LAYOUTS = 4
 #: A page is a copy of another if so much of its text, in characters, is that page's.
 COPY = 0.75
 
-TAG = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?/][^>]*(?:>|\Z)|<[a-zA-Z/][^>]*\Z", re.S)
+#: Quotes count only behind an equals sign; the possessive loop never goes back.
+TAG = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:=\s*\"[^\"]*\"|=\s*'[^']*'|[^>])*+)>|<[!?/][^>]*(?:>|\Z)|<[a-zA-Z/][^>]*\Z", re.S)
 MARKS = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+))""", re.I)
 PART = re.compile(r"[a-z]+")
 #: Fixed values of HTML: elements whose content is no markup, that have no content, and that are inline.
-RAW = {"script", "style", "noscript", "template", "iframe", "textarea", "title", "svg", "math", "object", "noframes", "xmp"}
+RAW = {"script", "style", "noscript", "template", "iframe", "textarea", "title", "svg", "object", "noframes", "xmp"}
+#: Those that run to the end of the page if nothing ends them; others without an end are taken for empty.
+ENDLESS = {"script", "style", "textarea", "title", "xmp"}
+#: What a formula says again in other words.
+ANNOTATION = re.compile(r"<annotation.*?(?:</annotation[^>]*>|\Z)", re.S | re.I)
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 INLINE = {"a", "abbr", "acronym", "b", "bdi", "bdo", "big", "br", "cite", "code", "data", "del", "dfn", "em", "font", "i", "img",
           "ins", "kbd", "label", "mark", "meter", "output", "q", "rp", "rt", "ruby", "s", "samp", "small", "span", "strike",
@@ -69,26 +74,33 @@ OUTSIDE_WORDS = {"ad", "ads", "advert", "adverts", "advertisement", "sponsor", "
 class Node:
     """An element with its block children and texts, or a text (label ``#``). Inline elements are part of texts."""
 
-    __slots__ = ("label", "tag", "out", "children", "text", "shape", "size")
+    __slots__ = ("label", "tag", "out", "children", "text", "shape", "size", "chars", "holds")
 
-    def __init__(self, label: str, tag: str = "", out: bool = False, text: str = ""):
+    def __init__(self, label: str, tag: str = "", out: int = 0, text: str = ""):
         self.label, self.tag, self.out, self.text = label, tag, out, text
         self.children: list[Node] = []
 
 
 _shapes: dict[tuple, int] = {}
-_marked: dict[str, tuple[str, bool]] = {}
+_marked: dict[str, tuple[str, int]] = {}
+#: Why a node stands outside of articles: its element or a whole word of its marks, or a part of a word alone.
+BY_NAME, BY_PART = 2, 1
+#: An article of less than this share of the page's text is a teaser.
+TEASER = 0.25
 
 
-def labelled(tag: str, rest: str) -> tuple[str, bool]:
-    """An element's label (name, class, id, role) and whether it stands outside of articles."""
+def labelled(tag: str, rest: str) -> tuple[str, int]:
+    """An element's label (name, class, id, role) and why it stands outside of articles, or 0."""
     if "=" not in rest:
-        return tag, tag in OUTSIDE
+        return tag, BY_NAME if tag in OUTSIDE else 0
     key = f"{tag} {rest}"
     if (known := _marked.get(key)) is None:
         marks = [next(filter(None, m), "").lower() for m in MARKS.findall(rest)]
         # an article that is marked is an article still
-        outside = tag in OUTSIDE or tag not in ("article", "main", "body", "html") and any(w in OUTSIDE_WORDS for m in marks for w in PART.findall(m))
+        outside = BY_NAME if tag in OUTSIDE else 0
+        if not outside and tag not in ("article", "main", "body", "html"):
+            words = [w for m in marks for w in m.split()]
+            outside = BY_NAME if OUTSIDE_WORDS & {*words} else BY_PART if any(w in OUTSIDE_WORDS for m in words for w in PART.findall(m)) else 0
         known = (tag if not marks else f"{tag} {' '.join(marks)}", outside)
         if len(_marked) < 20_000:
             _marked[key] = known
@@ -137,10 +149,17 @@ def parsed(page: str) -> Node:
             continue
         if tag in RAW:
             end = re.compile(f"</{re.escape(tag)}[^>]*>", re.I).search(page, at) if not m[3].endswith("/") else None
-            at = end.end() if end else at if m[3].endswith("/") else n
-            if tag not in ("svg", "math"):
+            at = end.end() if end else n if tag in ENDLESS and not m[3].endswith("/") else at
+            if tag != "svg":
                 flush()
             continue
+        if tag == "math":  # a formula is a part of its sentence
+            end = re.compile("</math[^>]*>", re.I).search(page, at)
+            if end and not m[3].endswith("/"):
+                if not outside_inline:
+                    run.append(TAG.sub("", ANNOTATION.sub("", page[at:end.start()])))
+                at = end.end()
+            continue
         if tag in INLINE:
             if tag in ("br", "img", "wbr"):
                 if tag == "br" and not outside_inline:
@@ -181,7 +200,11 @@ def parsed(page: str) -> Node:
 
 
 def measured(root: Node) -> None:
-    """Number of nodes and a number for the shape of every subtree; equal shapes share it."""
+    """Number of nodes and a number for the shape of every subtree; equal shapes share it. Also settles what stands outside.
+
+    A node that holds an article (or ``main``) does not stand outside of it, whatever it is called, and a part of a word is
+    not enough for a node that holds most of the page's text.
+    """
     order, stack = [], [root]
     while stack:
         node = stack.pop()
@@ -191,26 +214,19 @@ def measured(root: Node) -> None:
         _shapes.clear()
     for node in reversed(order):
         node.size = 1 + sum(c.size for c in node.children)
+        node.chars = len(node.text) + sum(c.chars for c in node.children)
+        node.holds = node.tag in ("article", "main") or any(c.holds for c in node.children)
         key = (node.label, *(c.shape for c in node.children))
         node.shape = _shapes.setdefault(key, len(_shapes))
+    for node in order:
+        if node.out and (node.holds and node.tag not in RAW or node.out == BY_PART and 2 * node.chars > root.chars):
+            node.out = 0
 
 
-def weight(a: Node, b: Node, memo: dict) -> int:
-    """Simple tree matching: the most nodes that an order-keeping matching from the roots down can pair."""
-    if a.label != b.label:
-        return 0
-    if a.shape == b.shape:
-        return a.size
-    key = (a.shape, b.shape)
-    if key not in memo:
-        memo[key] = 1 + sum(weight(x, y, memo) for x, y in matching(a.children, b.children, memo))
-    return memo[key]
-
-
-def matching(a: list[Node], b: list[Node], memo: dict) -> list[tuple[Node, Node]]:
-    """The heaviest order-keeping matching of two child lists.
+def middle(a: list[Node], b: list[Node]) -> tuple[int, list[Node], list[Node]]:
+    """How many children at the front have equal shapes, and what is left of both lists without those at either end.
 
-    Equal shapes at both ends are paired at once, which no matching can better; a table is filled for the rest.
+    Equal shapes at both ends are paired at once, which no matching can better.
     """
     lead, most = 0, min(len(a), len(b))
     while lead < most and a[lead].shape == b[lead].shape:
@@ -218,15 +234,48 @@ def matching(a: list[Node], b: list[Node], memo: dict) -> list[tuple[Node, Node]
     trail = 0
     while trail < most - lead and a[-1 - trail].shape == b[-1 - trail].shape:
         trail += 1
+    return lead, a[lead:len(a) - trail], b[lead:len(b) - trail]
+
+
+def known(a: Node, b: Node, memo: dict) -> int | None:
+    """The weight of two nodes, if it is known without more work."""
+    if a.label != b.label:
+        return 0
+    return a.size if a.shape == b.shape else memo.get((a.shape, b.shape))
+
+
+def weight(a: Node, b: Node, memo: dict) -> int:
+    """Simple tree matching: the most nodes that an order-keeping matching from the roots down can pair.
+
+    Children come before their parents on a stack of pairs, so a page may be nested as deeply as it likes.
+    """
+    stack = [(a, b)]
+    while stack:
+        p, q = stack[-1]
+        if known(p, q, memo) is not None:
+            stack.pop()
+            continue
+        _, x, y = middle(p.children, q.children)
+        open_ = [(c, d) for c in x for d in y if known(c, d, memo) is None]
+        if open_:
+            stack += open_
+        else:
+            memo[p.shape, q.shape] = 1 + sum(known(c, d, memo) for c, d in matching(p.children, q.children, memo))
+            stack.pop()
+    return known(a, b, memo)
+
+
+def matching(a: list[Node], b: list[Node], memo: dict) -> list[tuple[Node, Node]]:
+    """The heaviest order-keeping matching of two child lists whose weights are known."""
+    lead, x, y = middle(a, b)
     pairs = list(zip(a[:lead], b[:lead]))
-    x, y = a[lead:len(a) - trail], b[lead:len(b) - trail]
     if x and y:
         best = [[0] * (len(y) + 1) for _ in range(len(x) + 1)]
         for i, p in enumerate(x):
             above, row = best[i], best[i + 1]
             for j, q in enumerate(y):
-                row[j + 1] = max(above[j + 1], row[j], above[j] + weight(p, q, memo))
-        i, j, middle = len(x), len(y), []
+                row[j + 1] = max(above[j + 1], row[j], above[j] + known(p, q, memo))
+        i, j, chosen = len(x), len(y), []
         while i and j:
             if best[i][j] == best[i - 1][j]:
                 i -= 1
@@ -234,14 +283,15 @@ def matching(a: list[Node], b: list[Node], memo: dict) -> list[tuple[Node, Node]
                 j -= 1
             else:
                 i, j = i - 1, j - 1
-                middle.append((x[i], y[j]))
-        pairs += reversed(middle)
-    return pairs + list(zip(a[len(a) - trail:], b[len(b) - trail:]))
+                chosen.append((x[i], y[j]))
+        pairs += reversed(chosen)
+    return pairs + list(zip(a[lead + len(x):], b[lead + len(y):]))
 
 
 def aligned(reference: Node, page: Node) -> list[tuple[Node, Node]]:
     """The texts of the reference with the texts of the page in the same places."""
     out, memo = [], {}
+    weight(reference, page, memo)
     stack = [(reference, page)] if reference.label == page.label else []
     while stack:
         a, b = stack.pop()
@@ -267,9 +317,13 @@ def reference_tree(page: str) -> tuple[Node, dict[int, int]]:
 
 
 def eligible(tree: Node) -> list[Node]:
-    """The texts that can be content, in page order."""
-    roots = outermost(tree, "article") or outermost(tree, "main") or outermost(tree, "body") or [tree]
-    return [t for r in roots for t in texts(r)]
+    """The texts that can be content, in page order: those of the articles, unless they hold little of what ``main`` or the page holds."""
+    whole = [t for r in outermost(tree, "body") or [tree] for t in texts(r)]
+    for tag in ("article", "main"):
+        own = [t for r in outermost(tree, tag) for t in texts(r)]
+        if own and sum(len(t.text) for t in own) >= TEASER * sum(len(t.text) for t in whole):
+            return own
+    return whole
 
 
 def layout_of(root: Node) -> int | None:

@@ -9,10 +9,14 @@ needs no correction, and rules and strata share the error (Bonferroni). So with
 all strata together lose at most ``RISK`` of their good texts to the rules. A rule without a cutoff that
 passes rejects nothing.
 
+A binomial test counts independent trials, which copies are not. So texts with the same least hash of their
+``SPAN``-word windows, equal texts and most near copies, are one trial: the one with the least measures, good if
+all of them are. A text that fills a third of the holdout weighs as much as one that occurs once.
+
 Only the counts of each stratum, rule and cutoff go to the driver: a fixed number.
 
 Null and empty texts have no words and fail the base rule. Labels that are null or of absent rows are
-left out; of a label that occurs twice one row is used. Rows are independent: ties, repeated rows and
+left out; labels that contradict each other count as the lower one. Ties, repeated rows and
 other columns change nothing; without labels no rule rejects.
 """
 
@@ -42,7 +46,7 @@ CUTOFFS = {
 
 
 def base_measures(texts: DataFrame, keep: list[str], text: str = "text") -> DataFrame:
-    """``keep``, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_capitals, n_lines."""
+    """``keep``, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_capitals, n_lines, and _least, the least hash of a window."""
     value = F.coalesce(F.col(text), F.lit(""))
     worded = texts.select(
         *keep, split_words(value, SPACE).alias("_words"),
@@ -67,7 +71,8 @@ def base_measures(texts: DataFrame, keep: list[str], text: str = "text") -> Data
     covered = F.aggregate("_again", F.struct(F.lit(0).alias("n"), F.lit(0).alias("end")), lambda a, i: F.struct(
         (a["n"] + F.lit(SPAN) - F.greatest(F.lit(0), F.least(F.lit(SPAN), a["end"] - i))).alias("n"), (i + SPAN).alias("end")))["n"]
     return twice.select(*keep, "n_words", "word_chars", "n_symbols", "n_dup_lines",
-                        F.when(F.col("_clear"), 0).otherwise(covered).alias("n_repeat_words"), "n_capitals", "n_lines")
+                        F.when(F.col("_clear"), 0).otherwise(covered).alias("n_repeat_words"), "n_capitals", "n_lines",
+                        F.array_min("_spans").alias("_least"))
 
 
 def measures() -> dict[str, Column]:
@@ -99,6 +104,13 @@ def tail(k: int, n: int, p: float) -> float:
     return min(1.0, math.exp(min(0.0, log + math.log(total)))) if k < n * p else 1.0
 
 
+def trials(holdout: DataFrame) -> DataFrame:
+    """One row for each group of copies. ``holdout`` has the measures, _least and good."""
+    columns = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_capitals", "n_lines"]
+    # partial aggregation first: a text that occurs often leaves each task once
+    return holdout.groupBy("_least").agg(F.min(F.struct("good", *columns)).alias("_one")).select("_one.*")
+
+
 def cutoffs(holdout: DataFrame, risk: float = RISK, error: float = ERROR) -> dict[tuple[int, str], float]:
     """The strictest safe cutoff of each stratum and rule. ``holdout`` has the measures and good (0 or 1)."""
     columns = [F.sum((m >= c).cast("long")).alias(f"{rule}_{k}") for rule, m in measures().items() for k, c in enumerate(CUTOFFS[rule])]
@@ -123,12 +135,12 @@ def rejected(chosen: dict[tuple[int, str], float]) -> Column:
 def judged(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "quality") -> DataFrame:
     """One row for each document: key, base measures, base_failed and kept."""
     good = (labels.select(F.col(key).alias("_id"), F.col(label).cast("int").alias("good")).dropna()
-            .groupBy("_id").agg(F.max("good").alias("good")))
+            .groupBy("_id").agg(F.min("good").alias("good")))
     own = docs.select(F.col(key).alias("_id"), F.col(text).alias("_text"))
     # written, as two readers need the measures and the texts are read once
     out = materialized(base_measures(own, ["_id"], "_text").withColumn("_failed", base_failed()))
     # texts that pass the base rule are those that the guarantee speaks of
-    chosen = cutoffs(out.where(~F.col("_failed")).join(good, "_id"))
+    chosen = cutoffs(trials(out.where(~F.col("_failed")).join(good, "_id")))
     return out.select(
         F.col("_id").alias(key), *(F.col(c).cast("long").alias(c) for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")),
         F.col("_failed").alias("base_failed"), (~F.col("_failed") & ~rejected(chosen)).alias("kept"))

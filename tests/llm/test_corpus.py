@@ -237,7 +237,7 @@ def test_simple_tree_matching_is_the_heaviest():
     tree = lambda body: html_wrapper.parsed(f"<body>{body}</body>")
     a, b = tree("<p>1</p><ul><li>x</li></ul><p>2</p><h2>q</h2>"), tree("<ul><li>y</li><li>z</li></ul><p>2</p><div>d</div><h2>q</h2>")
     pairs = html_wrapper.aligned(a, b)
-    assert sorted((x.text, y.text) for x, y in pairs) == [("2", "2"), ("q", "q"), ("x", "y")] or len(pairs) == 3
+    assert sorted((x.text, y.text) for x, y in pairs) in ([("2", "2"), ("q", "q"), ("x", "y")], [("2", "2"), ("q", "q"), ("x", "z")])
 
 
 def test_stages_keep_columns_and_decide(spark, tmp_path, docs, items, labels):
