@@ -39,6 +39,8 @@ LONGEST_REMEMBERED = 64
 #: Characters of the texts that are looked up together.
 RUN_LENGTH = 1 << 16
 PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
+#: Characters whose case, kind and composition are left to the tokenizer file's own rules: all beyond Latin, Greek and Cyrillic.
+FOREIGN = regex.compile("[\u0530-\U0010ffff]")
 #: Added to a word's last character, to tell it from the same character inside.
 WORD_END = 0x1000
 
@@ -96,6 +98,8 @@ class Remembering:
 
 def halves(chunk: str) -> tuple[str, ...]:
     """The letters of a chunk and the ASCII punctuation behind them, or the chunk."""
+    if not chunk.isascii() and FOREIGN.search(chunk):  # a letter can become a letter and a mark, which goes with punctuation
+        return (chunk,)
     letters = chunk.rstrip(PUNCTUATION)
     whole = len(letters) == len(chunk) or "<|" in chunk or not letters.isalpha() or letters != letters.lower()
     return (chunk,) if whole else (letters, chunk[len(letters):])
@@ -104,6 +108,9 @@ def halves(chunk: str) -> tuple[str, ...]:
 class Codec(Remembering):
     def __init__(self, tokenizer_json: str):
         super().__init__()
+        from tokenizers import Tokenizer
+
+        self.library = Tokenizer.from_str(tokenizer_json)
         spec = json.loads(tokenizer_json)
         vocab, end = spec["model"]["vocab"], spec["model"]["end_of_word_suffix"]
         self.pattern = regex.compile(spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"])
@@ -192,7 +199,15 @@ class Codec(Remembering):
         return out
 
     def words(self, chunk: str) -> Iterator[str]:
-        """The words of a chunk without white space, over the inner alphabet."""
+        """The words of a chunk without white space, over the inner alphabet.
+
+        Beyond Latin, Greek and Cyrillic the tokenizer file's own normalizer and pre-tokenizer cut the words: they may
+        know another Unicode than this Python.
+        """
+        if not chunk.isascii() and FOREIGN.search(chunk):
+            for word, _ in self.library.pre_tokenizer.pre_tokenize_str(self.library.normalizer.normalize_str(chunk)):
+                yield word[:-1] + chr(ord(word[-1]) + WORD_END)
+            return
         for m in self.pattern.finditer(normal(chunk)):
             word = m[0]
             word = word.translate(self.plain) if word.isascii() else "".join(map(self.alphabet.__getitem__, word.encode()))
@@ -245,15 +260,22 @@ def chunks(text: str) -> list[str]:
 
     A small letter may have a composed form that its capital lacks: such chunks stay as they are, because
     they are normalised once more when they are encoded. Texts that might hold a special token stay too:
-    its letters must not come from lower-casing.
+    its letters must not come from lower-casing. So do chunks with characters that :data:`FOREIGN` finds.
     """
     if "<|" in text:
         return parts(text)
+    if not text.isascii() and FOREIGN.search(text):
+        return [c if FOREIGN.search(c) else once(c) for c in parts(text)]
     low = normal(text)
     if low.isascii() or unicodedata.is_normalized("NFC", low):
         return parts(low)
-    both = ((c, normal(c)) for c in parts(text))
-    return [low if unicodedata.is_normalized("NFC", low) else c for c, low in both]
+    return [once(c) for c in parts(text)]
+
+
+def once(chunk: str) -> str:
+    """A chunk as :func:`normal` makes it, if doing that again changes nothing; else as it is."""
+    low = normal(chunk)
+    return low if low.isascii() or unicodedata.is_normalized("NFC", low) else chunk
 
 
 @lru_cache(maxsize=1)

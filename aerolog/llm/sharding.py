@@ -39,8 +39,13 @@ def slot_sizes(records: DataFrame) -> DataFrame:
     return records.groupBy("virtual_slot").agg(F.sum("size").alias("bytes"), F.count("*").alias("records"))
 
 
+def even_map(shards: int, slots: int = SLOTS) -> list[tuple]:
+    """Version 1, from before anything is measured: slots dealt out in turn."""
+    return [(1, slot, slot % shards, 0, 0) for slot in range(slots)]
+
+
 def first_map(sizes: dict[int, tuple[int, int]], shards: int, slots: int = SLOTS) -> list[tuple]:
-    """Version 1: slots by falling size, each to the shard with the fewest bytes so far."""
+    """Version 1 for sizes that are known: slots by falling size, each to the shard with the fewest bytes so far."""
     heap = [(0, s) for s in range(shards)]
     rows = []
     for slot in sorted(range(slots), key=lambda s: (-sizes.get(s, (0, 0))[0], s)):
@@ -125,10 +130,17 @@ def placed(records: DataFrame, slot_map: DataFrame, key: str = "doc_id") -> Data
             .withColumn("slot", (F.col("_start") + F.col("_rank")).cast("long")).drop("_start", "_rank"))
 
 
-def sharded(docs: DataFrame, shards: int, folder: str, slots: int = SLOTS) -> DataFrame:
-    """All records with size, virtual slot, shard and place, by a map that is stored in ``folder``."""
+def sharded(docs: DataFrame, shards: int, folder: str, slots: int = SLOTS, tolerance: float = 1e-4) -> DataFrame:
+    """All records with size, virtual slot, shard and place, by the last version of the map in ``folder``.
+
+    Version 1 deals the slots out in turn; version 2 edits it for the measured bytes. Shards are as
+    equal as slots allow: an id that fills more than a shard by itself (it has one slot) makes that shard larger.
+    """
     spark = docs.sparkSession
     records = materialized(digests(docs, slots=slots))
     sizes = {r["virtual_slot"]: (r["bytes"], r["records"]) for r in slot_sizes(records).collect()}
-    write_map(spark, first_map(sizes, shards, slots), folder)
-    return placed(records, read_map(spark, folder, 1))
+    first = even_map(shards, slots)
+    last = rebalanced(first, sizes, shards, tolerance)
+    for version in (first, last):
+        write_map(spark, version, folder)
+    return placed(records, read_map(spark, folder, last[0][0]))

@@ -404,3 +404,15 @@ def test_lines_without_spaces_are_compared(spark):
     rows = [(1, f"{chinese}\n{thai}\n短行"), (2, chinese), (3, chinese.replace("目标", "目的")), (4, f"{thai}\n短行"), (5, "これは日本語の長い行です、単語の間に空白がありません"), (6, "これは日本語の長い行です、単語の間に空白がありませぬ")]
     out = {r["doc_id"]: r["text"] for r in line_dedup.without_repeated_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert out == {1: rows[0][1], 2: "", 3: "", 4: "短行", 5: rows[4][1], 6: ""}
+
+
+def test_every_character_is_encoded_as_by_the_library():
+    """All code points up to U+1FFFF, assigned or not, beside letters and marks."""
+    from tokenizers import Tokenizer
+    with open(queries.tokenizer_path(), encoding="utf-8") as f:
+        spec = f.read()
+    library, own = Tokenizer.from_str(spec), bpe.Codec(spec)
+    for pattern in ("a{0}B {0}", "{0}\u0301 x{0}.,"):
+        texts = [pattern.format(chr(k)) for k in range(1, 0x20000) if not 0xD800 <= k < 0xE000]
+        want = library.encode_batch_fast(texts, add_special_tokens=False)
+        assert [t for t, w, g in zip(texts, want, own.encode(texts)) if w.ids != g.tolist()] == []
