@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from aerolog.llm.bpe import byte_characters, vocabulary
-from aerolog.llm.common import pieces, ready_for_python, small, utf8
+from aerolog.llm.common import pieces, ready_for_python, small, small_batches, utf8
 from aerolog.llm.token_files import byte_rows
 from aerolog.llm.units import Codes, by_row
 from aerolog.session import materialized
@@ -388,5 +388,6 @@ def digests(docs: DataFrame, a_path: str, b_path: str, key: str = "doc_id", text
     """(doc_id, row, n_a, n_b, n_groups, n_links, groups_sha256, n_best, count_sum) of each document."""
     spark = docs.sparkSession
     kind, bits = pair_kind(vocabulary(spark, a_path).value, model_bytes(spark, b_path).value)
-    found = materialized(aligned(docs, a_path, b_path, ("n_a", "n_b", "n_groups", "n_links", "groups_sha256", "links"), key, text))
-    return with_pair_counts(found, kind, bits, most_sent)
+    with small_batches(spark):
+        found = materialized(aligned(docs, a_path, b_path, ("n_a", "n_b", "n_groups", "n_links", "groups_sha256", "links"), key, text))
+        return with_pair_counts(found, kind, bits, most_sent)

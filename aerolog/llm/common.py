@@ -51,6 +51,11 @@ def setting(spark: SparkSession, name: str, value: str) -> Iterator[None]:
             spark.conf.set(name, before)
 
 
+def small_batches(spark: SparkSession):
+    """For eager work inside: batches of ``BATCH_ROWS`` rows, as texts can be long and a task holds a batch at a time."""
+    return setting(spark, "spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+
+
 def free_name(df: DataFrame, name: str) -> str:
     """``name``, or ``name`` with underscores in front if a column is already called so."""
     taken = {c.lower() for c in df.columns}

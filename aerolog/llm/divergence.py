@@ -31,7 +31,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from aerolog.llm.common import pieces, ready_for_python, small, utf8
+from aerolog.llm.common import pieces, ready_for_python, small, small_batches, utf8
 from aerolog.llm.units import Units
 from aerolog.llm.words import spans, without
 from aerolog.session import materialized
@@ -229,7 +229,8 @@ def block_prices(frame: pd.DataFrame, lang: str, row_tile: int, column_tile: int
 
 def audited(docs: DataFrame, lang: str = "lang", source: str = "source", text: str = "text") -> DataFrame:
     """(lang, source, part, item, value, rank): distances to the other sources of the language, and the terms that the source has more of."""
-    counted = materialized(term_counts(docs, lang, source, text))
+    with small_batches(docs.sparkSession):
+        counted = materialized(term_counts(docs, lang, source, text))
     terms = materialized(counted.groupBy("lang", "term").agg(F.sum("docs").alias("docs"), F.sum("n").alias("lang_n")).where(F.col("docs") >= LEAST_DOCS)
                          .select("lang", "term", "lang_n"))
     langs = terms.groupBy("lang").agg(F.count("*").alias("kept"), F.sum("lang_n").alias("lang_total"))

@@ -29,6 +29,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections.abc import Iterator
 from functools import lru_cache
 from zlib import crc32
 
@@ -36,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from aerolog.llm.common import ready_for_python
+from aerolog.llm.common import BATCH_ROWS, ready_for_python, small_batches
 from aerolog.session import materialized
 
 CONSTANT, WITNESSES = 0.8, 8
@@ -414,7 +415,8 @@ def host(url: Column) -> Column:
 
 def main_texts(pages: DataFrame, key: str = "page_id", url: str = "url", page: str = "html") -> DataFrame:
     """Key, address and main text of every page."""
-    ready_for_python(pages.sparkSession)
+    spark = pages.sparkSession
+    ready_for_python(spark)
     own = pages.select(F.col(key).alias("_key"), F.col(url).alias("_url"), F.col(page).alias("_html"), host(F.col(url)).alias("_host"))
 
     @F.arrow_udf("bigint")
@@ -423,13 +425,17 @@ def main_texts(pages: DataFrame, key: str = "page_id", url: str = "url", page: s
 
     common = Window.partitionBy("_host").orderBy(F.desc("_pages"), F.xxhash64("_chosen"), "_layout")
     # written, so that its size is known when the pages are joined with it
-    chosen = materialized(own.select("_host", "_key", layouts("_html").alias("_layout")).where("_layout is not null")
-                          .groupBy("_host", "_layout").agg(F.min_by("_key", F.xxhash64("_key")).alias("_chosen"), F.count("*").alias("_pages"))
-                          .withColumn("_rank", F.row_number().over(common)).where(F.col("_rank") <= LAYOUTS))
+    ranked = (own.select("_host", "_key", layouts("_html").alias("_layout")).where("_layout is not null")
+              .groupBy("_host", "_layout").agg(F.min_by("_key", F.xxhash64("_key")).alias("_chosen"), F.count("*").alias("_pages"))
+              .withColumn("_rank", F.row_number().over(common)).where(F.col("_rank") <= LAYOUTS))
+    with small_batches(spark):
+        chosen = materialized(ranked)
     found = (own.withColumnRenamed("_host", "_on").join(chosen, F.col("_on").eqNullSafe(F.col("_host")) & F.col("_key").eqNullSafe(F.col("_chosen")))
              .where(layouts("_html") == F.col("_layout")).dropDuplicates(["_host", "_rank"]))
-    references = materialized(found.groupBy("_host").agg(F.sort_array(F.collect_list(F.struct(
-        F.col("_rank").alias("rank"), F.col("_layout").alias("layout"), F.col("_html").alias("page")))).alias("_references")))
+    packed = found.groupBy("_host").agg(F.sort_array(F.collect_list(F.struct(
+        F.col("_rank").alias("rank"), F.col("_layout").alias("layout"), F.col("_html").alias("page")))).alias("_references"))
+    with small_batches(spark):
+        references = materialized(packed)
 
     @F.arrow_udf("array<int>")
     def agreements(htmls: pa.Array, refs: pa.Array) -> pa.Array:
@@ -440,11 +446,16 @@ def main_texts(pages: DataFrame, key: str = "page_id", url: str = "url", page: s
                 F.count("*").alias("_n"), F.sum(F.col("_code").bitwiseAND(1)).alias("_same")))
     # the reference and its copies have one vote together
     constant = seen.where((F.col("_n") + 1 >= WITNESSES) & (F.col("_same") + 1 >= CONSTANT * (F.col("_n") + 1)))
-    wrappers = materialized(references.join(constant.groupBy("_host").agg(F.collect_list("_text").alias("_template")), "_host", "left"))
+    induced = references.join(constant.groupBy("_host").agg(F.collect_list("_text").alias("_template")), "_host", "left")
+    with small_batches(spark):
+        wrappers = materialized(induced)
 
     @F.arrow_udf("string")
-    def contents(htmls: pa.Array, refs: pa.Array, templates: pa.Array) -> pa.Array:
-        return pa.array([content(*row) for row in zip(htmls.to_pylist(), refs.to_pylist(), templates.to_pylist())], pa.string())
+    def contents(batches: Iterator[tuple[pa.Array, pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for columns in batches:
+            for k in range(0, max(len(columns[0]), 1), BATCH_ROWS):
+                rows = zip(*(c.slice(k, BATCH_ROWS).to_pylist() for c in columns))
+                yield pa.array([content(*row) for row in rows], pa.string())
 
     return own.join(wrappers, "_host", "left").select(
         F.col("_key").alias(key), F.col("_url").alias(url), contents("_html", "_references", "_template").alias("text"))

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from aerolog.llm.common import free_name, pieces, ready_for_python, small, utf8
+from aerolog.llm.common import free_name, pieces, ready_for_python, small, small_batches, utf8
 from aerolog.llm.links import crowded, linked_groups
 from aerolog.llm.words import SPACED, byte_codes, hashes, mix, rows_of, spans
 from aerolog.session import materialized
@@ -149,7 +149,8 @@ def near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
             yield signatures(texts)
 
     own = docs.select(F.col(key).alias("id"), F.col(text).alias("text"))
-    signs = materialized(own.select("id", signed("text").alias("s")).select("id", "s.*"))
+    with small_batches(docs.sparkSession):
+        signs = materialized(own.select("id", signed("text").alias("s")).select("id", "s.*"))
     sets = signs.where("n > 0 and id is not null")
     classes = materialized(sets.groupBy("n", "h1", "h2").agg(F.min("id").alias("first")))
     # a class is stood for by its smallest document

@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from aerolog.llm.bpe import lists, vocabulary
-from aerolog.llm.common import ready_for_python, small
+from aerolog.llm.common import ready_for_python, small, small_batches
 from aerolog.llm.token_files import encoded, width
 from aerolog.session import materialized
 
@@ -72,9 +72,11 @@ def packets(docs: DataFrame, path: str, end: int, size: int = SIZE, key: str = "
     kind = width(shared.value, end)
     bytes_ = np.dtype(kind).itemsize
     queue = F.when(F.col(source).isNull(), F.lit("-")).otherwise(F.concat(F.lit("+"), F.col(source)))
-    tokens = materialized(docs.select(F.col(key).cast("long").alias("doc_id"), queue.alias("queue"), encoded(F.col(text), shared, end, kind).alias("ids"))
-                          .select("doc_id", "queue", "ids", (F.octet_length("ids") / bytes_).cast("long").alias("n"),
-                                  F.xxhash64("ids").alias("tie"), F.monotonically_increasing_id().alias("lot")))
+    tokens = (docs.select(F.col(key).cast("long").alias("doc_id"), queue.alias("queue"), encoded(F.col(text), shared, end, kind).alias("ids"))
+              .select("doc_id", "queue", "ids", (F.octet_length("ids") / bytes_).cast("long").alias("n"),
+                      F.xxhash64("ids").alias("tie"), F.monotonically_increasing_id().alias("lot")))
+    with small_batches(spark):
+        tokens = materialized(tokens)
     many = materialized(tokens.groupBy("queue", "doc_id", "tie").count().where(F.col("count") >= COPIES)
                         .select(F.xxhash64("queue", "doc_id", "tie").alias("same"), F.lit(True).alias("spread")).distinct())
     rows = (tokens.drop("ids").withColumn("same", F.xxhash64("queue", "doc_id", "tie")).join(many, "same", "left")

@@ -29,11 +29,13 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from aerolog.llm.bpe import lists, vocabulary
-from aerolog.llm.common import pieces, ready_for_python, small, utf8
+from aerolog.llm.common import pieces, ready_for_python, small, small_batches, utf8
 from aerolog.llm.units import Codes, by_row, word_units
 from aerolog.session import materialized
 
 
+#: Bytes of text that are cut into units at once; the work arrays take some hundred times that.
+ENCODED_AT_ONCE = 1 << 18
 #: Ranges of ids for each shuffle partition: several, so that partitions come out even.
 PARTS_A_TASK = 4
 
@@ -81,7 +83,7 @@ class Library:
         """The ids of each text and the end token, as bytes of ``kind``."""
         data, places = utf8(column)
         ids, sizes = [np.zeros(0, kind)], [np.zeros(0, np.int64)]
-        for i, j in pieces(places):
+        for i, j in pieces(places, ENCODED_AT_ONCE):
             rows = places[i:j + 1] - places[i]
             own, begins, ends = word_units(data[places[i]:places[j]], rows)
             found, at = self.codes(own, begins, ends)
@@ -177,8 +179,10 @@ def write_tokens(docs: DataFrame, path: str, end: int, folder: str, key: str = "
     ready_for_python(spark)
     shared = vocabulary(spark, path)
     kind = width(shared.value, end)
-    tokens = materialized(docs.select(F.col(key).cast("long").alias("doc_id"), encoded(F.col(text), shared, end, kind).alias("ids"))
-                          .select("doc_id", "ids", F.xxhash64("ids").alias("tie")))
+    tokens = (docs.select(F.col(key).cast("long").alias("doc_id"), encoded(F.col(text), shared, end, kind).alias("ids"))
+              .select("doc_id", "ids", F.xxhash64("ids").alias("tie")))
+    with small_batches(spark):
+        tokens = materialized(tokens)
     ranked = ranking(tokens, kind)
     spark.createDataFrame([(i, int(x)) for i, x in enumerate(ranked)], "rank long, id long").coalesce(1).write.parquet(f"{folder}/ranks")
     rank_of = np.zeros(int(ranked.max(initial=0)) + 1, np.uint32)
@@ -212,9 +216,11 @@ def write_tokens(docs: DataFrame, path: str, end: int, folder: str, key: str = "
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(places, pa.int64()), *(batch.column(k) for k in (1, 3, 4, 5))],
                                              ["part", "before", "doc_id", "n_tokens", "control", "data"])
 
-    (tokens.select("doc_id", "tie", "ids").mapInArrow(code, "part int, doc_id long, tie long, n_tokens long, control binary, data binary")
-     .repartition("part").sortWithinPartitions("part", "doc_id", "tie")
-     .mapInArrow(number, "part int, before long, doc_id long, n_tokens long, control binary, data binary").write.parquet(f"{folder}/tokens"))
+    coded = (tokens.select("doc_id", "tie", "ids").mapInArrow(code, "part int, doc_id long, tie long, n_tokens long, control binary, data binary")
+             .repartition("part").sortWithinPartitions("part", "doc_id", "tie")
+             .mapInArrow(number, "part int, before long, doc_id long, n_tokens long, control binary, data binary"))
+    with small_batches(spark):
+        coded.write.parquet(f"{folder}/tokens")
 
 
 def read_tokens(spark: SparkSession, folder: str, as_bytes: bool = False) -> DataFrame:

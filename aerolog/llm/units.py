@@ -17,7 +17,7 @@ from aerolog.llm.words import SPACED, mix, spans
 #: The longest unit whose bytes and length fit three 64-bit words.
 SHORT = 23
 #: Units after which a worker forgets all and begins anew, and bytes of longer ones.
-REMEMBERED = 1 << 20
+REMEMBERED = 900_000
 REMEMBERED_BYTES = 1 << 24
 #: The low bytes of a word that belong to a unit, by their number.
 LOW = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
