@@ -338,6 +338,40 @@ def test_edited_lines_are_linked_as_by_plain_comparison(spark):
     assert len(missed) <= len(alike) // 100
 
 
+def test_groups_keep_their_first_line_as_by_plain_comparison(spark):
+    """Chains of edits, whose ends are no longer alike, and copies; every pair of lines is compared."""
+    draw = random.Random(31)
+    lines = []
+    for k in range(24):
+        line = f"{k} " + " ".join(draw.choice(WORDS) for _ in range(draw.choice([5, 6, 7, 25])))
+        for _ in range(draw.choice([1, 3, 6])):
+            lines += [line] * draw.choice([1, 1, 2])
+            # a few letters of a long line leave it far within the similarity
+            line = edited(draw, line, draw.choice([1, 1, 2]))
+    lines += ["a b", "A, b", "a c", "", "--"] * 3
+    draw.shuffle(lines)
+    rows = [(k, "\n".join(lines[4 * k:4 * k + 4])) for k in range((len(lines) + 3) // 4)]
+    places = [(d, n, line_dedup.normalised(x.encode())) for d, t in rows for n, x in enumerate(t.split("\n"))]
+    group = list(range(len(places)))
+
+    def root(k):
+        while group[k] != k:
+            k = group[k]
+        return k
+
+    for i, (_, _, x) in enumerate(places):
+        for j, (_, _, y) in enumerate(places[:i]):
+            fuzzy = min(len(x.split()), len(y.split())) >= 5 and abs(len(x) - len(y)) <= line_dedup.most_edits(max(len(x), len(y)))
+            if x and (x == y or fuzzy and distance(x, y) <= line_dedup.most_edits(max(len(x), len(y)))):
+                low, high = sorted((root(i), root(j)))
+                group[high] = low
+    stays = {places[k][:2] for k in range(len(places)) if root(k) == k}
+    want = {d: "\n".join(x for n, x in enumerate(t.split("\n")) if (d, n) in stays) for d, t in rows}
+    got = line_dedup.without_repeated_lines(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert {r["doc_id"]: r["text"] for r in got.collect()} == want
+    assert len(stays) < len(places) * 0.8
+
+
 def altered(draw, line, kind, share):
     """A line with this share of its characters changed, left out or followed by another one, anywhere."""
     line = list(line)
