@@ -1,12 +1,14 @@
 """Whole flows from points, and what happens when one station holds most of them."""
 
 import datetime as dt
+import math
 
 import pytest
 from pyspark.sql import functions as F
 
 from aerolog.operators import gapfill, points as pt, resample, typical_year
 from aerolog.plans import indicators
+from driver import views
 
 KEY = ["station_id"]
 
@@ -119,3 +121,27 @@ def test_statistics_shuffle_daily_rows_once(spark):
                                    *[F.rand(1).alias(c) for c in typical_year.RANKED])
     plan = typical_year.finkelstein_schafer(daily, keys=KEY)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange ") == 1
+
+
+def most_rows_of_a_task(df):
+    """Rows of the fullest task, and of all."""
+    counts = [r["count"] for r in df.groupBy(F.spark_partition_id().alias("task")).count().collect()]
+    return max(counts), sum(counts)
+
+
+def test_supplier_days_are_dealt_before_they_are_summed(spark, tmp_path):
+    day = F.lit("1995-01-02").cast("timestamp_ntz")
+    n = F.col("id")
+    (spark.range(3000).select((n % 100).alias("l_suppkey"), (day + F.make_dt_interval(days=(n % 900 / 100).cast("int"))).alias("l_shipdate"),
+                              *[(n % k).cast("double").alias(c) for k, c in ((7, "l_quantity"), (11, "l_extendedprice"), (5, "l_discount"), (3, "l_tax"))])
+     .write.parquet(f"{tmp_path}/lineitem.parquet"))
+    days = views.by_supplier(spark, str(tmp_path))
+    most, total = most_rows_of_a_task(days)
+    assert total == 900 and most < total * 0.6
+    rows = days._jdf.queryExecution().executedPlan().toString()
+    moved = rows[rows.index("Exchange "):]
+    assert "partial_avg" not in moved  # nothing is summed before rows move, as suppliers seldom have two of a day
+    # equal rows to plain sums
+    plain = spark.read.parquet(f"{tmp_path}/lineitem.parquet").groupBy("l_suppkey", F.col("l_shipdate").cast("date").alias("day")).agg(F.avg("l_tax").alias("x"))
+    got = {(r.station_id, r.day): r.v_air for r in days.collect()}
+    assert got == {(r.l_suppkey, r.day): pytest.approx(r.x * 31 * math.pi) for r in plain.collect()}
