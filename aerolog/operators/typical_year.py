@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.calendar import in_typical_year, not_leap_day
 from ..schemas import KEYS
+from ..session import dealt
 from .resample import daily_mean
 
 #: Variables that are ranked; the last one (wind) only breaks the final choice.
@@ -39,8 +40,8 @@ def finkelstein_schafer(daily: DataFrame, variables: Sequence[str] = RANKED,
     rows = (
         daily.where(F.col(day).isNotNull())
         .select(*keys, day, F.year(day).alias("year"), F.month(day).alias("month"), *columns)
-        .repartition(*keys, "month")
     )
+    rows = dealt(rows, *keys, "month")
     all_years = Window.partitionBy(*keys, "month")
     one_year = Window.partitionBy(*keys, "month", "year")
     if whole_months:

@@ -129,6 +129,15 @@ def most_rows_of_a_task(df):
     return max(counts), sum(counts)
 
 
+def test_statistics_of_small_bytes_stay_in_many_tasks(spark):
+    # eight sorts a task take twenty times the bytes that moved, so tasks aren't merged by these
+    day = F.date_add(F.lit("2024-01-01").cast("date"), F.col("id").cast("int") % 60)
+    daily = spark.range(64 * 60).select(F.floor(F.col("id") / 60).alias("station_id"), day.alias("day"),
+                                        *[F.rand(1).alias(c) for c in typical_year.RANKED])
+    most, total = most_rows_of_a_task(typical_year.finkelstein_schafer(daily, keys=KEY))
+    assert total == 64 * 2 and most < total * 0.6
+
+
 def test_supplier_days_are_dealt_before_they_are_summed(spark, tmp_path):
     day = F.lit("1995-01-02").cast("timestamp_ntz")
     n = F.col("id")
