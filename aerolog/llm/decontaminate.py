@@ -41,13 +41,17 @@ def with_hashes(texts: DataFrame, text: str, keep: list[str], short: list[int])
     runs = worded.select(*keep, F.size("_words").alias("n_words"), F.col("_words"),
                          F.transform(indices(F.size("_words") - K + 1), lambda i: run_hash(F.col("_words"), i, K)).alias("_runs"))
     w = WINDOW - K + 1
-    # the place of the last smallest hash of each w: smaller hashes, then later places, come first
-    places = F.transform(indices(F.size("_runs") - w + 1), lambda i: i + w - F.array_position(
-        F.reverse(F.slice("_runs", i + 1, w)), F.array_min(F.slice("_runs", i + 1, w))).cast("int"))
+    lowest = runs.select("*", F.transform(indices(F.size("_runs") - w + 1), lambda i: F.least(
+        *(F.get("_runs", i + j) for j in range(w)))).alias("_lowest"))
+    # the last smallest hash of w moves on only if another value is smallest or an equal one comes in
+    moved = lowest.select("*", F.filter(indices(F.size("_lowest")), lambda i: (i == 0) | (
+        F.get("_lowest", i) != F.get("_lowest", i - 1)) | (F.get("_lowest", i) == F.get("_runs", i + w - 1))).alias("_moved"))
+    places = F.transform("_moved", lambda i: i + w - F.array_position(
+        F.reverse(F.slice("_runs", i + 1, w)), F.get("_lowest", i)).cast("int"))
     # (a lambda's parameters are the engine's, so the length comes from around it)
     all_of = lambda m: F.transform(indices(F.size("_words") - m + 1), lambda i: run_hash(F.col("_words"), i, m))
     shorts = [all_of(m).alias(f"_short{m}") for m in short]
-    return runs.select(*keep, "n_words", "_runs", F.array_distinct(places).alias("_places"), *shorts)
+    return moved.select(*keep, "n_words", "_runs", F.array_distinct(places).alias("_places"), *shorts)
 
 
 def window_hash(runs: Column, start: Column) -> Column:
@@ -75,22 +79,27 @@ def hits(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "te
     windows, prints, short = item_windows(items)
     own = docs.select(F.col(key).alias("_key"), F.xxhash64(text).alias("_hash"), F.col(text).alias("_text"))
     hashed = with_hashes(own, "_text", ["_key", "_hash"], short)
-    # fingerprints with the hashes of the windows around them; one row without any stands for the document
+    # fingerprints with the hashes of runs around them, of which the windows of known ones are made;
+    # one row without any stands for the document
     w = WINDOW - K + 1
-    around = lambda p: F.transform(
-        F.sequence(F.greatest(p - w + 1, F.lit(0)), F.least(p, F.size("_runs") - w)),
-        lambda s: F.struct(s.alias("start"), window_hash(F.col("_runs"), s).alias("window")))
-    marks = F.transform("_places", lambda p: F.struct(F.get("_runs", p).alias("print"), F.lit(WINDOW).alias("size"), around(p).alias("near")))
-    alone = F.array(F.struct(F.lit(None).cast("long").alias("print"), F.lit(0).alias("size"), F.array().cast("array<struct<start:int,window:bigint>>").alias("near")))
+    first, last = (lambda p: F.greatest(p - w + 1, F.lit(0))), (lambda p: F.least(p, F.size("_runs") - w))
+    marks = F.transform("_places", lambda p: F.struct(
+        F.get("_runs", p).alias("print"), F.lit(WINDOW).alias("size"), first(p).alias("first"),
+        F.slice("_runs", first(p) + 1, last(p) - first(p) + w).alias("around")))
+    alone = F.array(F.struct(F.lit(None).cast("long").alias("print"), F.lit(0).alias("size"), F.lit(0).alias("first"),
+                             F.array().cast("array<bigint>").alias("around")))
     whole = lambda m: F.transform(f"_short{m}", lambda h, i: F.struct(
-        F.lit(None).cast("long").alias("print"), F.lit(m).alias("size"), F.array(F.struct(i.alias("start"), h.alias("window"))).alias("near")))
+        F.lit(None).cast("long").alias("print"), F.lit(m).alias("size"), i.alias("first"), F.array(h).alias("around")))
     found = [whole(m) for m in short]
     exploded = hashed.select("_key", "_hash", "n_words", F.explode(F.concat(alone, marks, *found)).alias("m")).select(
         "_key", "_hash", "n_words", "m.*")
+    near = F.when(F.col("size") == WINDOW, F.transform(indices(F.size("around") - (WINDOW - K)), lambda s: F.struct(
+        (F.col("first") + s).alias("start"), window_hash(F.col("around"), s).alias("window")))).otherwise(
+            F.transform("around", lambda h: F.struct(F.col("first").alias("start"), h.alias("window"))))
     # a null fingerprint marks the document's own row (size 0) and short runs, which are windows already
     kept = (exploded.join(prints.withColumn("_known", F.lit(True)), "print", "left")
             .where(F.col("print").isNull() | F.col("_known"))
-            .select("_key", "_hash", "n_words", "size", F.explode_outer("near").alias("near"))
+            .select("_key", "_hash", "n_words", "size", F.explode_outer(near).alias("near"))
             .select("_key", "_hash", "n_words", "size", "near.start", "near.window"))
     matched = (kept.join(windows, ["size", "window"], "left").where((F.col("size") == 0) | F.col("items").isNotNull())
                .groupBy("_key", "_hash").agg(

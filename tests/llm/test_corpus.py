@@ -93,6 +93,25 @@ def test_contamination_equals_plain_search(docs, none, items):
     assert clean.columns == docs.columns and clean.count() == sum(h == 0 for _, h, _ in want)
 
 
+def test_fingerprints_are_the_last_smallest_hashes(spark):
+    draw = random.Random(9)  # few words, so that hashes of runs come again inside a window
+    texts = [" ".join(draw.choice("ab") for _ in range(n)) for n in (0, 3, 9, 10, 11, 40, 200)] + [passage(31, 80), "x " * 50]
+    rows = spark.createDataFrame(list(enumerate(texts)), "k int, t string")
+    w = decontaminate.WINDOW - decontaminate.K + 1
+    for r in decontaminate.with_hashes(rows, "t", ["k"], []).collect():
+        runs = r["_runs"]
+        assert len(runs) == max(0, len(texts[r["k"]].split()) - decontaminate.K + 1)
+        want = [max(range(i, i + w), key=lambda j: (-runs[j], j)) for i in range(len(runs) - w + 1)]
+        assert r["_places"] == list(dict.fromkeys(want))
+
+
+def test_windows_are_made_of_known_fingerprints_only(docs, items):
+    plan = decontaminate.hits(docs, items)._jdf.queryExecution().optimizedPlan().toString()
+    joined = next(i for i, line in enumerate(plan.splitlines()) if "Join LeftOuter, (print#" in line)
+    above, below = plan.splitlines()[:joined], plan.splitlines()[joined:]
+    assert any("start, " in line for line in above) and not any("named_struct(start" in line or "struct(start" in line for line in below)
+
+
 def test_measures_equal_plain_ones(docs, none, labels):
     got = quality_rules.judged(docs, labels).collect()
     names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
