@@ -30,7 +30,7 @@ import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aerolog.llm.common import ready_for_python, small
+from aerolog.llm.common import free_name, ready_for_python, small
 
 #: Units and chunks whose codes a worker remembers (some 200 bytes each).
 REMEMBERED = 300_000
@@ -317,9 +317,25 @@ def decoded(ids: Column, shared) -> Column:
     return decode(ids)
 
 
+def encoded_and_decoded(text: Column, shared) -> Column:
+    """Token ids of a text and the text of these ids, by one worker with one codec."""
+    @F.arrow_udf("struct<ids:array<int>,text:string>")
+    def both(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        own = codec(shared.value)
+        for texts in small(batches):
+            ids = lists(own.encode(texts.to_pylist()))
+            back = pa.array([own.decode(x.values.to_numpy(zero_copy_only=False)) for x in ids], pa.string())
+            yield pa.StructArray.from_arrays([ids, back], ["ids", "text"])
+
+    return both(text)
+
+
 def with_tokens(docs: DataFrame, path: str, text: str = "text", ids: str = "ids", back: str | None = None) -> DataFrame:
     """``docs`` with the token ids of a column and, if ``back`` is given, their decoded text."""
     ready_for_python(docs.sparkSession)
     shared = vocabulary(docs.sparkSession, path)
-    out = docs.withColumn(ids, encoded(F.col(text), shared))
-    return out.withColumn(back, decoded(F.col(ids), shared)) if back else out
+    if not back:
+        return docs.withColumn(ids, encoded(F.col(text), shared))
+    both = free_name(docs, "_both")
+    out = docs.withColumn(both, encoded_and_decoded(F.col(text), shared))
+    return out.withColumns({ids: F.col(both)["ids"], back: F.col(both)["text"]}).drop(both)

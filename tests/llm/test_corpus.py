@@ -112,6 +112,16 @@ def test_windows_are_made_of_known_fingerprints_only(docs, items):
     assert any("start, " in line for line in above) and not any("named_struct(start" in line or "struct(start" in line for line in below)
 
 
+def test_a_codec_a_task_encodes_and_decodes(docs):
+    out = bpe.with_tokens(docs, queries.tokenizer_path(), back="decoded")
+    assert out._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
+    shared = bpe.vocabulary(docs.sparkSession, queries.tokenizer_path())
+    apart = docs.withColumn("ids", bpe.encoded(F.col("text"), shared)).withColumn("decoded", bpe.decoded(F.col("ids"), shared))
+    assert out.columns == apart.columns and out.schema["decoded"] == apart.schema["decoded"]
+    one, other = (sorted((str(r) for r in x.select("doc_id", "ids", "decoded").collect())) for x in (out, apart))
+    assert one == other
+
+
 def test_measures_equal_plain_ones(docs, none, labels):
     got = quality_rules.judged(docs, labels).collect()
     names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
