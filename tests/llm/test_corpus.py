@@ -499,3 +499,55 @@ def test_every_character_is_encoded_as_by_the_library():
         texts = [pattern.format(chr(k)) for k in range(1, 0x20000) if not 0xD800 <= k < 0xE000]
         want = library.encode_batch_fast(texts, add_special_tokens=False)
         assert [t for t, w, g in zip(texts, want, own.encode(texts)) if w.ids != g.tolist()] == []
+
+
+def test_edits_are_counted_as_by_plain_comparison():
+    draw = random.Random(41)
+    pairs = []
+    for k in range(900):
+        line = "".join(draw.choice("ab cé") for _ in range(draw.randint(0, 60)))
+        other = edited(draw, line, draw.randint(1, 6)) if k % 5 else "".join(draw.choice("ab cé") for _ in range(draw.randint(0, 60)))
+        pairs.append((line, other))
+    a, b = map(list, zip(*pairs))
+    apart = np.array([distance(*p) for p in pairs])
+    for most in (np.maximum(apart - 1, 0), apart, apart + 1):
+        assert (line_dedup.within_edits(a, b, most) == (apart <= most)).all()
+    longer = np.array([max(map(len, p)) for p in pairs])
+    assert (line_dedup.alike(a, b) == (apart <= longer - np.ceil(0.9 * longer - 1e-9))).all()
+    assert len(line_dedup.alike([], [])) == 0
+
+
+def test_members_of_a_key_fit_in_length_and_place():
+    draw = np.random.default_rng(42)
+    keys, ids = draw.integers(0, 400, 3000).astype(np.uint32), draw.integers(-1 << 40, 1 << 40, 3000)
+    n, at = draw.integers(50, 400, 3000).astype(np.uint16), draw.integers(0, 256, 3000).astype(np.uint8)
+    most = lambda a: a - np.ceil(0.9 * a - 1e-9)
+    out = line_dedup.block_members(3, np.append(keys, keys[:50]), np.append(ids, ids[:50]), np.append(n, n[:50]), np.append(at, at[:50])).to_pylist()
+    of = {int(i): k for k, i in enumerate(ids)}
+    met = set()
+    for rows in [[r for r in out if r["bucket"] == b] for b in {r["bucket"] for r in out}]:
+        whole = {r["id"] for r in rows} | {r["lo"] for r in rows if r["lo"] is not None}
+        assert len({keys[of[i]] for i in whole}) == 1 and all(r["several"] == (len(whole) > 2) for r in rows)
+        met |= {(i, j) for i in whole for j in whole}
+    for r in out:
+        i, j = of[r["id"]], of.get(r["lo"])
+        assert j is None or abs(int(n[i]) - int(n[j])) <= most(max(n[i], n[j])) and abs(int(at[i]) - int(at[j])) <= line_dedup.AWAY
+    # no pair that fits is parted, and pairs alone that don't fit are left out
+    fit = [(int(ids[i]), int(ids[j])) for i in range(3000) for j in np.flatnonzero(keys == keys[i])
+           if abs(int(n[i]) - int(n[j])) <= most(max(n[i], n[j])) and abs(int(at[i]) - int(at[j])) <= line_dedup.AWAY and i != j]
+    assert fit and set(fit) <= met and len(out) < 3000
+
+
+def test_finished_steps_of_line_dedup_hold_no_shuffle_files(spark):
+    import time
+
+    def left():
+        return spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllBlocks().mkString(" ").count("shuffle_")
+
+    rows = [(k, f"{passage(700 + k % 40, 30)}{k % 3}\n{passage(800 + k, 12)}") for k in range(120)]
+    line_dedup.repeated_lines(spark.createDataFrame(rows, "doc_id long, text string"))
+    for _ in range(20):  # the cleaner works beside
+        if left() < 60:
+            break
+        time.sleep(0.5)
+    assert left() < 60
