@@ -551,3 +551,33 @@ def test_finished_steps_of_line_dedup_hold_no_shuffle_files(spark):
             break
         time.sleep(0.5)
     assert left() < 60
+
+
+def test_unrelated_long_lines_of_few_syllables_share_few_keys():
+    """Lines of common syllables have runs of 12 characters in common by chance; of longer lines, longer runs are compared."""
+    draw = random.Random(51)
+    syllables = "the th er on an re he in ed nd ha at en es of or nt ea ti to it st io le is ou ar as de rt ve".split()
+    lines = ["".join(draw.choice(syllables) + draw.choice(["", "", " "]) for _ in range(draw.randint(130, 180))).strip() for _ in range(1500)]
+    assert min(map(len, lines)) > 200
+    keys = line_dedup.line_keys(line_dedup.gram_marks(*line_dedup.characters(lines)), [b""] * len(lines))
+    seen = np.unique(np.concatenate(keys), return_counts=True)[1]
+    assert (seen[seen > 1] - 1).sum() < 0.01 * sum(map(len, keys))
+
+
+def test_every_pair_within_reach_has_a_class_of_runs_in_common():
+    classes = lambda n: {k for k, ((first, _, _), last) in enumerate(zip(line_dedup.RUNS, line_dedup.LAST)) if first <= n <= last}
+    for n in range(line_dedup.SHORT + 1, 500):
+        assert all(classes(n) & classes(m) for m in range(n - line_dedup.most_edits(n), n + 1))
+        assert len(line_dedup.gram_marks(*line_dedup.characters([("ab " * n)[:n]]))[0]) // line_dedup.GRAMS.itemsize in line_dedup.FIRST
+
+
+def test_line_dedup_deletes_what_it_no_longer_reads(spark, tmp_path, monkeypatch):
+    """The marks of the lines, which are as large as the texts, don't stay until the result is written."""
+    import itertools
+
+    count = itertools.count()
+    monkeypatch.setattr("aerolog.session.scratch_folder", lambda _: f"{tmp_path}/{next(count)}")
+    rows = [(k, f"{passage(900 + k % 40, 30)}{k % 3}\n{passage(950 + k, 12)}") for k in range(60)]
+    line_dedup.repeated_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    kept = [set(spark.read.parquet(str(f)).columns) for f in tmp_path.glob("*/table")]
+    assert kept and not any({"grams", "heavy", "light", "bucket"} & columns for columns in kept)
